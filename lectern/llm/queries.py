@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, sharding
+from . import line_dedup, packing, quality, secret_scan, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +22,34 @@ def op3_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op3_rendezvous_sharding)}
+def op4_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
-SQL: dict[str, str] = {}
+
+def op5_line_first_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents")).drop("clean_text")
+
+
+def op6_cuckoo_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (op1_best_fit_packing, op3_rendezvous_sharding, op4_secret_ownership, op5_line_first_quality, op6_cuckoo_line_dedup)
+}
+
+SQL: dict[str, str] = {
+    "op6_cuckoo_line_dedup": r"""
+with lines as (
+  select doc_id, n, line, lower_key as key from (
+    select doc_id, unnest(range(1, len(ls) + 1)) as n, unnest(ls) as line,
+           unnest(list_transform(ls, x -> translate(regexp_replace(regexp_replace(x, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) as lower_key
+    from (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents))),
+often as (select key, max(doc_id) as last_doc from lines where length(key) >= 40 group by key having count(distinct doc_id) >= 5)
+select doc_id, count(*)::bigint as n_lines,
+       count(*) filter (o.key is not null and doc_id <> last_doc)::bigint as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by n) filter (o.key is null or doc_id = last_doc), '')) as kept_sha256
+from lines left join often o using (key) group by doc_id
+""",
+}
