@@ -2,7 +2,7 @@ r"""Line-first quality rules, in DataFrame functions only.
 
 Every line that holds a word is judged by itself: lines of navigation (separators between few words),
 boilerplate (stock phrases), symbols, shouting, and lines that stop without closing punctuation are
-removed. A document that loses more than `max_lost` of its word characters goes. Before that stand
+removed. A document that loses more than `max_lost` of the characters in such lines goes. Before that stand
 rules on the whole text: too few words, or too many words in repeated three-word windows.
 
 Repeated windows are found within the row: window hashes are sorted, neighbours that agree are the
@@ -24,6 +24,8 @@ from ._store import picked
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_LOST = 0.5
+#: Stock phrases count in lines of at most so many characters; longer ones are prose that mentions them.
+BOILERPLATE_CHARS = 120
 SPACES = r"[\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
 #: Phrases of lines that belong to a page rather than to its text.
@@ -39,14 +41,13 @@ def words_of(text: Column) -> Column:
 
 def line_fails(line: Column) -> Column:
     """Whether a line that holds a word is to be removed."""
-    bare = F.regexp_replace(line, SPACES + "+", "")
-    n = F.length(bare)
-    navigation = F.size(F.split(line, r"[|»›•>]")) > 2
-    boilerplate = F.lower(line).rlike("|".join(BOILERPLATE))
-    symbols = F.length(F.regexp_replace(bare, SYMBOLS, "")) < n * 0.9
-    shouting = (F.upper(line) == line) & (F.lower(line) != line) & (n > 20)
-    unclosed = ~line.rlike(r"[.!?…:;,\"'”’»)\]]" + SPACES + "*$")
-    return navigation | boilerplate | symbols | shouting | unclosed
+    navigation = F.regexp_count(line, F.lit(r"[|»›•>]")) >= 2
+    symbols = F.regexp_count(line, F.lit(SYMBOLS)) * 12 > F.length(line)
+    shouting = (F.length(line) > 20) & line.rlike(r"\p{Lu}") & ~line.rlike(r"\p{Ll}")
+    unclosed = ~F.substring(line, -10, 10).rlike(r"[.!?…:;,\"'”’»)\]]" + SPACES + "*$")
+    low = F.lower(line)
+    boilerplate = (F.length(line) <= BOILERPLATE_CHARS) & F.exists(F.array(*[F.lit(p) for p in BOILERPLATE]), lambda p: F.contains(low, p))
+    return unclosed | shouting | navigation | symbols | boilerplate
 
 
 def repeat_words(frame: DataFrame) -> DataFrame:
@@ -84,10 +85,11 @@ def judge(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", mi
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words",
     )
+    total = lambda lines: F.aggregate(lines, F.lit(0).cast("long"), lambda a, x: a + F.length(x))
     lined = measured.withColumn("good", F.filter("lines", lambda x: ~line_fails(x)))
-    clean = lined.withColumn("clean_text", F.array_join("good", "\n")).withColumn("good_chars", F.length(F.regexp_replace("clean_text", SPACES + "+", "")).cast("long"))
+    clean = lined.withColumn("clean_text", F.array_join("good", "\n")).withColumn("line_chars", total("lines")).withColumn("good_chars", total("good"))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
-    verdict = F.col("word_chars") - F.col("good_chars") <= max_lost * F.col("word_chars")
+    verdict = F.col("line_chars") - F.col("good_chars") <= max_lost * F.col("line_chars")
     return clean.withColumn("base_failed", failed).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & verdict).alias("kept"), "good_chars", "clean_text"
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & verdict).alias("kept"), "line_chars", "good_chars", "clean_text"
     )
