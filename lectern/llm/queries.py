@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, line_dedup, packing, quality, secret_scan, sharding, toxicity
+from . import language_id, line_dedup, near_dedup, packing, quality, secret_scan, sharding, toxicity
 from ._store import held_out, in_training
 
 
@@ -48,8 +48,12 @@ def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "passages")
 
 
+def op9_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_kneser_ney_language_id, op3_rendezvous_sharding, op4_secret_ownership, op5_line_first_quality, op6_cuckoo_line_dedup, op8_toxic_segments)
+    f.__name__: f for f in (op1_best_fit_packing, op2_kneser_ney_language_id, op3_rendezvous_sharding, op4_secret_ownership, op5_line_first_quality, op6_cuckoo_line_dedup, op8_toxic_segments, op9_setsketch_near_dedup)
 }
 
 SQL: dict[str, str] = {
