@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, line_dedup, near_dedup, packing, quality, secret_scan, sharding, toxicity
+from . import language_id, line_dedup, near_dedup, packing, quality, secret_scan, sharding, suffix_dedup, toxicity
 from ._store import held_out, in_training
 
 
@@ -52,8 +52,13 @@ def op9_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_log_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.dedup_passages(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_kneser_ney_language_id, op3_rendezvous_sharding, op4_secret_ownership, op5_line_first_quality, op6_cuckoo_line_dedup, op8_toxic_segments, op9_setsketch_near_dedup)
+    f.__name__: f for f in (op1_best_fit_packing, op2_kneser_ney_language_id, op3_rendezvous_sharding, op4_secret_ownership, op5_line_first_quality, op6_cuckoo_line_dedup, op8_toxic_segments, op9_setsketch_near_dedup, op10_log_suffix_dedup)
 }
 
 SQL: dict[str, str] = {
