@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, line_dedup, near_dedup, packing, quality, secret_scan, sharding, suffix_dedup, toxicity
+from . import decontamination, language_id, line_dedup, near_dedup, packing, quality, secret_scan, sharding, suffix_dedup, toxicity
 from ._store import held_out, in_training
 
 
@@ -42,6 +42,10 @@ def op6_cuckoo_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("tie")
+
+
 def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     told = toxicity.score_documents(docs, docs.where(in_training(F.col("doc_id"))), table(spark, sf_dir, "labels"))
@@ -58,7 +62,7 @@ def op10_log_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_kneser_ney_language_id, op3_rendezvous_sharding, op4_secret_ownership, op5_line_first_quality, op6_cuckoo_line_dedup, op8_toxic_segments, op9_setsketch_near_dedup, op10_log_suffix_dedup)
+    f.__name__: f for f in (op1_best_fit_packing, op2_kneser_ney_language_id, op3_rendezvous_sharding, op4_secret_ownership, op5_line_first_quality, op6_cuckoo_line_dedup, op7_template_decontamination, op8_toxic_segments, op9_setsketch_near_dedup, op10_log_suffix_dedup)
 }
 
 SQL: dict[str, str] = {
