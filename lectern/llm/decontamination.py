@@ -62,8 +62,12 @@ def is_slot(word: Column) -> Column:
     return F.substring(word, 1, 1).between(NUMBER, NAME)
 
 
+def word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
 def window_hashes(words: Column, width: int) -> Column:
-    """Hash of each window of `width` words; none where there are fewer."""
+    """Hash of each window of `width` word hashes; none where there are fewer."""
     last = F.size(words) - width
     return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(words, i + 1, width)))).otherwise(F.array().cast("array<bigint>"))
 
@@ -72,10 +76,10 @@ def item_windows(items: DataFrame, *, width: int = WIDTH) -> DataFrame:
     """item, at, width, window, slots, total: the telling windows of each item."""
     words = items.where("text is not null").select("item", template_words(F.col("text")).alias("words"), raw_words(F.col("text")).alias("raw"))
     sized = words.withColumn("width", F.least(F.lit(width), F.size("words"))).where("width > 0")
-    at = sized.select("item", "words", "raw", "width", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("width"))).alias("at"))
+    at = sized.select("item", "words", word_hashes(F.col("words")).alias("hashes"), "raw", "width", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("width"))).alias("at"))
     own = F.slice("words", F.col("at") + 1, F.col("width"))
     telling = F.size(F.filter(own, lambda w: ~is_slot(w))) >= F.least(F.lit(MIN_FIXED), F.greatest(F.col("width") - 1, F.lit(3)))
-    found = at.where(telling).select("item", "at", "width", F.xxhash64(own).alias("window"), F.filter(F.slice("raw", F.col("at") + 1, F.col("width")), is_slot).alias("slots"))
+    found = at.where(telling).select("item", "at", "width", F.xxhash64(F.slice("hashes", F.col("at") + 1, F.col("width"))).alias("window"), F.filter(F.slice("raw", F.col("at") + 1, F.col("width")), is_slot).alias("slots"))
     total = found.groupBy("item").agg(F.count_distinct("window").alias("total"))
     return found.join(total, "item")
 
@@ -88,7 +92,7 @@ def hits(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col:
     if known.count() <= BROADCAST_ROWS:
         known = F.broadcast(known)
     rows = picked(docs, doc_id=id_col, text=text_col).where("text is not null").withColumn("tie", F.xxhash64("text"))
-    words = rows.select("doc_id", "tie", template_words(F.col("text")).alias("words"))
+    words = rows.select("doc_id", "tie", word_hashes(template_words(F.col("text"))).alias("words"))
     per_width = F.array(*[F.struct(F.lit(w).alias("width"), window_hashes(F.col("words"), w).alias("hashes")) for w in widths or [width]])
     each = words.select("doc_id", "tie", F.explode(per_width).alias("p")) if len(widths) > 1 else words.select("doc_id", "tie", F.struct(F.lit((widths or [width])[0]).alias("width"), window_hashes(F.col("words"), (widths or [width])[0]).alias("hashes")).alias("p"))
     spread = each.select("doc_id", "tie", F.col("p.width").alias("width"), F.posexplode("p.hashes").alias("pos", "window"))
