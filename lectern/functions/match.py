@@ -2,7 +2,8 @@
 
 Similarity by matching blocks depends on the order of its arguments: always (wanted, heard). It is
 the one measure here that SQL can't express, so it runs as a pandas UDF on pairs that the native
-rules leave open; deduplicate pairs first.
+rules leave open; deduplicate pairs first. Spark can't feed a Python UDF from a higher-order function
+in the same projection: the UDF-backed functions take columns that an earlier stage has made.
 """
 
 from __future__ import annotations
@@ -25,14 +26,14 @@ FILLER = r"(?iU)\b(?:ähm+|äh+|ehm+|öhm+|hm+|mhm+|uh+|em)\b"
 
 
 @F.pandas_udf("double")
-def _ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+def block_ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for a, b in batches:
         yield pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype=float)
 
 
 def similarity(want: Column, heard: Column) -> Column:
     """Share of matching blocks of the normalised strings, 0 to 1."""
-    return _ratio(normalise(want), normalise(heard))
+    return block_ratio(normalise(want), normalise(heard))
 
 
 def rambles(want: Column, heard: Column) -> Column:
@@ -56,13 +57,13 @@ def classify(want: Column, heard: Column, score: Column | None = None, best_piec
 
 
 @F.pandas_udf("double")
-def _best(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+def best_ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for want, parts in batches:
         yield pd.Series([max((SequenceMatcher(None, w, p).ratio() for p in ps), default=0.0) for w, ps in zip(want, parts)], dtype=float)
 
 
 def best_piece_similarity(want: Column, heard: Column) -> Column:
-    return _best(normalise(want), F.transform(pieces(heard), normalise))
+    return best_ratio(normalise(want), F.transform(pieces(heard), normalise))
 
 
 def acceptable(want: Column, heard: Column, score: Column, *, rescue: bool = False) -> Column:
@@ -185,7 +186,7 @@ def sound_code(text: Column, *, ascii_only: bool = False) -> Column:
 
 def sound_similarity(a: Column, b: Column) -> Column:
     """Matching blocks of two sound codes; 0 where either is empty."""
-    return F.when((a == "") | (b == ""), 0.0).otherwise(_ratio(a, b))
+    return F.when((a == "") | (b == ""), 0.0).otherwise(block_ratio(a, b))
 
 
 @F.pandas_udf("agreement double, medoid int")

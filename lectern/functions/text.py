@@ -98,14 +98,14 @@ def sentences(text: Column) -> Column:
     tokens = F.regexp_extract_all(_present(text), F.lit(r"(?U)\s*\S+"), F.lit(0))
     bare = lambda t: F.regexp_replace(t, r"(?U)^\s+|[\"'>)\]“”’»]+$", "")
 
+    def ends(t: Column) -> Column:
+        """The last mark is looked at first; most words have none."""
+        closed = F.substring(t, -1, 1).isin(*".!?…", *CLOSERS)
+        return closed & let(bare(t), lambda b: b.rlike(r"[.!?…]$") & ~F.lower(b).isin(*ABBREVIATIONS))
+
     def cut(own: Column) -> Column:
         n = F.size(own)
-        last = F.filter(
-            F.sequence(F.lit(1), n),
-            lambda i: (i == n)
-            | F.get(own, i).rlike(r"^(?U)\s*[\r\n]")
-            | (bare(F.get(own, i - 1)).rlike(r"[.!?…]$") & ~F.lower(bare(F.get(own, i - 1))).isin(*ABBREVIATIONS)),
-        )
+        last = F.filter(F.sequence(F.lit(1), n), lambda i: (i == n) | ends(F.get(own, i - 1)) | (F.substring(F.get(own, i), 1, 1).isin("\n", "\r") | F.get(own, i).rlike(r"^(?U)\s+[\r\n]")))
         join = lambda ends: F.transform(ends, lambda e, k: strip(F.array_join(F.slice(own, F.when(k == 0, 1).otherwise(F.get(ends, k - 1) + 1), e - F.when(k == 0, 0).otherwise(F.get(ends, k - 1))), "")))
         return F.when(n > 0, let(last, join)).otherwise(F.array().cast("array<string>"))
 
@@ -132,36 +132,49 @@ def clips(text: Column) -> Column:
     return F.filter(_folded(paragraphs), lambda c: c["text"].rlike(r"\p{L}"))
 
 
-_CLIP = "struct<text:string,first:int,last:int>"
+_CUT = "struct<first:int,last:int>"
 
 
 def _folded(paragraphs: Column) -> Column:
-    clip = lambda text, first, last: F.struct(text.alias("text"), first.cast("int").alias("first"), last.cast("int").alias("last"))
-    state = lambda done, text, first, n: F.struct(done.alias("done"), text.alias("text"), first.cast("int").alias("first"), n.cast("int").alias("n"))
+    """The fold runs over lengths alone and gives first and last numbers; texts are joined once at the end."""
+    cut = lambda first, last: F.struct(first.cast("int").alias("first"), last.cast("int").alias("last"))
+
+    def state(done: Column, size: Column, first: Column, n: Column, before: Column) -> Column:
+        """Cuts so far; length and first number of the open clip; sentences so far; length of the last cut."""
+        return F.struct(done.alias("done"), size.cast("int").alias("size"), first.cast("int").alias("first"), n.cast("int").alias("n"), before.cast("int").alias("before"))
 
-    def take(s: Column, sentence: Column) -> Column:
+    def take(s: Column, size: Column) -> Column:
         n = s["n"] + 1
-        alone = F.length(s["text"]) == 0
-        sum_ = F.when(alone, F.length(sentence)).otherwise(F.length(s["text"]) + 1 + F.length(sentence))
-        over = ~alone & (sum_ > MAX_CHARS)
-        done = F.when(over, F.array_append(s["done"], clip(s["text"], s["first"], n - 1))).otherwise(s["done"])
-        text = F.when(over | alone, sentence).otherwise(F.concat(s["text"], F.lit(" "), sentence))
-        first = F.when(over | alone, n).otherwise(s["first"])
-        full = F.length(text) >= MIN_CHARS
-        return state(F.when(full, F.array_append(done, clip(text, first, n))).otherwise(done), F.when(full, F.lit("")).otherwise(text), first, n)
+        sum_ = s["size"] + 1 + size
+
+        def go(own: Column) -> Column:
+            over, size_, first = own["over"], own["size"], own["first"]
+            full = size_ >= MIN_CHARS
+            closed = F.when(over, F.array_append(s["done"], cut(s["first"], n - 1))).otherwise(s["done"])
+            done = F.when(full, F.array_append(closed, cut(first, n))).otherwise(closed)
+            return state(done, F.when(full, 0).otherwise(size_), first, n, F.when(full, size_).when(over, s["size"]).otherwise(s["before"]))
+
+        fresh = (s["size"] == 0) | (sum_ > MAX_CHARS)
+        return let(F.struct(((s["size"] > 0) & (sum_ > MAX_CHARS)).alias("over"), F.when(fresh, size).otherwise(sum_).alias("size"), F.when(fresh, n).otherwise(s["first"]).alias("first")), go)
 
     def close(s: Column) -> Column:
         """At the end of a paragraph: what is left joins the clip before, across paragraphs too, or stands alone."""
         k = F.size(s["done"])
-        before = F.get(s["done"], k - 1)
-        fits = (k > 0) & (F.length(before["text"]) + 1 + F.length(s["text"]) <= MAX_CHARS)
-        joined = F.array_append(F.slice(s["done"], F.lit(1), F.greatest(k - 1, F.lit(0))), clip(F.concat(before["text"], F.lit(" "), s["text"]), before["first"], s["n"]))
-        alone = F.array_append(s["done"], clip(s["text"], s["first"], s["n"]))
-        done = F.when(F.length(s["text"]) == 0, s["done"]).when(fits, joined).otherwise(alone)
-        return state(done, F.lit(""), F.lit(0), s["n"])
-
-    start = state(F.array().cast(f"array<{_CLIP}>"), F.lit(""), F.lit(0), F.lit(0))
-    return F.aggregate(paragraphs, start, lambda s, p: close(F.aggregate(p, s, take)), lambda s: s["done"])
+        fits = (k > 0) & (s["before"] + 1 + s["size"] <= MAX_CHARS)
+        joined = F.array_append(F.slice(s["done"], F.lit(1), F.greatest(k - 1, F.lit(0))), cut(F.get(s["done"], k - 1)["first"], s["n"]))
+        alone = F.array_append(s["done"], cut(s["first"], s["n"]))
+        left = s["size"] > 0
+        done = F.when(~left, s["done"]).when(fits, joined).otherwise(alone)
+        return state(done, F.lit(0), F.lit(0), s["n"], F.when(~left, s["before"]).when(fits, s["before"] + 1 + s["size"]).otherwise(s["size"]))
+
+    start = state(F.array().cast(f"array<{_CUT}>"), F.lit(0), F.lit(0), F.lit(0), F.lit(0))
+
+    def made(own: Column) -> Column:
+        cuts = F.aggregate(own, start, lambda s, p: let(F.aggregate(F.transform(p, F.length), s, take), close), lambda s: s["done"])
+        joined = lambda every: F.transform(cuts, lambda c: F.struct(F.array_join(F.slice(every, c["first"], c["last"] - c["first"] + 1), " ").alias("text"), c["first"].alias("first"), c["last"].alias("last")))
+        return let(F.flatten(own), joined)
+
+    return let(paragraphs, made)
 
 
 def is_plain(clip_list: Column, n_sentences: Column) -> Column:
