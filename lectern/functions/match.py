@@ -15,6 +15,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .text import fold_edges, let, normalise, pieces
 
@@ -25,7 +26,7 @@ TRAILING_MIN = 4
 FILLER = r"(?iU)\b(?:ähm+|äh+|ehm+|öhm+|hm+|mhm+|uh+|em)\b"
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def block_ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for a, b in batches:
         yield pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype=float)
@@ -56,7 +57,7 @@ def classify(want: Column, heard: Column, score: Column | None = None, best_piec
     return verdict.otherwise("different")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def best_ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for want, parts in batches:
         yield pd.Series([max((SequenceMatcher(None, w, p).ratio() for p in ps), default=0.0) for w, ps in zip(want, parts)], dtype=float)
@@ -134,7 +135,7 @@ def survival(want: Column, heard: Column) -> Column:
     return F.length(fold_edges(heard)) / F.greatest(F.length(fold_edges(want)), F.lit(1))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unaccented(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in texts:
         yield batch.map(lambda t: "".join(c for c in unicodedata.normalize("NFD", t) if not unicodedata.combining(c)))
@@ -189,7 +190,7 @@ def sound_similarity(a: Column, b: Column) -> Column:
     return F.when((a == "") | (b == ""), 0.0).otherwise(block_ratio(a, b))
 
 
-@F.pandas_udf("agreement double, medoid int")
+@F.pandas_udf(T.StructType([T.StructField("agreement", T.DoubleType()), T.StructField("medoid", T.IntegerType())]))
 def _agreement(lists: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for batch in lists:
         out = []

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHARS_PER_SECOND = 15
 OVERHEAD = 1.009
@@ -77,7 +78,7 @@ def speaker_label(client: Column, quest: Column) -> Column:
     return F.coalesce(F.nullif(client, F.lit("")), quest, F.lit(""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def escape_literal(texts: pd.Series) -> pd.Series:
     """Bytes outside printable ASCII, quotes and backslashes as backslash and three decimal digits."""
     own = {b: chr(b) if 32 <= b <= 126 and b not in b'"\\' else f"\\{b:03d}" for b in range(256)}

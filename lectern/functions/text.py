@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_CHARS = 420
 MIN_CHARS = 30
@@ -53,7 +54,7 @@ def _present(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfc(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in texts:
         yield batch.map(lambda t: unicodedata.normalize("NFC", t))

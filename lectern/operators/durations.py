@@ -24,9 +24,9 @@ def suspicious(clips: DataFrame, table: DataFrame, factor: float = SUSPECT) -> D
 def expectation(length: Column, table: DataFrame) -> tuple[DataFrame, Column]:
     """One row of the table as a map, and the seconds due at a length, past its longest by the slope from ten on."""
     row = table.agg(F.map_from_entries(F.collect_list(F.struct("len", "median"))).alias("by_len"), F.max("len").alias("longest"))
-    top, ten = F.element_at("by_len", F.col("longest")), F.element_at("by_len", F.lit(10))
-    slope = (top - ten) / (F.col("longest") - 10)
-    return row, F.coalesce(F.element_at("by_len", length), F.when(length > F.col("longest"), top + slope * (length - F.col("longest"))))
+    top, ten = F.element_at("by_len", F.col("longest")), F.try_element_at(F.col("by_len"), F.lit(10))
+    slope = F.try_divide(top - ten, F.col("longest") - 10)
+    return row, F.coalesce(F.try_element_at(F.col("by_len"), length), F.when(length > F.col("longest"), top + slope * (length - F.col("longest"))))
 
 
 def long_for_length(clips: DataFrame, table: DataFrame, headwords: DataFrame, factor: float = LONG) -> DataFrame:

@@ -16,7 +16,7 @@ def first_resolving_giver(givers: DataFrame, models: DataFrame, display: DataFra
     resolved = shown.join(display, "display").join(extra, "extra").join(races, "race", "left")
     named = resolved.select(F.col("creature").alias("npc"), F.coalesce("name", F.col("race").cast("string")).alias("race"), F.when(F.col("sex") == 1, "female").otherwise("male").alias("sex"))
     met = givers.join(named, "npc")
-    return met.groupBy("quest_id").agg(F.min_by(F.struct("npc", "race", "sex"), "pos").alias("v")).select("quest_id", "v.npc", "v.race", "v.sex")
+    return met.groupBy("quest_id").agg(F.min_by(F.struct("npc", "race", "sex"), F.struct("pos", "npc")).alias("v")).select("quest_id", "v.npc", "v.race", "v.sex")
 
 
 def ordered_distinct(rows: DataFrame, key: str, value: str, order: tuple[str, ...]) -> DataFrame:
@@ -41,7 +41,7 @@ def recall(found: DataFrame, known: DataFrame) -> DataFrame:
 def givers_summary(givers: DataFrame) -> DataFrame:
     """one, several: quests with one giver and with more."""
     per = givers.groupBy("quest_id").agg(F.count_distinct("npc").alias("n"))
-    return per.agg(F.count_if("n = 1").alias("one"), F.count_if("n > 1").alias("several"))
+    return per.agg(F.count_if(F.col("n") == 1).alias("one"), F.count_if(F.col("n") > 1).alias("several"))
 
 
 def speaker_tally(voices: DataFrame, k: int = 12) -> DataFrame:

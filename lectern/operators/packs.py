@@ -54,9 +54,9 @@ def totals(lengths: DataFrame, *by: str) -> DataFrame:
 def timeline(durations: DataFrame, gap_centis: int = 25) -> DataFrame:
     """With start and total in centiseconds of each clip of its passage: lengths before it plus a gap after each but the last."""
     passage = W.partitionBy("quest_id", "letter")
-    before = passage.orderBy("idx").rowsBetween(W.unboundedPreceding, -1)
+    before = passage.orderBy("idx", "centis").rowsBetween(W.unboundedPreceding, -1)
     n = F.count(F.lit(1)).over(passage)
-    return durations.withColumn("start", F.coalesce(F.sum("centis").over(before), F.lit(0)) + gap_centis * (F.row_number().over(passage.orderBy("idx")) - 1)).withColumn("total", F.sum("centis").over(passage) + gap_centis * (n - 1))
+    return durations.withColumn("start", F.coalesce(F.sum("centis").over(before), F.lit(0)) + gap_centis * (F.row_number().over(passage.orderBy("idx", "centis")) - 1)).withColumn("total", F.sum("centis").over(passage) + gap_centis * (n - 1))
 
 
 def spans(starts: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """The queries over the driver's tables."""
 
-from . import texts  # noqa: F401
+from . import relational, streams, texts  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -91,7 +91,7 @@ def _fold(state: tuple, run: str, rows: pd.DataFrame) -> tuple[tuple, pd.DataFra
 
 def supervise(beats: DataFrame) -> DataFrame:
     """What the supervisor does at each heartbeat; a run's heartbeats (one a minute) fold in order."""
-    return beats.select("run", "at", "spoken", "done").groupBy("run").applyInPandas(lambda key, rows: _fold(_START, key[0], rows)[1], SUPERVISED)
+    return beats.select(F.col("run").cast("string").alias("run"), "at", "spoken", "done").groupBy("run").applyInPandas(lambda key, rows: _fold(_START, key[0], rows)[1], SUPERVISED)
 
 
 def supervise_stream(beats: DataFrame) -> DataFrame:
@@ -105,7 +105,7 @@ def supervise_stream(beats: DataFrame) -> DataFrame:
         state.update(new)
         yield made
 
-    return beats.select("run", "at", "spoken", "done").groupBy("run").applyInPandasWithState(fold, SUPERVISED, "last long, since double, slow int, restarts int, until double", "append", GroupStateTimeout.NoTimeout)
+    return beats.select(F.col("run").cast("string").alias("run"), "at", "spoken", "done").groupBy("run").applyInPandasWithState(fold, SUPERVISED, "last long, since double, slow int, restarts int, until double", "append", GroupStateTimeout.NoTimeout)
 
 
 def sessions(events: DataFrame, *, user: str = "user_id", gap: str = "30 minutes") -> DataFrame:
