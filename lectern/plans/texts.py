@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lectern.functions import ident, match, small, text
 from lectern.operators import durations, planner
 
-from .registry import query, table
+from .registry import query, spread, table
 
 #: The SQL twins of `tidy`, `sentences` and `grouped`, as common table expressions.
 SQL_TIDY = r"""
@@ -45,12 +45,12 @@ clips as (select doc_id, lang, source, unnest(range(1, len(cs) + 1)) as i, unnes
 
 
 def _sentenced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     return docs.select("doc_id", "lang", "source", text.sentences(text.tidy(F.col("text"))).alias("ss"))
 
 
 def _clips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     each = docs.select("doc_id", "lang", "source", F.posexplode(text.clips(text.tidy(F.col("text")))).alias("i", "c"))
     return each.select("doc_id", "lang", "source", (F.col("i") + 1).cast("bigint").alias("sentence"), F.col("c.text").alias("text"), F.col("c.first").alias("first"), F.col("c.last").alias("last"))
 
@@ -76,7 +76,7 @@ select doc_id, array_to_string(firsts, ',') as firsts, n::int as n_sentences, fi
 )
 def clip_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H4: where clips begin, and whether they are one for each sentence."""
-    tidy = table(spark, sf_dir, "documents").select("doc_id", text.tidy(F.col("text")).alias("t"))
+    tidy = spread(table(spark, sf_dir, "documents")).select("doc_id", text.tidy(F.col("text")).alias("t"))
     both = tidy.select("doc_id", text.clips(F.col("t")).alias("cs"), F.size(text.sentences(F.col("t"))).alias("n_sentences")).where(F.size("cs") > 0)
     return both.select("doc_id", F.array_join(F.transform("cs", lambda c: c["first"].cast("string")), ",").alias("firsts"), "n_sentences", text.is_plain(F.col("cs"), F.col("n_sentences")).alias("plain"))
 
@@ -147,7 +147,7 @@ md5(translate(replace(replace(coalesce(text, ''), 'ß', 'ss'), 'ẞ', 'ss'), 'AB
 def fold_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H12-H15."""
     t = F.col("text")
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         "doc_id", F.md5(text.normalise(t)).alias("normalised"), F.md5(text.fold_edges(t)).alias("edges"), F.md5(text.fold_case(t)).alias("folded"), F.md5(text.word_key(t)).alias("word_key")
     )
 
@@ -158,7 +158,7 @@ len(list_filter(regexp_extract_all(coalesce(text, ''), '\p{L}+'), lambda p: leng
 )
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H16, H17."""
-    return table(spark, sf_dir, "documents").select("doc_id", F.size(text.pieces(F.col("text"))).alias("n_pieces"), F.size(text.word_tokens(F.col("text"))).alias("n_words"))
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", F.size(text.pieces(F.col("text"))).alias("n_pieces"), F.size(text.word_tokens(F.col("text"))).alias("n_words"))
 
 
 @query(
@@ -182,7 +182,7 @@ select lang, count(*)::bigint as words, count(k.w)::bigint as known from d left
 )
 def word_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many running words of each language the benchmark's vocabulary knows."""
-    words = table(spark, sf_dir, "documents").select("lang", F.explode(text.word_tokens(F.col("text"))).alias("w")).select("lang", F.lower("w").alias("w"))
+    words = spread(table(spark, sf_dir, "documents")).select("lang", F.explode(text.word_tokens(F.col("text"))).alias("w")).select("lang", F.lower("w").alias("w"))
     # Counted per word first, so that a frequent word is one row when it meets the vocabulary.
     counted = words.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n"))
     known = table(spark, sf_dir, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("w")).distinct().withColumn("k", F.lit(1))
@@ -336,4 +336,4 @@ def small_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cleaned_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H1, H7, H46 over raw markup; rows only (Java and RE2 regex differ in what the full chain needs)."""
     t = text.clean(F.col("html"))
-    return table(spark, sf_dir, "pages").select("page_id", t.alias("cleaned"), F.size(text.split_long(t)).alias("parts"), F.length(text.render(F.col("html"))).alias("rendered"))
+    return spread(table(spark, sf_dir, "pages")).select("page_id", t.alias("cleaned"), F.size(text.split_long(t)).alias("parts"), F.length(text.render(F.col("html"))).alias("rendered"))
