@@ -143,9 +143,9 @@ def sketched(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
 
 
 def bucketed(reps: DataFrame) -> DataFrame:
-    """key, rep: the buckets of each representative."""
+    """band, key, rep: the buckets of each representative."""
     keys = F.array(*[F.xxhash64(F.lit(k), F.substring(F.col("sketch"), k * ROWS + 1, ROWS)) for k in range(BANDS)])
-    return reps.select("rep", F.explode(keys).alias("key"))
+    return reps.select("rep", F.posexplode(keys).alias("band", "key"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -172,8 +172,9 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for texts in batches:
             yield pd.Series([shingle_hashes(words_of(t)).tobytes() for t in texts], dtype=object)
 
-    rows = docs.join(wanted, docs["doc_id"] == wanted["rep"], "left_semi")
-    made = rows.select(F.col("doc_id").alias("rep"), F.pandas_udf(look, "binary")("text").alias("hashes"), F.xxhash64("text").alias("tie"))
+    # The list of representatives grows with the documents: one plan at every size.
+    rows = docs.join(wanted.hint("merge"), docs["doc_id"] == wanted["rep"], "left_semi")
+    made = rows.select(F.col("doc_id").alias("rep"), F.pandas_udf(look, "binary")("text").alias("hashes"))
     return made
 
 
@@ -216,8 +217,9 @@ def _groups(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataF
         yield rest
 
 
-def _candidates(sketch: np.ndarray, n: np.ndarray, label: np.ndarray, side: np.ndarray, bar: float, num: int, den: int) -> Iterator[tuple[int, np.ndarray]]:
-    """For each row the later rows of another component (and, in a pair of blocks, of the other block) that may be similar."""
+def _candidates(sketch: np.ndarray, n: np.ndarray, label: np.ndarray, side: np.ndarray, band: int, bar: float, num: int, den: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row the later rows of another component (and, in a pair of blocks, of the other block) that may be similar
+    and share no earlier bucket: each pair is looked at in the first band that both share."""
     mixed = len(set(side.tolist())) > 1
     for i in range(len(n) - 1):
         ok = (label[i + 1 :] != label[i]) & (n[i + 1 :] * den >= n[i] * num) & (n[i] * den >= n[i + 1 :] * num)
@@ -232,6 +234,9 @@ def _candidates(sketch: np.ndarray, n: np.ndarray, label: np.ndarray, side: np.n
         at, more, less = at[near], more[near], less[near]
         if len(at):
             at = at[estimates(more, less, np.full(len(at), float(n[i])), n[at].astype(float)) >= bar]
+        if len(at):
+            same = (sketch[i] == sketch[at]).reshape(-1, BANDS, ROWS).all(2)
+            at = at[same.argmax(1) == band]
         if len(at):
             yield i, at
 
@@ -246,7 +251,7 @@ def residual_links(reps: DataFrame, labels: DataFrame, docs: DataFrame, num: int
     members = rows.join(mixed, "key")
     own = F.pmod(F.xxhash64("rep", F.lit(3)), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    dealt = members.select("key", "rep", "label", own.alias("own"), other.alias("other")).select("key", "rep", "label", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    dealt = members.select("band", "key", "rep", "label", own.alias("own"), other.alias("other")).select("band", "key", "rep", "label", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     group = ["key", "i", "j"]
     full = dealt.join(known.select("rep", "n", "sketch"), "rep").repartition(*group).sortWithinPartitions(*group, "rep")
 
@@ -257,11 +262,11 @@ def residual_links(reps: DataFrame, labels: DataFrame, docs: DataFrame, num: int
                 continue
             sketch = np.frombuffer(b"".join(g["sketch"]), np.uint8).reshape(-1, REGISTERS)
             some: set[int] = set()
-            for a, at in _candidates(sketch, g["n"].to_numpy(), g["label"].to_numpy(), g["own"].to_numpy(), bar, num, den):
+            for a, at in _candidates(sketch, g["n"].to_numpy(), g["label"].to_numpy(), g["own"].to_numpy(), int(g["band"].iloc[0]), bar, num, den):
                 some.add(a)
                 some.update(at.tolist())
             if some:
-                out.append(g.iloc[sorted(some)][[*group, "rep", "label", "own", "n", "sketch"]])
+                out.append(g.iloc[sorted(some)][["band", *group, "rep", "label", "own", "n", "sketch"]])
             if len(out) >= 1000:
                 yield pd.concat(out)
                 out = []
@@ -269,7 +274,7 @@ def residual_links(reps: DataFrame, labels: DataFrame, docs: DataFrame, num: int
             yield pd.concat(out)
 
     kind = reps.schema["rep"].dataType.simpleString()
-    open_ = staged(full.select(*group, "rep", "label", "own", "n", "sketch").mapInPandas(screen, f"key long, i int, j int, rep {kind}, label {kind}, own int, n long, sketch binary"), "open_members")
+    open_ = staged(full.select("band", *group, "rep", "label", "own", "n", "sketch").mapInPandas(screen, f"band int, key long, i int, j int, rep {kind}, label {kind}, own int, n long, sketch binary"), "open_members")
     sets = staged(full_sets(docs, open_.select("rep").distinct()), "open_sets")
     ready = open_.join(sets.select("rep", "hashes"), "rep").repartition(*group).sortWithinPartitions(*group, "rep")
 
@@ -281,7 +286,7 @@ def residual_links(reps: DataFrame, labels: DataFrame, docs: DataFrame, num: int
             rep, label, own, n = (g[c].to_numpy() for c in ("rep", "label", "own", "n"))
             label = label.copy()
             out = []
-            for a, at in _candidates(sketch, n, label, own, bar, num, den):
+            for a, at in _candidates(sketch, n, label, own, int(g["band"].iloc[0]), bar, num, den):
                 for b in at:
                     if label[a] != label[b] and similar(sets[a], sets[b], num, den):
                         out.append((rep[a], rep[b]))
@@ -289,7 +294,7 @@ def residual_links(reps: DataFrame, labels: DataFrame, docs: DataFrame, num: int
             if out:
                 yield pd.DataFrame(out, columns=["a", "b"])
 
-    return ready.select(*group, "rep", "label", "own", "n", "sketch", "hashes").mapInPandas(verify, f"a {kind}, b {kind}")
+    return ready.select("band", *group, "rep", "label", "own", "n", "sketch", "hashes").mapInPandas(verify, f"a {kind}, b {kind}")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
