@@ -136,6 +136,12 @@ def clips(text: Column) -> Column:
     return F.filter(_folded(paragraphs), lambda c: c["text"].rlike(r"\p{L}"))
 
 
+def client_clips(text: Column) -> Column:
+    """As the client groups: anything beyond ASCII counts as a letter, so clips of dashes and quotes stay."""
+    paragraphs = F.transform(F.split(_present(text), "\n\n"), sentences)
+    return F.filter(_folded(paragraphs), lambda c: c["text"].rlike(r"[A-Za-z]|[^\x00-\x7f]"))
+
+
 _CUT = "struct<first:int,last:int>"
 
 

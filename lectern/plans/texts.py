@@ -81,6 +81,18 @@ def clip_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("doc_id", F.array_join(F.transform("cs", lambda c: c["first"].cast("string")), ",").alias("firsts"), "n_sentences", text.is_plain(F.col("cs"), F.col("n_sentences")).alias("plain"))
 
 
+@query(
+    "with"
+    + SQL_CLIPS.replace("list_filter(cs, lambda c: regexp_matches(c.text, '\\p{L}'))", "list_filter(cs, lambda c: regexp_matches(c.text, '[A-Za-z]|[^\\x00-\\x7f]'))")
+    + """ select lang, count(*)::bigint as client, count(*) filter (regexp_matches(c.text, '\\p{L}'))::bigint as own from clips group by lang"""
+)
+def grouping_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H5: clips by the client's grouping, and how many of them the generator has too."""
+    docs = spread(table(spark, sf_dir, "documents"))
+    each = docs.select("lang", F.explode(text.client_clips(text.tidy(F.col("text")))).alias("c"))
+    return each.groupBy("lang").agg(F.count(F.lit(1)).alias("client"), F.count_if(F.col("c.text").rlike(r"\p{L}")).alias("own"))
+
+
 SQL_PATH = "'sounds/q/' || lpad((doc_id % 100)::varchar, 2, '0') || '/' || doc_id || '_o' || i || '.ogg'"
 
 
