@@ -70,7 +70,7 @@ SQL: dict[str, str] = {
 with lines as (
   select doc_id, n, line, lower_key as key from (
     select doc_id, unnest(range(1, len(ls) + 1)) as n, unnest(ls) as line,
-           unnest(list_transform(ls, x -> translate(regexp_replace(regexp_replace(x, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) as lower_key
+           unnest(list_transform(ls, lambda x: translate(regexp_replace(regexp_replace(x, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) as lower_key
     from (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents))),
 often as (select key, max(doc_id) as last_doc from lines where length(key) >= 40 group by key having count(distinct doc_id) >= 5)
 select doc_id, count(*)::bigint as n_lines,
