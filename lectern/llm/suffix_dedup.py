@@ -153,6 +153,8 @@ class SuffixIndex:
 
     def add(self, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> SuffixIndex:
         """With a batch: its suffix array becomes a level, and the last levels merge while they are no larger."""
+        if self.length >= 1 << 15:
+            raise ValueError("windows of 32 KiB and more don't fit the packed entries")
         rows = numbered(docs, id_col, text_col)
         array = staged(suffix_entries(rows, self.length, self.gram), "suffixes")
         size, levels = array.count(), list(self.levels)
@@ -171,6 +173,12 @@ class SuffixIndex:
     def covered(self) -> DataFrame:
         """doc, tie, lo, hi: byte ranges that windows with a second place cover."""
         entries = self._entries()
+        # Most anchors stand at one place only and go at once; what is left is a small part.
+        keys = staged(entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "keys")
+        bits = F.shiftleft(F.col("lo"), 30) + F.shiftleft(F.col("x") - F.col("lo"), 15) + (F.col("hi") - F.col("lo"))
+        packed = entries.select("doc", "tie", "key", "full", bits.alias("at")).join(keys, "key", "left_semi")
+        lo, before, more = F.shiftright("at", 30), F.shiftright("at", 15).bitwiseAND(32767), F.col("at").bitwiseAND(32767)
+        entries = staged(packed.select("doc", "tie", "key", "full", lo.alias("lo"), (lo + before).alias("x"), (lo + more).alias("hi")), "shared")
         place = F.struct("doc", "tie", "x", "lo", "hi")
         ranges = staged(entries.groupBy("key", "full").agg(F.count(F.lit(1)).alias("places"), F.min(place).alias("at")), "ranges")
         inside = entries.join(ranges.where("places > 1").select("key", "full"), ["key", "full"], "left_semi").select("doc", "tie", "lo", (F.col("hi") + self.length).alias("hi"))
