@@ -23,6 +23,20 @@ def shared_dir(spark: SparkSession) -> str:
     return own.rstrip("/")
 
 
+#: What Spark hands a Python worker at once: rows, and bytes where the rows are long texts.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches by what a worker can hold several times over, unless the session has its own bound.
+
+    Spark's default is 10,000 rows whatever their size, and workers keep what a batch made them grow to.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as Parquet into the shared folder and read it back.
 
@@ -30,6 +44,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     depend on the partitioning (row ids) are fixed from here on.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{shared_dir(spark)}/lectern/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

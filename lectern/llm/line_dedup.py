@@ -34,7 +34,7 @@ from ._store import SPACE, staged
 MIN_CHARS = 40
 MIN_DOCS = 5
 #: Keys that one shard's filter holds at about its best load.
-KEYS_PER_SHARD = 250_000
+KEYS_PER_SHARD = 100_000
 NO_ID = -(1 << 63)
 _STRIP = SPACE.encode()
 

@@ -39,7 +39,7 @@ CLASSES = 32
 #: Pieces of at most limit / SMALL tokens are left out of the program and fill the room that it leaves.
 SMALL = 3
 #: Words that a Python worker remembers at most; beyond it starts afresh.
-REMEMBERED = 1_000_000
+REMEMBERED = 800_000
 
 
 class WordCoder:
