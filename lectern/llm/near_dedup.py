@@ -45,6 +45,8 @@ OFFSET = 24
 #: Standard deviations below the threshold at which an estimate rules a pair out.
 SLACK = 5.0
 BLOCK = 512
+#: Texts sketched at once.
+PART = 128
 #: Bytes of shingle sets that one block of verified members holds at most, but for a single pair.
 BLOCK_BYTES = 32 << 20
 _A = (np.random.default_rng(20).integers(0, 1 << 63, REGISTERS, np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -129,14 +131,19 @@ def sketched(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
 
     def look(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            words = [words_of(t) for t in texts]
-            sets = [shingle_hashes(w) for w in words]
-            full = [i for i, s in enumerate(sets) if len(s)]
-            made = sketches([sets[i] for i in full])
-            out: list[bytes | None] = [None] * len(sets)
-            for i, s in zip(full, made):
-                out[i] = s.tobytes()
-            yield pd.DataFrame({"copy": [xxhash.xxh3_128_digest(b" ".join(w)) if w else None for w in words], "n": [len(s) for s in sets], "sketch": out})
+            # In parts: the words of a whole batch, each an object, take many times its text.
+            own = texts.tolist()
+            yield pd.concat([some(own[at : at + PART]) for at in range(0, len(own), PART)] or [some([])], ignore_index=True)
+
+    def some(texts: list[str | None]) -> pd.DataFrame:
+        words = [words_of(t) for t in texts]
+        sets = [shingle_hashes(w) for w in words]
+        full = [i for i, s in enumerate(sets) if len(s)]
+        made = sketches([sets[i] for i in full])
+        out: list[bytes | None] = [None] * len(sets)
+        for i, s in zip(full, made):
+            out[i] = s.tobytes()
+        return pd.DataFrame({"copy": [xxhash.xxh3_128_digest(b" ".join(w)) if w else None for w in words], "n": [len(s) for s in sets], "sketch": out})
 
     rows = picked(docs, doc_id=id_col, text=text_col)
     return rows.select("doc_id", F.pandas_udf(look, "copy binary, n long, sketch binary")("text").alias("x")).select("doc_id", "x.*")
