@@ -1,4 +1,4 @@
-"""Decisions over several takes of one clip, as array expressions.
+"""Decisions over several takes of one clip, as array expressions; agreement of whole groups as a plan.
 
 A take is struct(heard, seconds, similarity); predicates are functions from a take's column to a
 boolean column, so that callers choose the rule.
@@ -8,12 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lectern.functions import match
+
 FLOOR = 0.25
 AGREE, CONFIRM = 0.6, 0.7
 STEADY = 3
+#: Distinct values of a group that one side of a comparison holds.
+BLOCK = 64
 Rule = Callable[[Column], Column]
 
 
@@ -61,3 +65,35 @@ def cleanest(takes: Column) -> Column:
 def verification_fault(seconds: Column, rate: Column, channels: Column, limit: Column, rambling: Column, exists: Column) -> Column:
     """First fault in the order missing, encoding, too long, rambles; null for a sound clip."""
     return F.when(~exists, "missing").when((rate != "24000") | (channels != "1"), "encoding").when(seconds > limit, "too long").when(rambling, "rambles")
+
+
+def group_agreement(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """keys, agreement, medoid: `match.agreement` of the sorted values of each group, of any size.
+
+    Distinct values with their counts are compared block by block, each pair of blocks in a task of its
+    own; only sums come together. Means that differ by less than 1e-12 are ties.
+    """
+    spark = rows.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # Structs are equal where the same fields are null.
+    kept = rows.select(F.struct(*keys).alias("key"), F.coalesce(F.col(value), F.lit("")).alias("v")).groupBy("key", "v").agg(F.count(F.lit(1)).alias("c"))
+    sizes = kept.groupBy("key").agg(F.sum("c").alias("n"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    dealt = kept.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = dealt.select("key", F.col("own").alias("i"), others.alias("j"), F.col("v").alias("a")).repartition(tasks, "key", "i", "j")
+    right = dealt.select("key", others.alias("i"), F.col("own").alias("j"), F.col("v").alias("b"), "c").repartition(tasks, "key", "i", "j")
+    pairs = left.join(right.hint("shuffle_hash"), ["key", "i", "j"]).where("a <> b").withColumn("r", match.block_ratio(F.col("a"), F.col("b")))
+    later, earlier = F.col("b") > F.col("a"), F.col("b") < F.col("a")
+    sums = pairs.groupBy("key", F.col("a").alias("v")).agg(
+        F.sum(F.col("c") * F.col("r")).alias("all"), F.sum(F.when(later, F.col("c") * F.col("r")).otherwise(0.0)).alias("later"), F.sum(F.when(earlier, F.col("c")).otherwise(0)).alias("before")
+    )
+    each = dealt.join(sums, ["key", "v"], "left").na.fill(0, ["all", "later", "before"])
+    c, n, same = F.col("c"), F.col("n"), F.when(F.col("v") == "", 0.0).otherwise(1.0)
+    mean = F.round((F.col("all") + (c - 1) * same) / F.greatest(n - 1, F.lit(1)), 12)
+    judged = each.groupBy("key").agg(
+        F.max("n").alias("n"), F.sum(c * F.col("later") + c * (c - 1) / 2 * same).alias("pairs"), F.max(F.struct(mean.alias("mean"), (-F.col("before")).alias("at"))).alias("top")
+    )
+    n = F.col("n")
+    return judged.select(
+        "key.*", F.when(n < 2, 0.0).otherwise(F.col("pairs") / F.greatest(n * (n - 1) / 2, F.lit(1))).alias("agreement"), F.when(n < 2, 0).otherwise(-F.col("top.at")).cast("int").alias("medoid")
+    )

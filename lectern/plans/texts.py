@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions import ident, match, small, text
-from lectern.operators import durations, planner
+from lectern.operators import consensus, durations, planner
 
 from .registry import query, spread, table
 
@@ -306,12 +306,12 @@ def sound_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def sound_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Agreement among part names of one brand and type, by letters and by sound. Rows only."""
+    """Agreement among all part names of one brand and type, by letters and by sound. Rows only."""
     part = table(spark, sf_dir, "part").select("p_brand", "p_type", text.normalise(F.col("p_name")).alias("l"), match.sound_code(F.col("p_name"), ascii_only=True).alias("s"))
-    first = lambda c: F.slice(F.sort_array(F.collect_list(c)), 1, 8).alias(c)
-    takes = part.groupBy("p_brand", "p_type").agg(first("l"), first("s"))
-    both = takes.select("p_brand", "p_type", match.agreement(F.col("l")).alias("l"), match.agreement(F.col("s")).alias("s"))
-    return both.select("p_brand", "p_type", F.col("l.agreement").alias("letters"), F.col("l.medoid").alias("medoid"), F.col("s.agreement").alias("sound"))
+    by = part.select("p_brand", "p_type", F.explode(F.array(F.struct(F.lit("l").alias("kind"), F.col("l").alias("v")), F.struct(F.lit("s").alias("kind"), F.col("s").alias("v")))).alias("x")).select("p_brand", "p_type", "x.*")
+    both = consensus.group_agreement(by, ["p_brand", "p_type", "kind"], "v")
+    of = lambda kind, c: F.max(F.when(F.col("kind") == kind, F.col(c)))
+    return both.groupBy("p_brand", "p_type").agg(of("l", "agreement").alias("letters"), of("l", "medoid").alias("medoid"), of("s", "agreement").alias("sound"))
 
 
 @query(

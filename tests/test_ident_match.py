@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import ident, match, small, text
 from lectern.operators import consensus
+from lectern.plans import texts
 
 
 def fnv(data: bytes) -> int:
@@ -91,6 +92,25 @@ def test_agreement(spark):
     assert got[4][1] == 0 and 0 < got[4][0] < 1
 
 
+def test_agreement_of_whole_groups(spark, monkeypatch):
+    monkeypatch.setattr(consensus, "BLOCK", 4)  # several blocks a group
+    groups = {"many": sorted(f"w{k % 19:02d}{'xyz'[k % 3]}{'ab' * (k % 4)}" for k in range(40)), "same": ["ab"] * 9, "one": ["a"], "empty": ["", ""], None: ["abcd", "abce", "xyz"]}
+    rows = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g string, v string")
+    got = {r["g"]: (r["agreement"], r["medoid"]) for r in consensus.group_agreement(rows, ["g"], "v").collect()}
+    plain = spark.createDataFrame(list(groups.items()), "g string, l array<string>").select("g", match.agreement(F.col("l")).alias("x")).collect()
+    assert {r["g"] for r in plain} == set(got)
+    for r in plain:
+        assert got[r["g"]] == (pytest.approx(r["x"]["agreement"]), r["x"]["medoid"])
+
+
+def test_the_query_compares_all_names_of_a_group(spark, tmp_path):
+    names = [f"aa{k}" for k in range(8)] + ["zzzz"] * 12
+    spark.createDataFrame([("b", "t", n) for n in names], "p_brand string, p_type string, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    got = texts.sound_agreement(spark, str(tmp_path)).collect()
+    want = spark.createDataFrame([(sorted(names),)], "l array<string>").select(match.agreement(F.col("l")).alias("x")).first()["x"]
+    assert [(r["letters"], r["medoid"]) for r in got] == [(pytest.approx(want["agreement"]), want["medoid"])]
+
+
 def test_small(spark):
     row = spark.range(1).select(
         small.clock(F.lit(59.0)), small.clock(F.lit(60.2)), small.version_newer(F.lit("2.10.0"), F.lit("2.9.0")), small.version_newer(F.lit("2.1"), F.lit("2.1.0")),
