@@ -218,6 +218,17 @@ def _heard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.withColumn("heard", heard)
 
 
+def _heard_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `_heard`, with the whole text of every turn, and turns dealt over all part names."""
+    part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("want"))
+    n, least = part.agg(F.count(F.lit(1)), F.min("p_partkey")).first()
+    conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("said"))
+    pairs = conv.join(part, F.pmod(F.col("conv_id") * 8 + F.col("turn"), F.lit(max(n, 1))) + F.lit(least or 0) == F.col("p_partkey")).drop("p_partkey")
+    want, said, k = F.col("want"), F.col("said"), F.col("turn") % 6
+    heard = F.when(k == 0, want).when(k == 1, F.concat(want, F.lit(" "), want)).when(k == 2, F.substring(want, 1, 4)).when(k == 3, "").when(k == 4, F.concat(said, F.lit(" "), want, F.lit(" x"))).otherwise(said)
+    return pairs.withColumn("heard", heard).drop("said")
+
+
 @query(
     _PAIRS
     + """ select conv_id, turn, want, heard, case when b = '' then 'silent' when a = b then 'ok' when a <> '' and contains(b, a) then (case when length(b) >= 2 * length(a) then 'rambled' else 'ok-ish' end)
@@ -235,7 +246,7 @@ def classify_native(spark: SparkSession, sf_dir: str) -> DataFrame:
 def classify_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows only, as matching-block similarity isn't SQL. Distinct pairs are scored once."""
     w, h = F.col("want"), F.col("heard")
-    pairs = _heard(spark, sf_dir)
+    pairs = spread(_heard_whole(spark, sf_dir))
     # What the UDFs read is made natively below the distinct; they take plain columns.
     inputs = pairs.select("want", "heard", text.normalise(w).alias("a"), text.normalise(h).alias("b"), F.transform(text.pieces(h), text.normalise).alias("parts"), match.sound_code(w, ascii_only=True).alias("sa"), match.sound_code(h, ascii_only=True).alias("sb")).distinct()
     scored = inputs.withColumn("similarity", match.block_ratio(F.col("a"), F.col("b"))).withColumn("best", match.best_ratio(F.col("a"), F.col("parts")))

@@ -111,6 +111,15 @@ def test_the_query_compares_all_names_of_a_group(spark, tmp_path):
     assert [(r["letters"], r["medoid"]) for r in got] == [(pytest.approx(want["agreement"]), want["medoid"])]
 
 
+def test_transcripts_are_whole_and_meet_all_names(spark, tmp_path):
+    said = "the road went on over the hill and down " * 12
+    spark.createDataFrame([(c, 5, f"{said}{c}") for c in range(300)], "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    spark.createDataFrame([(k, f"name {k}") for k in range(301)], "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    got = texts.classify_full(spark, str(tmp_path)).collect()
+    assert sorted(r["heard"] for r in got) == sorted(f"{said}{c}" for c in range(300))
+    assert len({r["want"] for r in got}) == 300
+
+
 def test_small(spark):
     row = spark.range(1).select(
         small.clock(F.lit(59.0)), small.clock(F.lit(60.2)), small.version_newer(F.lit("2.10.0"), F.lit("2.9.0")), small.version_newer(F.lit("2.1"), F.lit("2.1.0")),
