@@ -226,6 +226,13 @@ def absorbing_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.absorbing(_outcomes(spark, sf_dir).where("seq % 10 < 3"), "path", ("ts", "seq")).select("path", "outcome", "seq")
 
 
+@query(f"with {_OUTCOMES}, r as (select path, seq, ts, case when outcome = 'fixed' and seq % 97 <> 0 then 'bought' else outcome end as outcome from o) select path, arg_max(outcome, (ts, seq)) as outcome, arg_max(seq, (ts, seq)) as seq from r group by path having not bool_or(outcome = 'fixed')")
+def absorbing_outcome_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A11 over all events; of the purchases one in 97 is `fixed`, as every user has some."""
+    rare = F.when((F.col("outcome") == "fixed") & (F.col("seq") % 97 != 0), "bought").otherwise(F.col("outcome"))
+    return reconcile.absorbing(_outcomes(spark, sf_dir).withColumn("outcome", rare), "path", ("ts", "seq")).select("path", "outcome", "seq")
+
+
 @query(f"with {_OUTCOMES}, v as (select path, arg_max(case when value > 50 then 'rambled' else 'ok' end, seq) as verdict from o where seq % 2 = 0 group by path) select path, seq, verdict from o join v using (path) where outcome = 'unsettled' and seq % 2 = 1 and verdict = 'rambled'")
 def rescue_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J12, P9."""
