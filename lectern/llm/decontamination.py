@@ -3,13 +3,16 @@ r"""Benchmark passages in documents, re-parameterised ones included; in DataFram
 Texts are turned into templates: numbers, the units behind them, and names (capitalised words inside
 a sentence) become typed placeholders, everything else is lower-cased words. Windows of `width`
 template words are hashed on both sides and joined; windows with fewer than `MIN_FIXED` plain words
-are too common to tell anything and don't count. A document that holds at least `share` of an item's
-windows is a candidate. It is confirmed when its slots are consistent with the item's: each value
-that fills a placeholder of the item corresponds to one value in the document (a share of
-`consistency` of the slot pairs agrees with the most frequent counterpart).
+are hashed with their values, so that only exact copies match. A document that holds at least `share`
+of an item's telling windows, or of all its windows, is a candidate. It is confirmed when its slots are
+consistent with the item's: each value that fills a placeholder of the item corresponds to one value in
+the document (a share of `consistency` of the slot pairs agrees with the most frequent counterpart).
+That is judged for each occurrence that holds the share of the item's places (windows at one distance
+from the item's, or at distances at most `GAP` apart), and for all places together; one is enough, and
+`agreement` is that of the best.
 
 Items with fewer template words than `width` are one window of their own width; with fewer than
-`MIN_FIXED` plain words they can't be told from chance and match nothing.
+three plain words they can't be told from chance and match nothing.
 
 The item windows are broadcast while there are at most `BROADCAST_ROWS` of them; beyond that the
 join shuffles.
@@ -22,6 +25,7 @@ and pass through `without_hits`.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ._store import picked, staged
@@ -30,6 +34,8 @@ WIDTH = 8
 SHARE = 0.5
 MIN_FIXED = 4
 CONSISTENCY = 0.7
+#: Words by which the windows of one occurrence may stand apart from one another's distance.
+GAP = 3
 BROADCAST_ROWS = 500_000
 NUMBER, UNIT, NAME = "\ue001", "\ue002", "\ue003"
 #: Units that may follow a number.
@@ -47,15 +53,22 @@ def tagged(text: Column) -> Column:
     return numbered
 
 
+def _raw_words(tagged: Column) -> Column:
+    return F.filter(F.split(tagged, rf"(?:[^\p{{L}}\p{{N}}{NUMBER}-{NAME}.,:]|[.,:](?!\p{{N}}))+"), lambda w: w != "")
+
+
+def _template_words(tagged: Column) -> Column:
+    return _raw_words(F.lower(F.regexp_replace(tagged, rf"([{NUMBER}-{NAME}])[\p{{L}}\p{{N}}]+(?:[.,:]\p{{N}}+)*", "$1")))
+
+
 def raw_words(text: Column) -> Column:
     """Words with their marks and values."""
-    return F.filter(F.split(tagged(text), rf"(?:[^\p{{L}}\p{{N}}{NUMBER}-{NAME}.,:]|[.,:](?!\p{{N}}))+"), lambda w: w != "")
+    return _raw_words(tagged(text))
 
 
 def template_words(text: Column) -> Column:
     """Lower-cased words, with a bare mark for each slot."""
-    bare = F.lower(F.regexp_replace(tagged(text), rf"([{NUMBER}-{NAME}])[\p{{L}}\p{{N}}]+(?:[.,:]\p{{N}}+)*", "$1"))
-    return F.filter(F.split(bare, rf"(?:[^\p{{L}}\p{{N}}{NUMBER}-{NAME}.,:]|[.,:](?!\p{{N}}))+"), lambda w: w != "")
+    return _template_words(tagged(text))
 
 
 def is_slot(word: Column) -> Column:
@@ -72,15 +85,52 @@ def window_hashes(words: Column, width: int) -> Column:
     return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(words, i + 1, width)))).otherwise(F.array().cast("array<bigint>"))
 
 
+def let(value: Column, body) -> Column:
+    """`body` with `value` bound once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def both_words(text: Column) -> Column:
+    """struct(words, raw): template words, and the same words with their marks and values."""
+    return let(tagged(text), lambda t: F.struct(_template_words(t).alias("words"), _raw_words(t).alias("raw")))
+
+
+def least_plain(width: Column) -> Column:
+    """How many plain words a window of this width must have to be told by its template."""
+    return F.least(F.lit(MIN_FIXED), F.greatest(width - 1, F.lit(3)))
+
+
+def mixed_hashes(words: Column, raw: Column, width: int) -> Column:
+    """Hash of each window: of its template, or of its words with their values where few are plain."""
+    need = min(MIN_FIXED, max(width - 1, 3))
+
+    def chosen(parts: Column) -> Column:
+        at = F.sequence(F.lit(0), F.size(parts["slots"]) - width)
+        own = lambda name, i: F.slice(parts[name], i + 1, width)
+        mixed = F.transform(at, lambda i: F.when(F.size(F.filter(own("slots", i), lambda x: ~x)) >= need, F.xxhash64(own("words", i))).otherwise(F.xxhash64(own("raw", i))))
+        return F.when(F.size(parts["slots"]) < width, F.array().cast("array<bigint>")).when(F.size(F.filter(parts["slots"], lambda x: x)) > width - need, mixed).otherwise(window_hashes(parts["words"], width))
+
+    # Bound once: what stands in the function of a window is worked out for every window.
+    return let(F.struct(F.transform(words, is_slot).alias("slots"), word_hashes(words).alias("words"), F.transform(raw, lambda w: F.xxhash64(F.lower(w))).alias("raw")), chosen)
+
+
 def item_windows(items: DataFrame, *, width: int = WIDTH) -> DataFrame:
-    """item, at, width, window, slots, total: the telling windows of each item."""
-    words = items.where("text is not null").select("item", template_words(F.col("text")).alias("words"), raw_words(F.col("text")).alias("raw"))
+    """item, at, width, window, telling, slots, and numbers of windows and places: the windows of each item.
+
+    `total` and `places` are of telling windows, `total_all` and `places_all` of all.
+    """
+    words = items.where("text is not null").select("item", both_words(F.col("text")).alias("b")).select("item", "b.words", "b.raw")
     sized = words.withColumn("width", F.least(F.lit(width), F.size("words"))).where("width > 0")
     at = sized.select("item", "words", word_hashes(F.col("words")).alias("hashes"), "raw", "width", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("width"))).alias("at"))
     own = F.slice("words", F.col("at") + 1, F.col("width"))
-    telling = F.size(F.filter(own, lambda w: ~is_slot(w))) >= F.least(F.lit(MIN_FIXED), F.greatest(F.col("width") - 1, F.lit(3)))
-    found = at.where(telling).select("item", "at", "width", F.xxhash64(F.slice("hashes", F.col("at") + 1, F.col("width"))).alias("window"), F.filter(F.slice("raw", F.col("at") + 1, F.col("width")), is_slot).alias("slots"))
-    total = found.groupBy("item").agg(F.count_distinct("window").alias("total"))
+    n_plain = F.size(F.filter(own, lambda w: ~is_slot(w)))
+    values = F.slice("raw", F.col("at") + 1, F.col("width"))
+    told = at.withColumn("telling", n_plain >= least_plain(F.col("width"))).where(F.col("telling") | (F.col("width") == width) | (n_plain >= 3))
+    window = F.when(F.col("telling"), F.xxhash64(F.slice("hashes", F.col("at") + 1, F.col("width")))).otherwise(F.xxhash64(F.transform(values, lambda w: F.xxhash64(F.lower(w)))))
+    found = told.select("item", "at", "width", window.alias("window"), "telling", F.filter(values, is_slot).alias("slots"))
+    total = found.groupBy("item", "window", "telling").agg(F.count_distinct("at").alias("k")).groupBy("item").agg(
+        F.count_if("telling").alias("total"), F.count(F.lit(1)).alias("total_all"), F.sum(F.when(F.col("telling"), F.col("k")).otherwise(0)).alias("places"), F.sum("k").alias("places_all")
+    )
     return found.join(total, "item")
 
 
@@ -92,25 +142,42 @@ def hits(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col:
     if known.count() <= BROADCAST_ROWS:
         known = F.broadcast(known)
     rows = picked(docs, doc_id=id_col, text=text_col).where("text is not null").withColumn("tie", F.xxhash64("text"))
-    words = rows.select("doc_id", "tie", word_hashes(template_words(F.col("text"))).alias("words"))
-    per_width = F.array(*[F.struct(F.lit(w).alias("width"), window_hashes(F.col("words"), w).alias("hashes")) for w in widths or [width]])
-    each = words.select("doc_id", "tie", F.explode(per_width).alias("p")) if len(widths) > 1 else words.select("doc_id", "tie", F.struct(F.lit((widths or [width])[0]).alias("width"), window_hashes(F.col("words"), (widths or [width])[0]).alias("hashes")).alias("p"))
-    spread = each.select("doc_id", "tie", F.col("p.width").alias("width"), F.posexplode("p.hashes").alias("pos", "window"))
+    per_width = lambda b: F.array(*[F.struct(F.lit(w).alias("width"), mixed_hashes(b["words"], b["raw"], w).alias("hashes")) for w in widths or [width]])
+    spread = rows.select("doc_id", "tie", F.explode(let(both_words(F.col("text")), per_width)).alias("p")).select("doc_id", "tie", F.col("p.width").alias("width"), F.posexplode("p.hashes").alias("pos", "window"))
     found = staged(spread.join(known, "window").select("doc_id", "tie", "width", "pos", "window"), "window_hits")
     met = found.join(wanted, ["window", "width"])
-    held = met.groupBy("doc_id", "tie", "item").agg(F.count_distinct("window").alias("matched"), F.first("total").alias("total")).where(F.col("matched") >= share * F.col("total"))
-    held = staged(held, "held_items")
-    # Slots: the values in the document where the item's windows stand, beside the item's own.
+    own = ["doc_id", "tie", "item"]
     same = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.tie") == F.col(f"{b}.tie"))
-    slotted = met.where(F.size("slots") > 0).alias("m").join(held.alias("h"), same("m", "h") & F.col("m.item").eqNullSafe(F.col("h.item")), "left_semi")
-    places = slotted.groupBy("doc_id", "tie").agg(F.collect_set(F.struct("item", "at", "pos", "width", "slots")).alias("places"))
-    valued = rows.alias("r").join(places.alias("p"), same("r", "p")).select("r.doc_id", "r.tie", raw_words(F.col("r.text")).alias("raw"), "p.places")
-    pairs = valued.select("doc_id", "tie", "raw", F.explode("places").alias("p")).select("doc_id", "tie", F.col("p.item").alias("item"), F.explode(F.arrays_zip(F.col("p.slots").alias("theirs"), F.filter(F.slice("raw", F.col("p.pos") + 1, F.col("p.width")), is_slot).alias("ours"))).alias("s"))
-    counted = pairs.groupBy("doc_id", "tie", "item", F.col("s.theirs").alias("theirs"), F.col("s.ours").alias("ours")).agg(F.count(F.lit(1)).alias("n"))
-    top = counted.groupBy("doc_id", "tie", "item", "theirs").agg(F.max("n").alias("best"), F.sum("n").alias("n"))
-    agreed = top.groupBy("doc_id", "tie", "item").agg((F.sum("best") / F.sum("n")).alias("agreement"))
-    both = held.alias("h").join(agreed.alias("a"), same("h", "a") & F.col("h.item").eqNullSafe(F.col("a.item")), "left")
-    return both.select("h.doc_id", "h.tie", F.col("h.item").alias("item_id"), "h.matched", "h.total", F.coalesce("a.agreement", F.lit(1.0)).alias("agreement")).where(F.col("agreement") >= consistency)
+    alike = lambda a, b: same(a, b) & F.col(f"{a}.item").eqNullSafe(F.col(f"{b}.item"))
+    enough = lambda told, total, every, total_all: ((total > 0) & (told >= share * total)) | (every >= share * total_all)
+    c = F.col
+    kinds = met.select(*own, "window", "telling", "total", "total_all").distinct()
+    held = kinds.groupBy(*own).agg(F.count_if("telling").alias("told"), F.count(F.lit(1)).alias("every"), F.first("total").alias("total"), F.first("total_all").alias("total_all"))
+    held = staged(held.where(enough(c("told"), c("total"), c("every"), c("total_all"))), "held_items")
+    # Occurrences: windows that stand at one distance from the item's, or at distances with small gaps between.
+    places = met.alias("m").join(held.alias("h"), alike("m", "h"), "left_semi").select(*own, "at", "pos", "width", "telling", "slots", "places", "places_all").distinct()
+    in_order = W.partitionBy(*own).orderBy(c("pos") - c("at"))
+    apart = (c("pos") - c("at")) - F.lag(c("pos") - c("at")).over(in_order) > F.least(F.lit(GAP), c("width") - 1)
+    places = places.withColumn("apart", F.coalesce(apart, F.lit(False)).cast("int"))
+    places = staged(places.withColumn("chain", F.sum("apart").over(in_order)).drop("apart"), "held_places")
+    level = lambda n, key: F.struct(F.lit(n).alias("level"), key.cast("long").alias("key"))
+    levels = [level(0, c("pos") - c("at")), level(1, c("chain"))]
+    stood = places.select(*own, F.explode(F.array(*levels)).alias("o"), "at", "telling", "places", "places_all").distinct().groupBy(*own, "o.level", "o.key")
+    stood = stood.agg(F.count_if("telling").alias("told"), F.count(F.lit(1)).alias("every"), F.first("places").alias("places"), F.first("places_all").alias("places_all"))
+    judged = stood.where(enough(c("told"), c("places"), c("every"), c("places_all"))).select(*own, "level", "key").union(held.select(*own, F.lit(2).alias("level"), F.lit(0).cast("long").alias("key")))
+    # Slots: the values in the document where the item's windows stand, beside the item's own.
+    slotted = places.where(F.size("slots") > 0).groupBy("doc_id", "tie").agg(F.collect_set(F.struct("item", "at", "pos", "width", "slots", "chain")).alias("places"))
+    valued = rows.alias("r").join(slotted.alias("p"), same("r", "p")).select("r.doc_id", "r.tie", raw_words(F.col("r.text")).alias("raw"), "p.places")
+    one = valued.select("doc_id", "tie", "raw", F.explode("places").alias("p")).select("doc_id", "tie", "raw", "p.*")
+    pairs = one.select(*own, "at", "pos", "chain", F.explode(F.arrays_zip(c("slots").alias("theirs"), F.filter(F.slice("raw", c("pos") + 1, c("width")), is_slot).alias("ours"))).alias("s"))
+    counted = pairs.select(*own, F.explode(F.array(*levels, level(2, F.lit(0)))).alias("o"), "s").groupBy(*own, "o.level", "o.key", c("s.theirs").alias("theirs"), c("s.ours").alias("ours")).agg(F.count(F.lit(1)).alias("n"))
+    top = counted.groupBy(*own, "level", "key", "theirs").agg(F.max("n").alias("best"), F.sum("n").alias("n"))
+    agreed = top.groupBy(*own, "level", "key").agg((F.sum("best") / F.sum("n")).alias("agreement"))
+    at_one = alike("j", "a") & (c("j.level") == c("a.level")) & (c("j.key") == c("a.key"))
+    best = judged.alias("j").join(agreed.alias("a"), at_one, "left").groupBy("j.doc_id", "j.tie", "j.item").agg(F.max(F.coalesce("a.agreement", F.lit(1.0))).alias("agreement")).where(c("agreement") >= consistency)
+    by_template = (c("h.total") > 0) & (c("h.told") >= share * c("h.total"))
+    matched, total = F.when(by_template, c("h.told")).otherwise(c("h.every")), F.when(by_template, c("h.total")).otherwise(c("h.total_all"))
+    return held.alias("h").join(best.alias("b"), alike("h", "b")).select("h.doc_id", "h.tie", c("h.item").alias("item_id"), matched.alias("matched"), total.alias("total"), "b.agreement")
 
 
 def without_hits(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

@@ -269,6 +269,26 @@ def test_inconsistent_slots_are_no_hit(spark):
     assert [x["doc_id"] for x in decontamination.hits(docs, items).collect()] == [1]
 
 
+def test_several_occurrences_in_one_document(spark):
+    item = "On friday the farmer Anna sold 12 kg of apples to her neighbour Boris and then walked 3 km home with Anna"
+    other = item.replace("Anna", "Clara").replace("Boris", "David").replace("12 kg", "9 kg").replace("3 km", "5 km")
+    third = item.replace("Anna", "Emil").replace("Boris", "Fred").replace("12 kg", "7 kg").replace("3 km", "8 km")
+    docs = spark.createDataFrame([(1, ". ".join([item, other, third]), "", "", 0), (2, f"{item}. {other}", "", "", 0), (3, f"{other} {third}", "", "", 0)], SCHEMA)
+    items = spark.createDataFrame([(10, item), (11, other)], "item_id long, text string")
+    assert sorted((x["doc_id"], x["item_id"]) for x in decontamination.hits(docs, items).collect()) == [(d, i) for d in (1, 2, 3) for i in (10, 11)]
+    assert decontamination.without_hits(docs, items).count() == 0
+
+
+def test_copies_of_items_full_of_slots(spark):
+    table = "12 kg 15 kg 18 kg 21 kg 33 kg 36 kg 39 kg 41 kg total 215 kg"
+    sums = "17 plus 25 is 42 and 18 plus 36 is 54 and 11 plus 19 is 30"
+    names = "we met Anna, Boris, Clara, David, Emil, Fred, Gerd, Hans, Ines"
+    r = random.Random(5)
+    rows = [(k, f"{prose(r, 60)} {t} {prose(r, 60)}", "", "", 0) for k, t in enumerate([table, sums, names, table.replace("1", "4"), names.replace("a", "e").replace("e", "i")])]
+    items = spark.createDataFrame([(0, table), (1, sums), (2, names)], "item_id long, text string")
+    assert sorted((x["doc_id"], x["item_id"]) for x in decontamination.hits(spark.createDataFrame(rows, SCHEMA), items).collect()) == [(0, 0), (1, 1), (2, 2)]
+
+
 def test_language(spark):
     r = random.Random(2)
     parts = {"en": ["th", "er", "on", "an"], "de": ["sch", "ein", "ung", "ü"]}
