@@ -2,52 +2,97 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Largest size in bytes of anything that is broadcast explicitly.
-BROADCAST_BYTES = 64 << 20
-
 #: The six white-space characters of all contracts: space and U+0009 to U+000D.
 SPACE = " \t\n\x0b\x0c\r"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that all executors share: `spark.checkpoint.dir`, or one of our own where it is unset."""
+    """Folder that all executors share: `spark.checkpoint.dir`; on one machine a folder of our own where that is unset."""
     own = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not own:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         own = "file://" + tempfile.gettempdir() + "/lectern-checkpoint"
     return own.rstrip("/")
 
 
-#: What Spark hands a Python worker at once: rows, and bytes where the rows are long texts.
-BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+#: What Spark hands a Python worker at once while a table is staged: rows, and bytes where the rows are long texts.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches by what a worker can hold several times over, unless the session has its own bound.
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Bound the Arrow batches by what a worker can hold several times over.
 
-    Spark's default is 10,000 rows whatever their size, and workers keep what a batch made them grow to.
+    Spark's default is 10,000 rows whatever their size, and workers keep what a batch made them grow
+    to. The session's own settings are back afterwards.
     """
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    before = {k: spark.conf.get(k, None) for k in BATCHES}
+    try:
+        for k, v in BATCHES.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as Parquet into the shared folder and read it back.
 
     Cuts the lineage: what follows reads replicated files and survives lost executors. Values that
-    depend on the partitioning (row ids) are fixed from here on.
+    depend on the partitioning (row ids) are fixed from here on. The folder goes when the driver ends.
     """
     spark = df.sparkSession
-    small_batches(spark)
-    path = f"{shared_dir(spark)}/lectern/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    root = f"{shared_dir(spark)}/lectern/{spark.sparkContext.applicationId}"
+    path = f"{root}/{uuid.uuid4().hex}/{name}"
+    with small_batches(spark):
+        df.write.parquet(path)
+    _folder(spark, root).deleteOnExit(_path(spark, root))
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path  # type: ignore[attr-defined]
+    return out
+
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _folder(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Remove staged tables that nothing will read again."""
+    for table in tables:
+        if path := getattr(table, "staged_at", None):
+            _folder(table.sparkSession, path).delete(_path(table.sparkSession, path), True)
+
+
+T = TypeVar("T")
+
+
+def tidied(batches: Iterable[T]) -> Iterator[T]:
+    """The batches of a Python worker; when they end, freed memory goes back to the system, as workers are used again."""
+    try:
+        yield from batches
+    finally:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def picked(docs: DataFrame, **columns: str) -> DataFrame:

@@ -245,6 +245,33 @@ def test_parts_of_a_long_text(monkeypatch):
     assert sorted(served) == list(range(len(raw) - 99))
 
 
+def test_distances_at_which_windows_repeat():
+    r = random.Random(11)
+    for _ in range(60):
+        k, length = r.choice([2, 3, 5, 12]), 20
+        raws = ["".join(r.choice("ab") for _ in range(14)) + "anchored" + "".join(r.choice("ab") for _ in range(14)) for _ in range(k)]
+        if r.random() < 0.7:
+            raws[1] = raws[0][: r.randint(0, 20)] + raws[1][-14:] if r.random() < 0.3 else raws[1][:10] + raws[0][10:26] + raws[1][26:]
+        cut = [(raw.index("anchored"), raw) for raw in raws if "anchored" in raw and len(raw) > raw.index("anchored") + length]
+        ends = [(raw[max(0, x - r.randint(0, 12)) : x].encode(), raw[x : x + length - r.randint(0, 4)].encode()) for x, raw in cut]
+        if len(ends) < 2:
+            continue
+        windows = {}
+        for i, (before, behind) in enumerate(ends):
+            for d in range(len(before) + 1):
+                if len(behind) >= length - d:
+                    windows.setdefault((d, (before[len(before) - d :] + behind)[:length]), []).append(i)
+        want = {(i, d) for (d, _), own in windows.items() if len(own) > 1 for i in own}
+        got = {(i, d) for i, a, z in suffix_dedup.repeated_distances([e[0] for e in ends], [e[1] for e in ends], length) for d in range(a, z + 1)}
+        assert got == want
+
+
+def test_a_text_of_one_letter(spark):
+    rows = [(1, "a" * 2_000_000, "", "", 0), (2, "b" + "a" * 400 + "c", "", "", 0), (3, "a" * 399, "", "", 0), (4, "xyz" * 300, "", "", 0)]
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in suffix_dedup.dedup_passages(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1: (2_000_000, 2_000_000, 1, b""), 2: (402, 400, 1, b"bc"), 3: (399, 0, 0, b"a" * 399), 4: (900, 900, 1, b"")}
+
+
 def test_decontamination(spark):
     r = random.Random(4)
     item = "On friday the farmer Anna sold 12 kg of apples to her neighbour Boris and then walked 3 km home with Anna"
