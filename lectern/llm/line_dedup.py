@@ -7,14 +7,17 @@ A line's key is the line without white space at both ends and with A-Z lower-cas
 * the exact reference counts: one row per key with its number of documents and its largest document,
 * one cuckoo filter per shard of the keys, whose 16-bit fingerprints can be removed again.
 
-A new batch is counted first (one row per key, so that no key is hot), dealt to the shards and met
-with their filters: a key that a filter doesn't know is new and needs no look at the exact counts;
-only keys that may be known are joined with them. Deleting documents lowers the counts, and keys that
-nobody holds any more leave the filters.
-
-Edge cases: a null or empty text is one empty line and loses nothing; rows that repeat a document's
-id count as one document and lose the same lines; a null id counts as one document, smaller than any
-other; an empty table gives no rows; other columns pass through `clean` untouched.
+A new batch is counted first (one row per key, so that no key is hot), dealt to the shards and
+screened by their filters: a key that a filter doesn't know is new and needs no look at the exact
+counts; only keys that may be known are joined with them. All keys that turn out new enter the
+filters, those that a filter took for known too. A filter that is full is built anew from the counts,
+and when there are twice the keys that the shards were made for, all are. Deleting documents lowers
+the counts, and keys that nobody holds any more leave the filters.
+
+Edge cases: a null or empty text is one empty line and loses nothing; a text of any length is split
+whole; rows that repeat a document's id count as one document and lose the same lines; a null id
+counts as one document, smaller than any other; an empty table gives no rows; other columns pass
+through `clean` untouched, but for such as have the names of the two that it adds.
 """
 
 from __future__ import annotations
@@ -27,14 +30,15 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ._store import SPACE, staged
+from ._store import BROADCAST_IDS, SPACE, dropped, staged, tidied
 
 MIN_CHARS = 40
 MIN_DOCS = 5
 #: Keys that one shard's filter holds at about its best load.
 KEYS_PER_SHARD = 100_000
+#: The batches of one table: shares of its documents.
+SHARES = (2, 1, 1)
 NO_ID = -(1 << 63)
 _STRIP = SPACE.encode()
 
@@ -116,109 +120,138 @@ def line_refs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     """key, doc: a row for each document and key of at least `min_chars` code points."""
 
     def refs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keys: list[bytes] = []
-            ids: list[int] = []
-            for doc, text in zip(batch["doc"].tolist(), batch["text"].tolist()):
-                own = {k for line in (text or "").split("\n") if (k := key_of(line, min_chars))}
-                keys += own
-                ids += [doc] * len(own)
-            yield pd.DataFrame({"key": keys, "doc": np.array(ids, np.int64)})
+        for batch in tidied(batches):
+            for at in range(0, len(batch), 250):
+                part = batch.iloc[at : at + 250]
+                keys: list[bytes] = []
+                ids: list[int] = []
+                for doc, text in zip(part["doc"].tolist(), part["text"].tolist()):
+                    own = {k for line in (text or "").split("\n") if (k := key_of(line, min_chars))}
+                    keys += own
+                    ids += [doc] * len(own)
+                yield pd.DataFrame({"key": keys, "doc": np.array(ids, np.int64)})
 
     rows = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("doc"), docs[text_col].alias("text"))
     return rows.mapInPandas(refs, "key binary, doc long")
 
 
-_COUNTED = "shard int, key binary, n_docs long, last_doc long, maybe boolean, buckets int, cuckoo binary"
 _FILTERS = "shard int, buckets int, cuckoo binary"
+_COUNTS = "key binary, n_docs long, last_doc long"
 
 
-def _meet(old: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
-    """One shard: which of the batch's keys its filter may know, and the filter with all of them."""
-    keys = counts["key"].tolist()
-    words = Cuckoo.words(keys)
-    if len(old):
-        have = Cuckoo(int(old["buckets"].iloc[0]), np.frombuffer(old["cuckoo"].iloc[0], np.uint16).reshape(-1, Cuckoo.SLOTS).copy())
-        maybe = have.contains(words) if keys else np.zeros(0, bool)
-    else:
-        have, maybe = Cuckoo.for_keys(len(keys)), np.zeros(len(keys), bool)
-    before = have.table.copy()
-    full = bool(keys) and not have.add(words[~maybe])
-    while full and not len(old):
+def _opened(row: pd.DataFrame) -> Cuckoo:
+    return Cuckoo(int(row["buckets"].iloc[0]), np.frombuffer(row["cuckoo"].iloc[0], np.uint16).reshape(-1, Cuckoo.SLOTS).copy())
+
+
+def _closed(shard: int, have: Cuckoo | None) -> pd.DataFrame:
+    """A shard's row; without a filter where it must be built anew."""
+    return pd.DataFrame([{"shard": shard, "buckets": have.buckets if have else None, "cuckoo": have.table.tobytes() if have else None}]).astype(object)
+
+
+def _screen(old: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
+    """One shard: which of the batch's keys its filter may know."""
+    maybe = _opened(old).contains(Cuckoo.words(counts["key"].tolist())) if len(old) and len(counts) else np.zeros(len(counts), bool)
+    return counts.assign(maybe=maybe)[["key", "n_docs", "last_doc", "maybe"]]
+
+
+def _learn(old: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
+    """One shard's filter with further keys, or without a filter where they don't fit."""
+    if not len(new):
+        return old
+    if not len(old):
+        return _build(new)
+    have = _opened(old)
+    return _closed(int(old["shard"].iloc[0]), have if have.add(Cuckoo.words(new["key"].tolist())) else None)
+
+
+def _forget(old: pd.DataFrame, gone: pd.DataFrame) -> pd.DataFrame:
+    if len(old) and len(gone):
+        have = _opened(old)
+        have.remove(Cuckoo.words(gone["key"].tolist()))
+        return _closed(int(old["shard"].iloc[0]), have)
+    return old
+
+
+def _build(keys: pd.DataFrame) -> pd.DataFrame:
+    """One shard's filter from all of its keys."""
+    words = Cuckoo.words(keys["key"].tolist())
+    have = Cuckoo.for_keys(len(words))
+    while not have.add(words):
         have = Cuckoo(have.buckets * 2)
-        full = not have.add(words)
-    if full:
-        # The keys behind an older filter aren't here: keep it, and call every key of the batch known.
-        have.table, maybe = before, np.ones(len(keys), bool)
-    shard = int(counts["shard"].iloc[0]) if len(counts) else int(old["shard"].iloc[0])
-    out = counts.assign(maybe=maybe, buckets=None, cuckoo=None)
-    last = pd.DataFrame([{"shard": shard, "key": None, "n_docs": None, "last_doc": None, "maybe": None, "buckets": have.buckets, "cuckoo": have.table.tobytes()}])
-    return pd.concat([out.astype(object), last.astype(object)])[_COUNTED.replace(",", "").split()[::2]]
+    return _closed(int(keys["shard"].iloc[0]), have)
 
 
 @dataclasses.dataclass(frozen=True)
 class LineIndex:
-    """References, counts and filters of all lines seen so far; every change gives a new index."""
+    """References, counts and filters of all lines seen so far; every change gives a new index.
+
+    Every key of the counts has one fingerprint of its own in its shard's filter.
+    """
 
     refs: DataFrame
     counts: DataFrame
     filters: DataFrame
-    shards: int
+    shards: int = 0
+    n_keys: int = 0
     min_chars: int = MIN_CHARS
 
     @classmethod
-    def empty(cls, spark: SparkSession, shards: int = 0, min_chars: int = MIN_CHARS) -> LineIndex:
-        """shards: 0 to choose by the first batch."""
+    def empty(cls, spark: SparkSession, min_chars: int = MIN_CHARS) -> LineIndex:
         none = lambda ddl: spark.createDataFrame([], ddl)
-        return cls(none("key binary, doc long"), none("key binary, n_docs long, last_doc long"), none(_FILTERS), shards, min_chars)
+        return cls(none("key binary, doc long"), none(_COUNTS), none(_FILTERS), min_chars=min_chars)
 
     def _shard(self, shards: int):
         return F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard")
 
     def insert(self, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> LineIndex:
         """With the lines of further documents, whose ids are new to the index."""
-        refs = staged(line_refs(docs, id_col=id_col, text_col=text_col, min_chars=self.min_chars), "line_refs")
-        counts = staged(_counted(refs), "line_counts")
-        first = not self.shards
-        shards = self.shards or max(1, -(-counts.count() // KEYS_PER_SHARD))
-        dealt = counts.select(self._shard(shards), "key", "n_docs", "last_doc")
-        if first:
-            met = dealt.groupBy("shard").applyInPandas(lambda pdf: _meet(pdf.iloc[:0], pdf), _COUNTED)
-        else:
-            met = self.filters.groupBy("shard").cogroup(dealt.groupBy("shard")).applyInPandas(_meet, _COUNTED)
-        met = staged(met, "line_shards")
-        fresh = met.where("cuckoo is null and not maybe").select("key", "n_docs", "last_doc")
-        filters = met.where("cuckoo is not null").select("shard", "buckets", "cuckoo")
-        if first:
-            return LineIndex(refs, fresh, filters, shards, self.min_chars)
-        maybe = met.where("cuckoo is null and maybe").select("key", F.col("n_docs").alias("more"), F.col("last_doc").alias("later"))
+        return self.insert_refs(staged(line_refs(docs, id_col=id_col, text_col=text_col, min_chars=self.min_chars), "line_refs"))
+
+    def insert_refs(self, refs: DataFrame) -> LineIndex:
+        """With the rows (key, doc) of further documents, from a staged table."""
+        batch = staged(_counted(refs), "line_counts")
+        shards, filters, n = self.shards, self.filters, batch.count()
+        need = -(-(self.n_keys + n) // KEYS_PER_SHARD)
+        if need > 2 * shards:
+            # Twice the keys that the shards were made for: deal all anew.
+            shards = max(1, need)
+            filters = staged(self.counts.select(self._shard(shards), "key").groupBy("shard").applyInPandas(_build, _FILTERS), "line_filters")
+        dealt = batch.select(self._shard(shards), *batch.columns)
+        screened = staged(filters.groupBy("shard").cogroup(dealt.groupBy("shard")).applyInPandas(_screen, _COUNTS + ", maybe boolean"), "screened")
+        # A key that its filter doesn't know is new, and needs no look at the counts.
+        maybe = screened.where("maybe").select("key", F.col("n_docs").alias("more"), F.col("last_doc").alias("later"))
         both = self.counts.join(maybe, "key", "full_outer")
-        both = both.select("key", (F.coalesce("n_docs", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("n_docs"), F.greatest("last_doc", "later").alias("last_doc"))
-        return LineIndex(staged(self.refs.union(refs), "line_refs"), staged(both.union(fresh), "line_counts"), filters, shards, self.min_chars)
+        both = both.select("key", (F.coalesce("n_docs", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("n_docs"), F.greatest("last_doc", "later").alias("last_doc"), F.isnull("n_docs").alias("new"))
+        counts = staged(both.union(screened.where("not maybe").select("key", "n_docs", "last_doc", F.lit(True))), "line_counts")
+        new = counts.where("new").select(self._shard(shards), "key")
+        filters = staged(filters.groupBy("shard").cogroup(new.groupBy("shard")).applyInPandas(_learn, _FILTERS), "line_filters")
+        full = filters.where("cuckoo is null").select("shard")
+        if not full.isEmpty():
+            # Built anew, and larger, from the exact counts. The list has at most a number for each shard.
+            again = counts.select(self._shard(shards), "key").join(F.broadcast(full), "shard", "left_semi").groupBy("shard").applyInPandas(_build, _FILTERS)
+            filters = staged(filters.where("cuckoo is not null").union(again), "line_filters")
+        dropped(batch, screened)
+        return LineIndex(self.refs.union(refs) if self.n_keys else refs, counts.drop("new"), filters, shards, counts.count(), self.min_chars)
 
     def delete(self, doc_ids: DataFrame) -> LineIndex:
         """Without the documents of the ids in `doc_ids`' only column."""
         gone = doc_ids.select(F.coalesce(F.col(doc_ids.columns[0]).cast("long"), F.lit(NO_ID)).alias("doc")).distinct()
-        touched = self.refs.join(gone, "doc", "left_semi").select("key").distinct()
+        touched = staged(self.refs.join(gone, "doc", "left_semi").select("key").distinct(), "touched_keys")
         refs = staged(self.refs.join(gone, "doc", "left_anti").select("key", "doc"), "line_refs")
         again = _counted(refs.join(touched, "key", "left_semi"))
         counts = staged(self.counts.join(touched, "key", "left_anti").union(again), "line_counts")
-        unheld = touched.join(counts, "key", "left_anti").select(self._shard(self.shards), "key")
-
-        def forget(old: pd.DataFrame, keys: pd.DataFrame) -> pd.DataFrame:
-            if len(old) and len(keys):
-                have = Cuckoo(int(old["buckets"].iloc[0]), np.frombuffer(old["cuckoo"].iloc[0], np.uint16).reshape(-1, Cuckoo.SLOTS).copy())
-                have.remove(Cuckoo.words(keys["key"].tolist()))
-                old = old.assign(cuckoo=[have.table.tobytes()])
-            return old
-
-        filters = staged(self.filters.groupBy("shard").cogroup(unheld.groupBy("shard")).applyInPandas(forget, _FILTERS), "line_filters")
-        return LineIndex(refs, counts, filters, self.shards, self.min_chars)
+        unheld = touched.join(counts, "key", "left_anti").select(self._shard(max(1, self.shards)), "key")
+        filters = staged(self.filters.groupBy("shard").cogroup(unheld.groupBy("shard")).applyInPandas(_forget, _FILTERS), "line_filters")
+        return LineIndex(refs, counts, filters, self.shards, counts.count(), self.min_chars)
 
     def to_drop(self, min_docs: int = MIN_DOCS) -> DataFrame:
         """doc, keys: the keys that each document loses, being in `min_docs` documents and not last in this one."""
-        often = self.counts.where(F.col("n_docs") >= min_docs).select("key", "last_doc")
-        lost = self.refs.join(often, "key").where("doc <> last_doc")
+        often = self.counts.where(F.col("n_docs") >= min_docs).select("key", "last_doc", "n_docs")
+        # At most a thousand keys can each hold a thousandth of all references; those are broadcast.
+        total = self.refs.count()
+        hot = F.broadcast(often.where(F.col("n_docs") * 1000 >= total).drop("n_docs"))
+        cold = often.where(F.col("n_docs") * 1000 < total).drop("n_docs")
+        lost = self.refs.join(hot, "key").union(self.refs.join(hot, "key", "left_anti").join(cold, "key")).where("doc <> last_doc")
         return lost.groupBy("doc").agg(F.collect_set("key").alias("keys"))
 
 
@@ -226,31 +259,51 @@ def _counted(refs: DataFrame) -> DataFrame:
     return refs.groupBy("key").agg(F.count_distinct("doc").alias("n_docs"), F.max("doc").alias("last_doc"))
 
 
-def clean(docs: DataFrame, drops: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
-    """`docs` with the dropped lines gone from the text, and with n_lines and n_dropped."""
-    rows = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)])
-    doc, text = (f"c{docs.columns.index(c)}" for c in (id_col, text_col))
-    met = rows.join(drops, F.coalesce(rows[doc].cast("long"), F.lit(NO_ID)) == drops["doc"], "left").drop("doc")
-    kept = [*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]
+def clean(docs: DataFrame, drops: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, lines_col: str = "n_lines", dropped_col: str = "n_dropped") -> DataFrame:
+    """`docs` with the dropped lines gone from the text, and with n_lines and n_dropped (in place of columns of these names)."""
+    own = [c for c in docs.columns if c not in (lines_col, dropped_col)]
+    rows = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(own)])
+    doc, text = (f"c{own.index(c)}" for c in (id_col, text_col))
+    drops = staged(drops, "lines_to_drop")
+    at = lambda side: F.coalesce(rows[doc].cast("long"), F.lit(NO_ID)) == side["doc"]
+    rest = None
+    if drops.count() <= BROADCAST_IDS:
+        # Only texts that lose something are shuffled.
+        ids = F.broadcast(drops.select("doc"))
+        rest = rows.join(ids, at(ids), "left_anti")
+        met = rows.join(ids, at(ids), "left_semi").join(drops, at(drops)).drop("doc")
+    else:
+        met = rows.join(drops, at(drops), "left").drop("doc")
     packed = met.select(F.struct(*[c for c in rows.columns if c != text]).alias("rest"), F.col(text).alias("text"), "keys")
 
-    def cut(texts: pd.Series, keys: pd.Series) -> pd.DataFrame:
-        out = []
-        for t, own in zip(texts, keys):
-            lines = (t or "").split("\n")
-            if own is None:
-                out.append((t, len(lines), 0))
-                continue
-            own = set(own)
-            left = [x for x in lines if key_of(x, min_chars) not in own]
-            out.append(("\n".join(left), len(lines), len(lines) - len(left)))
-        return pd.DataFrame(out, columns=["text", "n_lines", "n_dropped"])
+    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, keys in tidied(batches):
+            out = []
+            for t, own in zip(texts, keys):
+                lines = (t or "").split("\n")
+                if own is None:
+                    out.append((t, len(lines), 0))
+                    continue
+                own = set(own)
+                left = [x for x in lines if key_of(x, min_chars) not in own]
+                out.append(("\n".join(left), len(lines), len(lines) - len(left)))
+            yield pd.DataFrame(out, columns=["text", "n_lines", "n_dropped"])
 
     done = packed.select("rest", F.pandas_udf(cut, "text string, n_lines long, n_dropped long")("text", "keys").alias("cut"))
-    return done.select(*[(F.col("cut.text") if f"c{i}" == text else F.col(f"rest.c{i}")).alias(f.name) for i, f in enumerate(kept[:-2])], F.col("cut.n_lines").alias("n_lines"), F.col("cut.n_dropped").alias("n_dropped"))
-
-
-def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """All documents in one batch: index them, and cut what the index says."""
-    index = LineIndex.empty(docs.sparkSession, min_chars=min_chars).insert(docs, id_col=id_col, text_col=text_col)
-    return clean(docs, index.to_drop(min_docs), id_col=id_col, text_col=text_col, min_chars=min_chars)
+    done = done.select(*[(F.col("cut.text") if f"c{i}" == text else F.col(f"rest.c{i}")).alias(c) for i, c in enumerate(own)], F.col("cut.n_lines").alias(lines_col), F.col("cut.n_dropped").alias(dropped_col))
+    if rest is None:
+        return done
+    lines = F.size(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).cast("long")
+    return done.union(rest.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(own)], lines.alias(lines_col), F.lit(0).cast("long").alias(dropped_col)))
+
+
+def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, shares: tuple[int, ...] = SHARES, **names: str) -> DataFrame:
+    """All documents: index them in batches, and cut what the index says."""
+    refs = staged(line_refs(docs, id_col=id_col, text_col=text_col, min_chars=min_chars), "line_refs")
+    index = LineIndex.empty(docs.sparkSession, min_chars)
+    part, at = F.pmod(F.xxhash64("doc"), F.lit(sum(shares))), 0
+    for share in shares:
+        index = index.insert_refs(refs.where((part >= at) & (part < at + share)))
+        at += share
+    index = dataclasses.replace(index, refs=refs)
+    return clean(docs, index.to_drop(min_docs), id_col=id_col, text_col=text_col, min_chars=min_chars, **names)

@@ -34,7 +34,7 @@ def quality(text):
     return n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(again), n < 50 or 100 * len(again) > 50 * n
 
 
-def line_dedup(rows):
+def line_dedup(rows, least=5):
     """rows of (doc_id, text) to {row number: (n_lines, n_dropped, sha256)}."""
     held = defaultdict(set)
     key = lambda line: lower(line.strip(" \t\n\x0b\x0c\r"))
@@ -44,7 +44,7 @@ def line_dedup(rows):
     out = []
     for doc, text in rows:
         lines = (text or "").split("\n")
-        kept = [x for x in lines if len(key(x)) < 40 or len(held[key(x)]) < 5 or max(held[key(x)]) == doc]
+        kept = [x for x in lines if len(key(x)) < 40 or len(held[key(x)]) < least or max(held[key(x)]) == doc]
         out.append((doc, len(lines), len(lines) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
     return out
 

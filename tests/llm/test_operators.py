@@ -181,6 +181,39 @@ def test_lines_in_batches_and_back(spark, docs, corpus):
     assert line_rows(line_dedup.clean(docs, back.to_drop())) == sorted(brute.line_dedup([c[:2] for c in corpus]))
 
 
+def test_lines_of_growing_batches(spark, monkeypatch):
+    """Small first batches, then larger ones, repeats, and deletions: filters overflow and shards are dealt anew."""
+    monkeypatch.setattr(line_dedup, "KEYS_PER_SHARD", 100)
+    line = lambda k: f"line number {k:06d} of a text that is long enough"
+    rows, batches = [], []
+    for n in (3, 30, 300, 300, 20, 300):
+        at = len(rows)
+        rows += [(at + i, "\n".join(line(k) for k in range(i, n, 4)), "", "", 0) for i in range(4)]
+        batches.append(rows[at:])
+    index = line_dedup.LineIndex.empty(spark)
+    for batch in batches:
+        index = index.insert(spark.createDataFrame(batch, SCHEMA))
+        held = index.counts.collect()
+        assert len(held) == len({bytes(r["key"]) for r in held}) == index.n_keys
+        for f in index.filters.collect():
+            own = [bytes(r["key"]) for r in index.counts.select(index._shard(index.shards), "key").where(F.col("shard") == f["shard"]).collect()]
+            table = np.frombuffer(f["cuckoo"], np.uint16).reshape(-1, 4)
+            assert line_dedup.Cuckoo(f["buckets"], table).contains(line_dedup.Cuckoo.words(own)).all() and (table != 0).sum() == len(own)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    want = sorted(brute.line_dedup([x[:2] for x in rows], 3))
+    assert line_rows(line_dedup.clean(docs, index.to_drop(3))) == want and sum(x[2] for x in want) > 100
+    less = index.delete(docs.where("doc_id < 16").select("doc_id"))
+    rest = [x for x in rows if x[0] >= 16]
+    assert line_rows(line_dedup.clean(docs.where("doc_id >= 16"), less.to_drop(2))) == sorted(brute.line_dedup([x[:2] for x in rest], 2))
+    back = less.insert(docs.where("doc_id < 16"))
+    assert line_rows(line_dedup.clean(docs, back.to_drop(3))) == want
+
+
+def test_lines_beside_columns_of_the_same_names(spark):
+    rows = spark.createDataFrame([(1, "a\nb", 7, 8)], "doc_id long, text string, n_lines int, n_dropped int")
+    assert [r.asDict() for r in line_dedup.dedup_lines(rows).collect()] == [{"doc_id": 1, "text": "a\nb", "n_lines": 2, "n_dropped": 0}]
+
+
 def test_cuckoo():
     keys = np.random.default_rng(1).integers(0, 1 << 63, (20_000, 2), np.uint64) * np.uint64(2)
     f = line_dedup.Cuckoo.for_keys(len(keys))
