@@ -98,6 +98,14 @@ def tidied(batches: Iterable[T]) -> Iterator[T]:
             ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+def free(name: str, taken: Iterable[str]) -> str:
+    """The name, with underscores before it until no column has it."""
+    have = {c.lower() for c in taken}
+    while name.lower() in have:
+        name = "_" + name
+    return name
+
+
 def picked(docs: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under the names of the operator; all others, whatever their names, go."""
     return docs.select(*[docs[have].alias(want) for want, have in columns.items()])

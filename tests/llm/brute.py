@@ -1,6 +1,7 @@
 """Plain versions of the contracts, row by row, for small tables."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -99,3 +100,42 @@ def suffix_dedup(rows, length=400):
 
 def held_out(doc):
     return zlib.crc32(str(doc).encode()) % 4 == 2
+
+
+def letters_of(text):
+    """Lower-cased letters, a space after each run."""
+    return "".join(w + " " for w in re.findall(r"[^\W\d_]+", text.lower()))
+
+
+class KneserNey:
+    """Interpolated Kneser-Ney over characters in dictionaries, five-grams down to single ones."""
+
+    def __init__(self, texts):
+        self.count = {5: Counter()}
+        for t in texts:
+            t = "    " + letters_of(t)
+            self.count[5].update(t[i : i + 5] for i in range(len(t) - 4) if len(t) > 4)
+        for n in range(4, 0, -1):
+            self.count[n] = Counter(g[1:] for g in self.count[n + 1])
+        self.letters = set(self.count[1])
+        self.cut, self.total, self.kinds = {}, defaultdict(Counter), defaultdict(Counter)
+        for n, count in self.count.items():
+            spread = Counter(count.values())
+            self.cut[n] = min(0.9, max(0.1, spread[1] / max(1, spread[1] + 2 * spread[2])))
+            for g, c in count.items():
+                self.total[n][g[:-1]] += c
+                self.kinds[n][g[:-1]] += 1
+
+    def p(self, gram, letters):
+        n = len(gram)
+        if not n:
+            return 1 / (letters + 1)
+        low, total = self.p(gram[1:], letters), self.total[n][gram[:-1]]
+        if not total:
+            return low
+        return max(self.count[n][gram] - self.cut[n], 0) / total + self.cut[n] * self.kinds[n][gram[:-1]] / total * low
+
+    def nats(self, text, letters):
+        t = "    " + letters_of(text)
+        known = {}
+        return -sum(math.log(known[g] if g in known else known.setdefault(g, self.p(g, letters))) for g in (t[i : i + 5] for i in range(len(t) - 4)))

@@ -366,13 +366,53 @@ def test_language(spark):
     assert {x["lang_pred"] for x in none.values()} == {"und"}
 
 
+def test_languages_in_several_parts(spark):
+    r = random.Random(3)
+    parts = {"en": ["th", "er", "on", "an"], "de": ["sch", "ein", "ung", "ü"], "fr": ["eau", "ais", "é", "ou"]}
+    make = lambda lang, n: " ".join("".join(r.choice(parts[lang]) for _ in range(r.randint(1, 4))) for _ in range(n))
+    rows = [(i, make(lang := ("en", "de", "fr")[i % 3], r.randint(3, 60)), lang, "s", 0) for i in range(150)] + [(900, None, "en", "s", 0), (901, "12", "de", "s", 0)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("told", F.lit(1)).withColumn("row", F.lit(2)).withColumn("_judged", F.lit(3))
+    one = language_id.fit(df.select("text", "lang"))
+    three = language_id.fit(df.select("text", "lang"), languages=1)
+    assert (len(one.parts), len(three.parts)) == (1, 3) and one.limits == pytest.approx(three.limits)
+    a, b = (sorted(m.told(df, "text", "x").select("doc_id", "x.*").collect(), key=lambda x: x["doc_id"]) for m in (one, three))
+    for x, y in zip(a, b, strict=True):
+        assert (x["lang_pred"], x["rejected"], x["n"]) == (y["lang_pred"], y["rejected"], y["n"]) and x["score"] == pytest.approx(y["score"])
+    kept = language_id.keep_identified(df, df)
+    assert kept.columns == df.columns and kept.count() == 150
+
+
+def test_a_language_of_copies_is_learnt(spark):
+    """All rows of a language fall into the fold that calibrates."""
+    df = spark.createDataFrame([(k,) for k in range(200)], "k int").select(F.concat(F.lit("eins zwei drei vier "), F.col("k").cast("string")).alias("text")).where(F.pmod(F.xxhash64("text", F.lit(8)), F.lit(8)) == 0).limit(1)
+    text = df.first()["text"]
+    rows = spark.createDataFrame([(text, "de")] * 5 + [(f"one two three four {'abcdefgh'[k % 8]} {k}", "en") for k in range(40)], "text string, lang string")
+    assert language_id.fit(rows).langs == ["de", "en"]
+
+
+def test_kneser_ney_by_hand(spark):
+    """Cross-entropies of whole texts against dictionaries of counts, short and long texts, ties of counts."""
+    r = random.Random(12)
+    rows = [(prose(r, r.randint(1, 40)), "aa") for _ in range(60)] + [(prose(r, r.randint(1, 40)).translate(str.maketrans("tnd", "kzü")), "bb") for _ in range(60)]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    fold = {x["text"] for x in df.where(F.pmod(F.xxhash64("text", F.lit(8)), F.lit(language_id.CALIBRATION_FOLD)) == 0).collect()}
+    models = {lang: brute.KneserNey([t for t, own in rows if own == lang and t not in fold]) for lang in ("aa", "bb")}
+    letters = len(set().union(*(m.letters for m in models.values())))
+    tests = [rows[0][0], rows[70][0], "q", "zzz then", "Then THE end. 12 " * 40, "x" * 600_000]
+    made = language_id.fit(df)
+    got = made.told(spark.createDataFrame([(i, t) for i, t in enumerate(tests)], "i int, text string"), "text", "x").orderBy("i").collect()
+    for row, text in zip(got, tests):
+        nats = {lang: m.nats(text, letters) for lang, m in models.items()}
+        n = len(brute.letters_of(text))
+        assert row["x"]["n"] == n and row["x"]["cross_entropy"] == pytest.approx(min(nats.values()) / n, rel=1e-4)
+        assert row["x"]["lang_pred"] == min(nats, key=lambda k: (nats[k], k))
+
+
 def test_language_models_sum_to_one():
     text = language_id.normal("the then there them than that " * 20)
-    n, grams = language_id.counted_grams(next(language_id.blocks([text]))[0])
-    import pandas as pd
-
-    model = language_id.Model.fit(pd.DataFrame({"lang": "en", "gram": np.ascontiguousarray(grams).view("<U5").ravel(), "n": n}))
+    n, grams = language_id.counted_grams(*next(language_id.blocks([text])))
     letters = sorted({chr(c) for c in text})
+    model = language_id.Model.fit(["en"], np.zeros(len(n), int), grams, n, len(letters))
     for context in (" the", "then", "zzzz"):
         p = [np.exp(model.log_probabilities(np.array([ord(c) for c in context + x], np.uint64))[0, 0]) for x in letters]
         assert 0.85 < sum(p) <= 1.001
