@@ -10,7 +10,9 @@ repeated ones, and every window is looked up among these by binary search. That
 text of n words, needs no shuffle, and holds one text at a time. (Two different windows of one text
 share a 64-bit hash with a chance of about 1e-11 at 20,000 words.)
 
-Edge cases: a null text has no words; an empty table gives no rows; repeated rows are judged alike;
+Edge cases: a null text has no words; a text of any length is judged whole, in one row; repeated
+windows and lines count from the second on, and among ties no order is used; an empty table gives no
+rows; repeated rows are judged alike;
 a line break inside a window counts as white space; columns other than the two named are ignored.
 """
 
@@ -19,14 +21,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._store import picked
+from ._store import SPACE, picked
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_LOST = 0.5
-#: Stock phrases count in lines of at most so many characters; longer ones are prose that mentions them.
-BOILERPLATE_CHARS = 120
+#: A line is boilerplate if one character in so many stands in a stock phrase; prose may mention one.
+BOILERPLATE_SHARE = 8
 SPACES = r"[\x20\x09-\x0D]"
+#: Marks that may end a line of prose.
+CLOSING = tuple(".!?…:;,\"'”’»)]")
 SYMBOLS = r"[#*$%&|<>]"
 #: Phrases of lines that belong to a page rather than to its text.
 BOILERPLATE = (
@@ -44,9 +48,10 @@ def line_fails(line: Column) -> Column:
     navigation = F.regexp_count(line, F.lit(r"[|»›•>]")) >= 2
     symbols = F.regexp_count(line, F.lit(SYMBOLS)) * 12 > F.length(line)
     shouting = (F.length(line) > 20) & line.rlike(r"\p{Lu}") & ~line.rlike(r"\p{Ll}")
-    unclosed = ~F.substring(line, -10, 10).rlike(r"[.!?…:;,\"'”’»)\]]" + SPACES + "*$")
+    unclosed = ~F.substring(F.rtrim(line, F.lit(SPACE)), -1, 1).isin(*CLOSING)
     low = F.lower(line)
-    boilerplate = (F.length(line) <= BOILERPLATE_CHARS) & F.exists(F.array(*[F.lit(p) for p in BOILERPLATE]), lambda p: F.contains(low, p))
+    mentions = F.exists(F.array(*[F.lit(p) for p in BOILERPLATE]), lambda p: F.contains(low, p))
+    boilerplate = mentions & ((F.length(low) - F.length(F.regexp_replace(low, "|".join(BOILERPLATE), ""))) * BOILERPLATE_SHARE >= F.length(low))
     return unclosed | shouting | navigation | symbols | boilerplate
 
 

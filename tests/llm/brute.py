@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 
@@ -35,6 +36,26 @@ def quality(text):
     return n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(again), n < 50 or 100 * len(again) > 50 * n
 
 
+BOILERPLATE = ["all rights reserved", "cookie policy", "privacy policy", "terms of service", "terms of use", "enable javascript", "click here", "read more", "sign in", "sign up", "log in", "subscribe to", "share this", "skip to content", "licensed under"]
+
+
+def line_stays(line):
+    low, shown = line.lower(), line.rstrip(" \t\n\x0b\x0c\r")
+    if shown[-1] not in ".!?…:;,\"'”’»)]" or len(re.findall(r"[|»›•>]", line)) >= 2 or len(re.findall(r"[#*$%&|<>]", line)) * 12 > len(line):
+        return False
+    if len(line) > 20 and any(c.isupper() for c in line) and not any(c.islower() for c in line):
+        return False
+    held = re.findall("|".join(BOILERPLATE), low)
+    return not held or 8 * sum(map(len, held)) < len(low)
+
+
+def kept(text):
+    """The verdict of the line-first rules, and the text that they leave."""
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    good = [x for x in lines if line_stays(x)]
+    return not quality(text)[-1] and 2 * (sum(map(len, lines)) - sum(map(len, good))) <= sum(map(len, lines)), "\n".join(good)
+
+
 def line_dedup(rows, least=5):
     """rows of (doc_id, text) to {row number: (n_lines, n_dropped, sha256)}."""
     held = defaultdict(set)
@@ -50,6 +71,29 @@ def line_dedup(rows, least=5):
     return out
 
 
+def line_texts(rows, least=5):
+    """The texts of rows of (doc_id, text) without the lines that `line_dedup` drops."""
+    held = defaultdict(set)
+    key = lambda line: lower(line.strip(" \t\n\x0b\x0c\r"))
+    for doc, text in rows:
+        for line in text.split("\n"):
+            held[key(line)].add(doc)
+    stays = lambda doc, k: len(k) < 40 or len(held[k]) < least or max(held[k]) == doc
+    return ["\n".join(x for x in text.split("\n") if stays(doc, key(x))) for doc, text in rows]
+
+
+def pieces(text, limit=4096):
+    """(piece, start, length, crc32) of a text's ids by the tokenizer itself."""
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    if not hasattr(pieces, "tokenizer"):
+        pieces.tokenizer = Tokenizer.from_file(path("word_bpe_49k.json"))
+    ids = pieces.tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
+    cut = [ids[a : a + limit] for a in range(0, len(ids), limit)]
+    return [(k, limit * k, len(c), zlib.crc32(struct.pack(f"<{len(c)}I", *c))) for k, c in enumerate(cut)]
+
+
 def shingles(text):
     words = WORD.findall(lower(text or ""))
     if not words:

@@ -149,7 +149,7 @@ def test_quality(docs, corpus):
     for doc, text, *_ in corpus:
         r = got[doc]
         assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) == brute.quality(text), text
-        assert not (r["base_failed"] and r["kept"])
+        assert (r["kept"], r["clean_text"]) == brute.kept(text), text
 
 
 def test_quality_keeps_prose_and_drops_tables(spark):
@@ -161,6 +161,16 @@ def test_quality_keeps_prose_and_drops_tables(spark):
     assert got[3]["clean_text"] == clean
 
 
+def test_lines_with_blanks_at_their_end(spark):
+    r = random.Random(8)
+    make = lambda: r.choice([prose(r, 20) + "." + " " * r.randint(0, 30), prose(r, 8), "READ THIS NOW OR NEVER AGAIN.", "a | b | c.", "Read more. Sign in.", prose(r, 60) + " and click here for it.", "#1 *2 $3.", " \t ", "„" + prose(r, 9) + "”\r"])
+    rows = [(i, "\n".join(make() for _ in range(r.randint(1, 12))), "", "", 0) for i in range(150)]
+    rows += [(500, prose(r, 25_000) + ".", "", "", 0), (501, "\n".join(["One and the same line of prose stands here again."] * 3000), "", "", 0)]
+    got = by_id(quality.judge(spark.createDataFrame(rows, SCHEMA)))
+    assert {i: (got[i]["kept"], got[i]["clean_text"]) for i, *_ in rows} == {i: brute.kept(t) for i, t, *_ in rows}
+    assert 20 < sum(x["kept"] for x in got.values()) < 130
+
+
 def line_rows(df):
     out = df.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("h"))
     return sorted(tuple(r) for r in out.collect())
@@ -443,6 +453,25 @@ def test_maximal_segments():
         assert got == [(a, b, round(s, 6)) for a, b, s in segments_brute(scores)]
 
 
+def test_segments_of_many_scores_in_linear_time():
+    import time
+
+    took = {}
+    for n in (20_000, 200_000):
+        scores = [1.0 if i % 2 == 0 else -0.9 - (i % 7) / 1000 for i in range(n)] + [1.0, -1.2] * n
+        began = time.perf_counter()
+        toxicity.maximal_segments(scores)
+        took[n] = time.perf_counter() - began
+    assert took[200_000] < 40 * took[20_000] + 0.5
+
+
+def test_passages_are_the_significant_segments():
+    m = toxicity.Model({"bad": 3.0, "worse": 5.0}, rate=1.0, size=0.1, link=(-3.0, 1.0, 0.5))
+    score, told = m.judge("fine " * 30 + "bad " + "fine " * 60 + "worse worse worse " + "fine " * 200 + "bad bad bad bad")
+    assert [(a, b) for a, b, _ in told] == [(91, 94), (294, 298)] and score > 0.9
+    assert m.judge("fine bad fine")[1] == [] and m.judge("")[1] == []
+
+
 def test_toxicity(spark):
     r = random.Random(6)
     bad = ["scumlike", "scumly", "idiotic", "moronish"]
