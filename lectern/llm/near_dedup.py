@@ -18,7 +18,7 @@ Exact copies (equal word sequences) are one representative from the start. For r
 
 With 24 bands of 5, a pair at similarity 0.85 shares no bucket with a chance below 1e-6.
 
-Edge cases: texts of fewer words than a shingle are one shingle; without words (or null) a document
+Edge cases: texts of fewer words than a shingle are one shingle; a text of any length is sketched whole; without words (or null) a document
 is linked with nothing, not even its copies; null ids stand in no component's name (a group of null
 ids only has component null); repeated rows fall together; an empty table gives no rows; columns
 other than those named are ignored by `near_duplicates` and pass through `keep_first`.
@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import SPACE, picked, staged
+from ._store import SPACE, dropped, free, picked, staged, tidied
 
 WORDS = 5
 THRESHOLD = (85, 100)
@@ -47,7 +47,7 @@ SLACK = 5.0
 BLOCK = 512
 #: Texts sketched at once.
 PART = 128
-#: Bytes of shingle sets that one block of verified members holds at most, but for a single pair.
+#: Bytes of shingle sets that a block holds on average at most, but for single members.
 BLOCK_BYTES = 32 << 20
 _A = (np.random.default_rng(20).integers(0, 1 << 63, REGISTERS, np.uint64) << np.uint64(1)) | np.uint64(1)
 _B = np.random.default_rng(21).integers(0, 1 << 63, REGISTERS, np.uint64)
@@ -130,7 +130,7 @@ def sketched(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     """doc_id, copy (128-bit key of the word sequence, null without words), n, sketch."""
 
     def look(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
+        for texts in tidied(batches):
             # In parts: the words of a whole batch, each an object, take many times its text.
             own = texts.tolist()
             yield pd.concat([some(own[at : at + PART]) for at in range(0, len(own), PART)] or [some([])], ignore_index=True)
@@ -165,7 +165,8 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e")).select(F.col("e.u").alias("u"), F.col("e.m").alias("v"))
-        edges = staged(small.where("u <> v").distinct(), "edges")
+        before, edges = edges, staged(small.where("u <> v").distinct(), "edges")
+        dropped(before)
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == seen:
             return edges.select(F.col("u").alias("v"), F.col("v").alias("label"))
@@ -176,7 +177,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """rep, hashes: the shingle sets of the representatives in `wanted`, as sorted 64-bit numbers."""
 
     def look(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
+        for texts in tidied(batches):
             yield pd.Series([shingle_hashes(words_of(t)).tobytes() for t in texts], dtype=object)
 
     # The list of representatives grows with the documents: one plan at every size.
@@ -253,8 +254,11 @@ def residual_links(reps: DataFrame, labels: DataFrame, docs: DataFrame, num: int
     bar = least_estimate(num, den)
     known = reps.join(labels, reps["rep"] == labels["v"], "left").select("rep", "n", "sketch", F.coalesce("label", "rep").alias("label"))
     known = staged(known, "labelled")
-    rows = bucketed(known).join(known.select("rep", "label"), "rep")
-    mixed = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts"))
+    rows = bucketed(known).join(known.select("rep", "label", "n"), "rep")
+    mixed = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"), (F.sum("n") * 8).alias("bytes"))
+    # Blocks are bounded by members and, as their full sets may be fetched, by the bytes of these.
+    parts = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES))
+    mixed = mixed.where("lo <> hi").select("key", F.least(parts, "size").cast("int").alias("parts"))
     members = rows.join(mixed, "key")
     own = F.pmod(F.xxhash64("rep", F.lit(3)), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
@@ -325,5 +329,6 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """The rows of `docs` of the least id of each component, with all their columns; of repeated rows all stay."""
-    keep = near_duplicates(docs, id_col=id_col, text_col=text_col, threshold=threshold).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(keep, docs[id_col].eqNullSafe(keep["_kept_id"]), "left_semi")
+    name = free("kept_id", docs.columns)
+    keep = near_duplicates(docs, id_col=id_col, text_col=text_col, threshold=threshold).where("kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(keep, docs[id_col].eqNullSafe(keep[name]), "left_semi")
