@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and works on everything that the stage before has kept. All
 but the last return the columns of `documents`; the last returns packed pieces.
+
+Edge cases: a null text, or one without a letter, has no language and goes in the first stage; a null
+id is an id like others, and counts as one document; null languages, sources and sizes pass through;
+long texts are worked on whole; of repeated rows, which share an id, line dedup and near dedup keep or
+cut all alike; an empty table gives no rows; columns beside those of `documents`, whatever their
+names, pass through all stages but the last.
 """
 
 from __future__ import annotations
@@ -12,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import decontamination, language_id, line_dedup, near_dedup, packing
-from lectern.llm._store import in_training, staged
+from lectern.llm._store import free, in_training, staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -24,10 +30,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that many documents share stay in one of them; documents left without a word go."""
-    cut = line_dedup.dedup_lines(docs).drop("n_lines")
-    emptied = (F.col("n_dropped") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    size = F.when(F.col("n_dropped") > 0, F.octet_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return cut.where(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", size).select(*docs.columns)
+    lines, gone = free("n_lines", docs.columns), free("n_dropped", docs.columns)
+    cut = line_dedup.dedup_lines(docs, lines_col=lines, dropped_col=gone)
+    touched = F.col(gone) > 0
+    size = F.when(touched, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    left = cut.where(~touched | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return left.withColumn("n_chars", size).select(*docs.columns)
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +61,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", pack),
 ]
 
-#: SQL can't express sketches and packing; tests/llm has a plain version.
+#: SQL can't express sketches and packing; tests/llm/test_pipeline.py holds every stage against a plain version.
 ORACLE_SQL: str | None = None
 
 
