@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import dropped, picked, staged, tidied
+from ._store import BROADCAST_IDS, dropped, picked, staged, tidied
 
 LENGTH = 400
 GRAM = 100
@@ -50,8 +50,6 @@ GROUP = 20_000
 PART = 1 << 20
 #: The batches of one table: shares of its rows in 256ths.
 SHARES = (128, 64, 64)
-#: Ids that are broadcast at most (16 bytes each) to pick texts out of a table; beyond it the table is shuffled.
-BROADCAST_IDS = 2_000_000
 NO_ID = -(1 << 63)
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _VALUE = np.random.default_rng(10).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -270,7 +268,10 @@ def repeated_distances(before: list[bytes], behind: list[bytes], length: int) ->
     first, last = max(0, int(np.sort(least)[1])), int(np.sort(most)[-2])
     hit = np.zeros((max(0, last - first + 1), k), bool)
     one, two = np.empty(k, np.int64), np.empty(k, np.int64)
-    for d in range(first, last + 1):
+    # Classes change only where a common prefix or suffix ends, or an end's windows begin or cease.
+    turns = np.unique(np.r_[first, length - ahead, ago + 1, least, most + 1])
+    turns = turns[(turns >= first) & (turns <= last)].tolist()
+    for d, until in zip(turns, [*turns[1:], last + 1]):
         one[onward] = np.r_[0, np.cumsum(ahead < length - d)]
         two[back] = np.r_[0, np.cumsum(ago < d)]
         served = np.flatnonzero((least <= d) & (d <= most))
@@ -279,7 +280,7 @@ def repeated_distances(before: list[bytes], behind: list[bytes], length: int) ->
         code = one[served] * k + two[served]
         order = np.argsort(code, kind="stable")
         same = code[order][1:] == code[order][:-1]
-        hit[d - first, served[order[np.r_[same, False] | np.r_[False, same]]]] = True
+        hit[d - first : until - first, served[order[np.r_[same, False] | np.r_[False, same]]]] = True
     edge = np.diff(np.pad(hit.astype(np.int8), ((1, 1), (0, 0))), axis=0).T
     for (i, a), (_, z) in zip(np.argwhere(edge == 1), np.argwhere(edge == -1)):
         yield int(i), first + int(a), first + int(z) - 1
