@@ -14,11 +14,12 @@ from the item's, or at distances at most `GAP` apart), and for all places togeth
 Items with fewer template words than `width` are one window of their own width; with fewer than
 three plain words they can't be told from chance and match nothing.
 
-The item windows are broadcast while there are at most `BROADCAST_ROWS` of them; beyond that the
-join shuffles.
+The item windows are broadcast while there are at most `BROADCAST_ROWS` of them, with their slots at
+most `BROADCAST_WINDOWS`; beyond that the joins shuffle.
 
-Edge cases: null or empty texts and items match nothing; repeated rows are matched alike; null ids
-are ids like others; empty tables give no rows; columns other than those named are ignored by `hits`
+Edge cases: null or empty texts and items match nothing; a text of any length is matched whole;
+repeated rows are matched alike; where counterparts of a slot are tied, either counts; null ids are
+ids like others; empty tables give no rows; columns other than those named are ignored by `hits`
 and pass through `without_hits`.
 """
 
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._store import picked, staged
+from ._store import BROADCAST_IDS, picked, staged
 
 WIDTH = 8
 SHARE = 0.5
@@ -37,6 +38,8 @@ CONSISTENCY = 0.7
 #: Words by which the windows of one occurrence may stand apart from one another's distance.
 GAP = 3
 BROADCAST_ROWS = 500_000
+#: Item windows, with the values of their slots, that are broadcast at most.
+BROADCAST_WINDOWS = 100_000
 NUMBER, UNIT, NAME = "\ue001", "\ue002", "\ue003"
 #: Units that may follow a number.
 UNITS = (
@@ -145,7 +148,8 @@ def hits(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col:
     per_width = lambda b: F.array(*[F.struct(F.lit(w).alias("width"), mixed_hashes(b["words"], b["raw"], w).alias("hashes")) for w in widths or [width]])
     spread = rows.select("doc_id", "tie", F.explode(let(both_words(F.col("text")), per_width)).alias("p")).select("doc_id", "tie", F.col("p.width").alias("width"), F.posexplode("p.hashes").alias("pos", "window"))
     found = staged(spread.join(known, "window").select("doc_id", "tie", "width", "pos", "window"), "window_hits")
-    met = found.join(wanted, ["window", "width"])
+    # Hits of a window that a third of all rows may hold stay where they are, while the items are few.
+    met = found.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_WINDOWS else wanted, ["window", "width"])
     own = ["doc_id", "tie", "item"]
     same = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.tie") == F.col(f"{b}.tie"))
     alike = lambda a, b: same(a, b) & F.col(f"{a}.item").eqNullSafe(F.col(f"{b}.item"))
@@ -167,6 +171,11 @@ def hits(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col:
     judged = stood.where(enough(c("told"), c("places"), c("every"), c("places_all"))).select(*own, "level", "key").union(held.select(*own, F.lit(2).alias("level"), F.lit(0).cast("long").alias("key")))
     # Slots: the values in the document where the item's windows stand, beside the item's own.
     slotted = places.where(F.size("slots") > 0).groupBy("doc_id", "tie").agg(F.collect_set(F.struct("item", "at", "pos", "width", "slots", "chain")).alias("places"))
+    slotted = staged(slotted, "slotted_places")
+    # Only texts with hits are shuffled, while their ids are few.
+    ids = slotted.select("doc_id", "tie")
+    if slotted.count() <= BROADCAST_IDS:
+        rows = rows.alias("r").join(F.broadcast(ids).alias("i"), same("r", "i"), "left_semi")
     valued = rows.alias("r").join(slotted.alias("p"), same("r", "p")).select("r.doc_id", "r.tie", raw_words(F.col("r.text")).alias("raw"), "p.places")
     one = valued.select("doc_id", "tie", "raw", F.explode("places").alias("p")).select("doc_id", "tie", "raw", "p.*")
     pairs = one.select(*own, "at", "pos", "chain", F.explode(F.arrays_zip(c("slots").alias("theirs"), F.filter(F.slice("raw", c("pos") + 1, c("width")), is_slot).alias("ours"))).alias("s"))
