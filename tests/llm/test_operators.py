@@ -5,6 +5,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,6 +93,32 @@ def test_packing_plans_hold_the_histogram():
         assert used == have
 
 
+def test_plans_of_many_lengths_meet_the_bound_by_tokens():
+    r = random.Random(4)
+    have = {}
+    for _ in range(10_000):
+        l = min(4096, int(r.paretovariate(0.7) * 25))
+        have[l] = have.get(l, 0) + 1
+    got = packing.plan(have)
+    used = {}
+    for config, n in got:
+        for l, k in config.items():
+            used[l] = used.get(l, 0) + k * n
+    bound = -(-sum(l * n for l, n in have.items()) // 4096)
+    assert used == have and sum(n for _, n in got) <= bound + 1
+
+
+def test_program_and_its_bound():
+    columns, bound = packing.fractional_cover(np.array([3, 4, 5]), np.array([30, 20, 10]), 10)
+    assert 21.9 <= bound <= sum(x for _, x in columns) * 1.03
+
+
+def test_ids_that_no_float_holds(spark):
+    big = (1 << 53) + 1
+    rows = spark.createDataFrame([(big, "one two"), (None, "three"), (big + 2, None)], "doc_id long, text string").coalesce(1)
+    assert {r["doc_id"] for r in packing.pack(rows).collect()} == {big, None, big + 2}
+
+
 def test_knapsack():
     lengths, prices = np.array([3, 5, 7]), np.array([1.0, 2.0, 2.9])
     assert packing.best_configuration(prices, lengths, 10) == {5: 2}
@@ -103,7 +130,7 @@ def test_words_with_capital_sigma_and_odd_spaces():
 
     t = Tokenizer.from_file(path("word_bpe_49k.json"))
     for text in ("ΟΔΟΣ Σ ΑΣ. x", "a\x1cb c d e", "it's we'll 12.5, end. end.. , .", "é ́x", "<|endoftext|> a<|startoftext|>b", "İI Ǆ"):
-        assert packing.coder(packing.TOKENIZER).encode([text])[0] == struct.pack(f"<{len(i := t.encode(text, add_special_tokens=False).ids)}I", *i)
+        assert packing.coder(packing.TOKENIZER).encode(pa.array([None, "x", text])[1:])[1] == struct.pack(f"<{len(i := t.encode(text, add_special_tokens=False).ids)}I", *i)
 
 
 def test_sharding(docs, corpus):
