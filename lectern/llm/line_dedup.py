@@ -197,7 +197,7 @@ class LineIndex:
 
     @classmethod
     def empty(cls, spark: SparkSession, min_chars: int = MIN_CHARS) -> LineIndex:
-        none = lambda ddl: spark.createDataFrame([], ddl)
+        none = lambda ddl: spark.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in (c.split() for c in ddl.split(", "))])
         return cls(none("key binary, doc long"), none(_COUNTS), none(_FILTERS), min_chars=min_chars)
 
     def _shard(self, shards: int):
@@ -289,7 +289,8 @@ def clean(docs: DataFrame, drops: DataFrame, *, id_col: str = "doc_id", text_col
                 out.append(("\n".join(left), len(lines), len(lines) - len(left)))
             yield pd.DataFrame(out, columns=["text", "n_lines", "n_dropped"])
 
-    done = packed.select("rest", F.pandas_udf(cut, "text string, n_lines long, n_dropped long")("text", "keys").alias("cut"))
+    # Called non-deterministic so that a filter on the result doesn't run it a second time.
+    done = packed.select("rest", F.pandas_udf(cut, "text string, n_lines long, n_dropped long").asNondeterministic()("text", "keys").alias("cut"))
     done = done.select(*[(F.col("cut.text") if f"c{i}" == text else F.col(f"rest.c{i}")).alias(c) for i, c in enumerate(own)], F.col("cut.n_lines").alias(lines_col), F.col("cut.n_dropped").alias(dropped_col))
     if rest is None:
         return done
