@@ -251,7 +251,7 @@ class LineIndex:
         total = self.refs.count()
         hot = F.broadcast(often.where(F.col("n_docs") * 1000 >= total).drop("n_docs"))
         cold = often.where(F.col("n_docs") * 1000 < total).drop("n_docs")
-        lost = self.refs.join(hot, "key").union(self.refs.join(hot, "key", "left_anti").join(cold, "key")).where("doc <> last_doc")
+        lost = self.refs.join(hot, "key").union(self.refs.join(hot, "key", "left_anti").join(cold.hint("merge"), "key")).where("doc <> last_doc")
         return lost.groupBy("doc").agg(F.collect_set("key").alias("keys"))
 
 
@@ -271,7 +271,7 @@ def clean(docs: DataFrame, drops: DataFrame, *, id_col: str = "doc_id", text_col
         # Only texts that lose something are shuffled.
         ids = F.broadcast(drops.select("doc"))
         rest = rows.join(ids, at(ids), "left_anti")
-        met = rows.join(ids, at(ids), "left_semi").join(drops, at(drops)).drop("doc")
+        met = rows.join(ids, at(ids), "left_semi").join(drops.hint("merge"), at(drops)).drop("doc")
     else:
         met = rows.join(drops, at(drops), "left").drop("doc")
     packed = met.select(F.struct(*[c for c in rows.columns if c != text]).alias("rest"), F.col(text).alias("text"), "keys")
