@@ -93,12 +93,36 @@ def tidy(text: Column) -> Column:
     return strip(done)
 
 
+#: A mark between sentences while a text is cut; texts that hold it go word by word.
+_CUT_HERE = "\ue00a"
+#: What `(?U)\s` means, spelled out.
+_WHITE = r"[\t-\r \x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
 def sentences(text: Column) -> Column:
     """The passage's sentences.
 
     A sentence ends with a word that has, before any closing quotes and brackets, one of . ! ? … and
     isn't a known abbreviation; a line break between two words ends it too. Inner space stays.
     """
+    any_case = lambda word: "".join(f"[{c.upper()}{c}]" if c.isalpha() else "\\" + c for c in word)
+    abbreviated = "|".join(rf"(?<={_WHITE}|^){any_case(a)}" for a in ABBREVIATIONS)
+    closers = "".join("\\" + c for c in CLOSERS)
+    ended = rf"([.!?…])(?<!{abbreviated})([{closers}]*){_WHITE}+"
+    trimmed = F.regexp_replace(F.regexp_replace(_present(text), rf"^{_WHITE}+", ""), rf"{_WHITE}+\z", "")
+    marked = F.regexp_replace(trimmed, ended, "$1$2" + _CUT_HERE)
+    broken = F.when(marked.rlike(r"[\r\n]"), F.regexp_replace(marked, rf"{_WHITE}*[\r\n]{_WHITE}*", _CUT_HERE)).otherwise(marked)
+    at_once = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.transform(F.split(broken, _CUT_HERE), _stripped))
+    return F.when(F.contains(_present(text), F.lit(_CUT_HERE)), sentences_by_word(text)).otherwise(at_once)
+
+
+def _stripped(s: Column) -> Column:
+    """`strip`, which is tried only where there is something to strip."""
+    return F.when(s.rlike(rf"^[{SPACES}]|[{SPACES}]\z"), strip(s)).otherwise(s)
+
+
+def sentences_by_word(text: Column) -> Column:
+    """As `sentences`, word by word: the rule itself, at many times the cost."""
     tokens = F.regexp_extract_all(_present(text), F.lit(r"(?U)\s*\S+"), F.lit(0))
     bare = lambda t: F.regexp_replace(t, r"(?U)^\s+|[\"'>)\]“”’»]+$", "")
 
@@ -132,14 +156,21 @@ def grouped(sentence_list: Column) -> Column:
 
 def clips(text: Column) -> Column:
     """Clips of a passage: paragraphs are grouped one by one, sentence numbers run through."""
-    paragraphs = F.transform(F.split(_present(text), "\n\n"), sentences)
-    return F.filter(_folded(paragraphs), lambda c: c["text"].rlike(r"\p{L}"))
+    return clips_of(paragraphs(text))
+
+
+def paragraphs(text: Column) -> Column:
+    """The sentences of each paragraph."""
+    return F.transform(F.split(_present(text), "\n\n"), sentences)
+
+
+def clips_of(paragraph_list: Column) -> Column:
+    return F.filter(_folded(paragraph_list), lambda c: c["text"].rlike(r"\p{L}"))
 
 
 def client_clips(text: Column) -> Column:
     """As the client groups: anything beyond ASCII counts as a letter, so clips of dashes and quotes stay."""
-    paragraphs = F.transform(F.split(_present(text), "\n\n"), sentences)
-    return F.filter(_folded(paragraphs), lambda c: c["text"].rlike(r"[A-Za-z]|[^\x00-\x7f]"))
+    return F.filter(_folded(paragraphs(text)), lambda c: c["text"].rlike(r"[A-Za-z]|[^\x00-\x7f]"))
 
 
 _CUT = "struct<first:int,last:int>"

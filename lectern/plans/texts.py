@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,7 +78,9 @@ select doc_id, array_to_string(firsts, ',') as firsts, n::int as n_sentences, fi
 def clip_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H4: where clips begin, and whether they are one for each sentence."""
     tidy = spread(table(spark, sf_dir, "documents")).select("doc_id", text.tidy(F.col("text")).alias("t"))
-    both = tidy.select("doc_id", text.clips(F.col("t")).alias("cs"), F.size(text.sentences(F.col("t"))).alias("n_sentences")).where(F.size("cs") > 0)
+    # The sentences are found once, for the clips and for their number.
+    once = text.let(text.paragraphs(F.col("t")), lambda p: F.struct(text.clips_of(p).alias("cs"), F.size(F.flatten(p)).alias("n_sentences")))
+    both = tidy.select("doc_id", once.alias("x")).select("doc_id", "x.*").where(F.size("cs") > 0)
     return both.select("doc_id", F.array_join(F.transform("cs", lambda c: c["first"].cast("string")), ",").alias("firsts"), "n_sentences", text.is_plain(F.col("cs"), F.col("n_sentences")).alias("plain"))
 
 
@@ -111,12 +114,14 @@ def plan_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     every fifth clip and doesn't know every eleventh document.
     """
     clips = _clips(spark, sf_dir)
-    plan = clips.select(F.lit("quest").alias("kind"), "source", "doc_id", "sentence", ident.quest_path(F.col("doc_id"), F.lit("description"), F.col("sentence")).alias("path"), "text", ident.text_hash(F.col("text")).alias("hash"))
+    plan = clips.select(F.lit("quest").alias("kind"), "source", "doc_id", "sentence", ident.quest_path(F.col("doc_id"), F.lit("description"), F.col("sentence")).alias("path"), F.length("text").alias("chars"), ident.text_hash(F.col("text")).alias("hash"))
+    # Made once and read three times; on disk, as it grows with the texts.
+    plan = plan.persist(StorageLevel.DISK_ONLY)
     inventory = plan.where("doc_id % 7 <> 0").select("path")
     previous = plan.where("doc_id % 11 <> 0").select("path", F.when(F.col("sentence") % 5 == 0, F.lit("old")).otherwise(F.col("hash")).alias("hash"))
     status = planner.plan_status(plan, inventory, previous)
     n = lambda s: F.count_if(F.col("status") == s).alias(s)
-    return status.groupBy("source").agg(F.count(F.lit(1)).alias("clips"), n("missing"), n("stale"), n("done"), F.sum(F.length("text")).alias("chars"))
+    return status.groupBy("source").agg(F.count(F.lit(1)).alias("clips"), n("missing"), n("stale"), n("done"), F.sum("chars").alias("chars"))
 
 
 @query("with" + SQL_CLIPS + f" select doc_id, i::bigint as sentence, {SQL_PATH} as path, true as valid, true as shaped, substr(sha1(c.text), 1, 16) as hash from clips")

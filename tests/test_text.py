@@ -108,3 +108,30 @@ def test_small_text_functions(spark):
     assert one(spark, "{name} der $C", text.render) == "Wandrer der Gewerbe"
     assert one(spark, "it's a well-known x", text.pieces) == ["it's", "a", "well-known", "x"]
     assert one(spark, "ein Öl x 12ab", text.word_tokens) == ["ein", "Öl", "ab"]
+
+
+def test_sentences_at_once_are_those_word_by_word(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from lectern.functions import text
+
+    r = random.Random(5)
+    bits = ["a", "Dr.", "dr.", "z.B.", "(d.h.", "e.g.)", "end.", "end!”", "why?\")", "…", ".", "..", "bzw.»", "xdr.", "\n", "\n\n", "\r\n", " ", "  ", "\t", "\u00a0", "\u2028", "\x1c", "\u3000", "ſ", "Mrſ.", "", "3.5", "\ue00a"]
+    rows = [("".join(r.choice(bits) + r.choice(["", " ", " "]) for _ in range(r.randint(0, 25))),) for _ in range(1500)] + [(None,), ("",), (" \n ",)]
+    got = spark.createDataFrame(rows, "t string").select("t", text.sentences(F.col("t")).alias("a"), text.sentences_by_word(F.col("t")).alias("b")).collect()
+    assert [x["t"] for x in got if x["a"] != x["b"]] == []
+
+
+def test_paragraphs_number_their_sentences_on(spark):
+    """Clips never cross a blank line but at its end, and sentence numbers run through all paragraphs."""
+    from pyspark.sql import functions as F
+
+    from lectern.functions import text
+
+    long = "This is a sentence that is long enough to stand alone."
+    rows = [(f"{long} {long}\n\n{long}\n\nNo. {long}",), (f"Short.\n\n{long}",), (f"{long}\n\nShort.",), ("One.\n\nTwo.",)]
+    got = spark.createDataFrame(rows, "t string").select(text.clips(F.col("t")).alias("c")).collect()
+    assert [[(c["first"], c["last"]) for c in x["c"]] for x in got] == [[(1, 1), (2, 2), (3, 3), (4, 5)], [(1, 1), (2, 2)], [(1, 2)], [(1, 2)]]
+    assert got[2]["c"][0]["text"] == f"{long} Short."
