@@ -109,11 +109,20 @@ def sentences(text: Column) -> Column:
     abbreviated = "|".join(rf"(?<={_WHITE}|^){any_case(a)}" for a in ABBREVIATIONS)
     closers = "".join("\\" + c for c in CLOSERS)
     ended = rf"([.!?…])(?<!{abbreviated})([{closers}]*){_WHITE}+"
-    trimmed = F.regexp_replace(F.regexp_replace(_present(text), rf"^{_WHITE}+", ""), rf"{_WHITE}+\z", "")
-    marked = F.regexp_replace(trimmed, ended, "$1$2" + _CUT_HERE)
-    broken = F.when(marked.rlike(r"[\r\n]"), F.regexp_replace(marked, rf"{_WHITE}*[\r\n]{_WHITE}*", _CUT_HERE)).otherwise(marked)
-    at_once = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.transform(F.split(broken, _CUT_HERE), _stripped))
-    return F.when(F.contains(_present(text), F.lit(_CUT_HERE)), sentences_by_word(text)).otherwise(at_once)
+
+    def broken(marked: Column) -> Column:
+        return F.when(marked.rlike(r"[\r\n]"), F.regexp_replace(marked, rf"{_WHITE}*[\r\n]{_WHITE}*", _CUT_HERE)).otherwise(marked)
+
+    def at_once(trimmed: Column) -> Column:
+        cut = let(F.regexp_replace(trimmed, ended, "$1$2" + _CUT_HERE), lambda marked: F.transform(F.split(broken(marked), _CUT_HERE), _stripped))
+        return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(cut)
+
+    def cut(own: Column) -> Column:
+        trimmed = F.regexp_replace(F.regexp_replace(own, rf"^{_WHITE}+", ""), rf"{_WHITE}+\z", "")
+        return F.when(F.contains(own, F.lit(_CUT_HERE)), sentences_by_word(own)).otherwise(let(trimmed, at_once))
+
+    # Bound once each: what stands in an expression twice is worked out twice.
+    return let(_present(text), cut)
 
 
 def _stripped(s: Column) -> Column:

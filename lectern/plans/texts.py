@@ -45,11 +45,6 @@ clips as (select doc_id, lang, source, unnest(range(1, len(cs) + 1)) as i, unnes
 )
 
 
-def _sentenced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents"))
-    return docs.select("doc_id", "lang", "source", text.sentences(text.tidy(F.col("text"))).alias("ss"))
-
-
 def _clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread(table(spark, sf_dir, "documents"))
     each = docs.select("doc_id", "lang", "source", F.posexplode(text.clips(text.tidy(F.col("text")))).alias("i", "c"))
@@ -59,7 +54,9 @@ def _clips(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("with" + SQL_SENTENCES + " select doc_id, unnest(range(1, len(ss) + 1))::bigint as n, unnest(ss) as sentence from sentenced")
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H2, W5."""
-    return _sentenced(spark, sf_dir).select("doc_id", F.posexplode("ss").alias("i", "sentence")).select("doc_id", (F.col("i") + 1).cast("bigint").alias("n"), "sentence")
+    docs = spread(table(spark, sf_dir, "documents"))
+    each = docs.select("doc_id", F.posexplode(text.sentences(text.tidy(F.col("text")))).alias("i", "sentence"))
+    return each.select("doc_id", (F.col("i") + 1).cast("bigint").alias("n"), "sentence")
 
 
 @query("with" + SQL_CLIPS + " select doc_id, i::bigint as sentence, c.text as text, c.first as first, c.last as last from clips")
@@ -80,7 +77,8 @@ def clip_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     tidy = spread(table(spark, sf_dir, "documents")).select("doc_id", text.tidy(F.col("text")).alias("t"))
     # The sentences are found once, for the clips and for their number.
     once = text.let(text.paragraphs(F.col("t")), lambda p: F.struct(text.clips_of(p).alias("cs"), F.size(F.flatten(p)).alias("n_sentences")))
-    both = tidy.select("doc_id", once.alias("x")).select("doc_id", "x.*").where(F.size("cs") > 0)
+    # Generated columns aren't worked out again for each use, as projected ones are.
+    both = tidy.select("doc_id", F.inline(F.array(once))).where(F.size("cs") > 0)
     return both.select("doc_id", F.array_join(F.transform("cs", lambda c: c["first"].cast("string")), ",").alias("firsts"), "n_sentences", text.is_plain(F.col("cs"), F.col("n_sentences")).alias("plain"))
 
 
