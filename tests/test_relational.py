@@ -153,8 +153,20 @@ def packed_file():
     return head + header + body + b"\0" * 16 + b"".join(struct.pack("<2H5I", *f) for f in fields) + pallet + common + records + struct.pack("<2I", 3, 1)
 
 
+def test_bit_fields():
+    import random
+
+    import numpy as np
+
+    r = random.Random(1)
+    raw = [r.randbytes(13) for _ in range(50)]
+    for first, size in ((0, 8), (3, 5), (7, 31), (40, 64), (99, 5), (12, 0), (8, 80)):
+        want = [int.from_bytes(x, "little") >> first & (1 << min(size, 64)) - 1 for x in raw]
+        assert binary.bit_field(np.frombuffer(b"".join(raw), "u1").reshape(-1, 13), first, size).tolist() == want
+
+
 def test_packed_table(spark, tmp_path):
-    found = list(binary.PackedTable(packed_file()).rows())
+    found = [(i, v) for ids, values in binary.packed_table(packed_file()) for i, v in zip(ids.tolist(), values.tolist())]
     assert found == [(1, [1, -1, 600, 77]), (2, [2, 7, 500, 99]), (3, [1, -1, 600, 77])]
     (tmp_path / "t.db2").write_bytes(packed_file())
     files = spark.read.format("binaryFile").load(str(tmp_path / "t.db2"))
