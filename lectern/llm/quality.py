@@ -48,7 +48,9 @@ def line_fails(line: Column) -> Column:
     navigation = F.regexp_count(line, F.lit(r"[|»›•>]")) >= 2
     symbols = F.regexp_count(line, F.lit(SYMBOLS)) * 12 > F.length(line)
     shouting = (F.length(line) > 20) & line.rlike(r"\p{Lu}") & ~line.rlike(r"\p{Ll}")
-    unclosed = ~F.substring(F.rtrim(line, F.lit(SPACE)), -1, 1).isin(*CLOSING)
+    # Trimming takes a pass over the whole line, so only lines that end with a blank are trimmed.
+    last = F.substring(line, -1, 1)
+    unclosed = ~F.when(last.isin(*SPACE), F.substring(F.rtrim(line, F.lit(SPACE)), -1, 1)).otherwise(last).isin(*CLOSING)
     low = F.lower(line)
     mentions = F.exists(F.array(*[F.lit(p) for p in BOILERPLATE]), lambda p: F.contains(low, p))
     boilerplate = mentions & ((F.length(low) - F.length(F.regexp_replace(low, "|".join(BOILERPLATE), ""))) * BOILERPLATE_SHARE >= F.length(low))
