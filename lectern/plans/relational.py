@@ -101,13 +101,12 @@ def start_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """with k as (select distinct o_orderkey as v from orders where o_orderkey % 5 <> 0 and o_orderkey % 7 <> 0), g as (select v, v - row_number() over (order by v) as g from k)
-select min(v) as low, max(v) as high from g group by g"""
+    """with k as (select distinct o_orderstatus, o_orderkey as v from orders), g as (select o_orderstatus, v, v - row_number() over (partition by o_orderstatus order by v) as g from k)
+select o_orderstatus, min(v) as low, max(v) as high from g group by o_orderstatus, g"""
 )
 def islands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A15."""
-    kept = _orders(spark, sf_dir).where("id % 5 <> 0 and id % 7 <> 0")
-    return packs.islands(kept, "id", buckets=1000)
+    """Runs of orders of one status."""
+    return packs.islands(_orders(spark, sf_dir), "id", "o_orderstatus")
 
 
 @query(
@@ -220,14 +219,8 @@ def first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.first_wins(_outcomes(spark, sf_dir), "path", ("ts", "seq")).select("path", "outcome", "seq")
 
 
-@query(f"with {_OUTCOMES} select path, arg_max(outcome, (ts, seq)) as outcome, arg_max(seq, (ts, seq)) as seq from o where seq % 10 < 3 group by path having not bool_or(outcome = 'fixed')")
-def absorbing_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A11."""
-    return reconcile.absorbing(_outcomes(spark, sf_dir).where("seq % 10 < 3"), "path", ("ts", "seq")).select("path", "outcome", "seq")
-
-
 @query(f"with {_OUTCOMES}, r as (select path, seq, ts, case when outcome = 'fixed' and seq % 97 <> 0 then 'bought' else outcome end as outcome from o) select path, arg_max(outcome, (ts, seq)) as outcome, arg_max(seq, (ts, seq)) as seq from r group by path having not bool_or(outcome = 'fixed')")
-def absorbing_outcome_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def absorbing_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A11 over all events; of the purchases one in 97 is `fixed`, as every user has some."""
     rare = F.when((F.col("outcome") == "fixed") & (F.col("seq") % 97 != 0), "bought").otherwise(F.col("outcome"))
     return reconcile.absorbing(_outcomes(spark, sf_dir).withColumn("outcome", rare), "path", ("ts", "seq")).select("path", "outcome", "seq")
@@ -289,13 +282,12 @@ def anti_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """select o_orderkey as id, case when o_orderkey % 5 = 0 then 'slow' when c_mktsegment = 'BUILDING' then 'low' when c_mktsegment = 'MACHINERY' then 'high' else 'plain' end as voice
-from orders left join customer on c_custkey = o_custkey where o_orderkey % 6 <> 0 and coalesce(o_orderkey % 4, 0) >= 0
-and substr(sha1(o_orderstatus), 1, 16) || ' ' || case when o_orderkey % 5 = 0 then 'slow' when c_mktsegment = 'BUILDING' then 'low' when c_mktsegment = 'MACHINERY' then 'high' else 'plain' end
+from orders left join customer on c_custkey = o_custkey where substr(sha1(o_orderstatus), 1, 16) || ' ' || case when o_orderkey % 5 = 0 then 'slow' when c_mktsegment = 'BUILDING' then 'low' when c_mktsegment = 'MACHINERY' then 'high' else 'plain' end
   is distinct from case when o_orderkey % 4 <> 0 then substr(sha1(o_orderstatus), 1, 16) || ' plain' end""".replace("case when o_orderkey % 5 = 0 then 'slow' ", "case when o_orderkey % 5 = 0 then 'plain' ")
 )
 def outstanding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clips without a stamp or with another than hash and voice."""
-    o = _orders(spark, sf_dir).where("id % 6 <> 0")
+    o = _orders(spark, sf_dir)
     plan = o.select(F.when(F.col("id") % 5 == 0, "word").otherwise("quest").alias("kind"), "id", F.col("id").alias("path"), F.substring(F.sha1(F.col("o_orderstatus").cast("binary")), 1, 16).alias("hash"))
     voice = _orders(spark, sf_dir).join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(F.col("id").alias("quest_id"), F.col("c_mktsegment").alias("sex"))
     cast = planner.cast_voices(plan, voice, {"BUILDING": "low", "MACHINERY": "high"}, "plain")
@@ -406,13 +398,13 @@ def ordered_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""with {_SQL_D}, n as (select quest_id, letter, count(*)::int as clips from d group by 1, 2), g as (select l_orderkey as quest_id, case l_returnflag when 'A' then 'o' when 'N' then 'p' else 'c' end as letter, count(distinct l_linenumber)::int as firsts from lineitem where l_partkey % 10 <> 0 group by 1, 2)
+    f"""with {_SQL_D}, n as (select quest_id, letter, count(*)::int as clips from d group by 1, 2), g as (select l_orderkey as quest_id, case l_returnflag when 'A' then 'o' when 'N' then 'p' else 'c' end as letter, count(distinct l_linenumber - (l_partkey % 10 = 0)::int)::int as firsts from lineitem group by 1, 2)
 select quest_id, letter, clips, firsts = clips as accepted from g join n using (quest_id, letter)"""
 )
 def accepted_groupings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J20."""
+    """Every tenth part's clips begin with the sentence before, which another clip may begin with too."""
     d = _durations(spark, sf_dir)
-    kept = table(spark, sf_dir, "lineitem").where("l_partkey % 10 <> 0").select(F.col("l_orderkey").alias("quest_id"), F.when(F.col("l_returnflag") == "A", "o").when(F.col("l_returnflag") == "N", "p").otherwise("c").alias("letter"), F.col("l_linenumber").alias("idx"))
+    kept = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("quest_id"), F.when(F.col("l_returnflag") == "A", "o").when(F.col("l_returnflag") == "N", "p").otherwise("c").alias("letter"), (F.col("l_linenumber") - (F.col("l_partkey") % 10 == 0).cast("int")).alias("idx"))
     groupings = kept.groupBy("quest_id", "letter").agg(F.collect_set("idx").alias("firsts"))
     return packs.accepted_groupings(groupings, packs.passage_lengths(d)).select("quest_id", "letter", "clips", "accepted")
 

@@ -204,25 +204,15 @@ def word_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.join(known, "w", "left").groupBy("lang").agg(F.sum("n").alias("words"), F.sum(F.when(F.col("k") == 1, F.col("n")).otherwise(0)).alias("known"))
 
 
-_PAIRS = """with pairs as (select c.conv_id, c.turn, p.p_name as want, substr(regexp_replace(coalesce(c.text, ''), '[^A-Za-z ]', '', 'g'), 1, 24) as said
-  from conversations c join part p on p.p_partkey = c.conv_id % 200 + 1),
-heard as (select *, case turn % 6 when 0 then want when 1 then want || ' ' || want when 2 then substr(want, 1, 4) when 3 then '' when 4 then said || want || ' x' else said end as heard from pairs),
-n as (select *, replace(lower(regexp_replace(want, '[^\\p{L}\\p{N}_]+', '', 'g')), 'ß', 'ss') as a, replace(lower(regexp_replace(heard, '[^\\p{L}\\p{N}_]+', '', 'g')), 'ß', 'ss') as b,
+_PAIRS = """with pairs as (select c.conv_id, c.turn, p.p_name as want, coalesce(c.text, '') as said
+  from conversations c join part p on p.p_partkey = (c.conv_id * 8 + c.turn) % (select greatest(count(*), 1) from part) + (select coalesce(min(p_partkey), 0) from part)),
+heard as (select *, case turn % 6 when 0 then want when 1 then want || ' ' || want when 2 then substr(want, 1, 4) when 3 then '' when 4 then said || ' ' || want || ' x' else said end as heard from pairs),
+n as (select *, replace(lower(regexp_replace(want, '[^\\p{L}\\p{N}\\p{M}_]+', '', 'g')), 'ß', 'ss') as a, replace(lower(regexp_replace(heard, '[^\\p{L}\\p{N}\\p{M}_]+', '', 'g')), 'ß', 'ss') as b,
   regexp_replace(lower(want), '[\\p{P}\\p{Z}\\p{C}]', '', 'g') as fa, regexp_replace(lower(heard), '[\\p{P}\\p{Z}\\p{C}]', '', 'g') as fb from heard)"""
 
 
 def _heard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stand-in transcripts: turns of conversations against part names, of every shape."""
-    conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.substring(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z ]", ""), 1, 24).alias("said"))
-    part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("want"))
-    pairs = conv.join(part, F.col("conv_id") % 200 + 1 == F.col("p_partkey")).drop("p_partkey")
-    want, said, k = F.col("want"), F.col("said"), F.col("turn") % 6
-    heard = F.when(k == 0, want).when(k == 1, F.concat(want, F.lit(" "), want)).when(k == 2, F.substring(want, 1, 4)).when(k == 3, "").when(k == 4, F.concat(said, want, F.lit(" x"))).otherwise(said)
-    return pairs.withColumn("heard", heard)
-
-
-def _heard_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As `_heard`, with the whole text of every turn, and turns dealt over all part names."""
+    """Stand-in transcripts of every shape: whole turns of conversations, dealt over all part names."""
     part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("want"))
     n, least = part.agg(F.count(F.lit(1)), F.min("p_partkey")).first()
     conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("said"))
@@ -249,7 +239,7 @@ def classify_native(spark: SparkSession, sf_dir: str) -> DataFrame:
 def classify_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows only, as matching-block similarity isn't SQL. Distinct pairs are scored once."""
     w, h = F.col("want"), F.col("heard")
-    pairs = spread(_heard_whole(spark, sf_dir))
+    pairs = spread(_heard(spark, sf_dir))
     # What the UDFs read is made natively below the distinct; they take plain columns.
     inputs = pairs.select("want", "heard", text.normalise(w).alias("a"), text.normalise(h).alias("b"), F.transform(text.pieces(h), text.normalise).alias("parts"), match.sound_code(w, ascii_only=True).alias("sa"), match.sound_code(h, ascii_only=True).alias("sb")).distinct()
     scored = inputs.withColumn("similarity", match.block_ratio(F.col("a"), F.col("b"))).withColumn("best", match.best_ratio(F.col("a"), F.col("parts")))
