@@ -58,3 +58,10 @@ def valid_path(path: Column) -> Column:
 
 def clip_path_shape(path: Column) -> Column:
     return F.coalesce(path.rlike(CLIP_PATH), F.lit(False))
+
+
+def stem_parts(stem: Column) -> Column:
+    """quest, letter, idx of a clip's file stem like 25152_o1, cut at its last underscore; null for other stems."""
+    shape = r"^(\d+)_(.)(\d+)$"
+    part = lambda k: F.regexp_extract(stem, shape, k)
+    return F.when(stem.rlike(shape), F.struct(part(1).cast("bigint").alias("quest"), part(2).alias("letter"), part(3).cast("int").alias("idx")))

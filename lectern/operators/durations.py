@@ -53,3 +53,24 @@ def verdict_histogram(rows: DataFrame) -> DataFrame:
 
     per = rows.groupBy("verdict").agg(F.count(F.lit(1)).alias("n"))
     return per.withColumn("percent", F.col("n") * 100 / F.sum("n").over(W.partitionBy(F.lit(1)))).orderBy(F.desc("n"), "verdict")
+
+
+def histogram(rows: DataFrame, by: str) -> DataFrame:
+    """How many rows have each value of a column: sample rates, outcomes of a repair pass."""
+    return rows.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
+
+
+def size_shares(probes: DataFrame) -> DataFrame:
+    """original, encoded, failed, percent, silence of probes (original, encoded, seconds, head, tail).
+
+    percent: encoded bytes of the original's; silence: percent of the seconds that lie silent at the
+    edges. A probe that couldn't be encoded has null there and counts as failed; one without seconds
+    adds no silence.
+    """
+    sum_ = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    known = F.col("seconds").isNotNull()
+    edges, total = sum_(F.when(known, F.col("head") + F.col("tail"))), sum_("seconds")
+    return probes.agg(
+        sum_("original").alias("original"), sum_("encoded").alias("encoded"), F.count_if(F.col("encoded").isNull()).alias("failed"),
+        F.try_divide(100.0 * sum_("encoded"), sum_("original")).alias("percent"), (100.0 * edges / F.greatest(total, F.lit(0.001))).alias("silence"),
+    )

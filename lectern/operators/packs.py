@@ -9,17 +9,53 @@ from pyspark.sql import functions as F
 from lectern.functions import small
 
 
+#: Ranges that are broadcast at most (some 100 bytes each); more of them are met in sorted order.
+BROADCAST_RANGES = 10_000
+
+
 def assign(rows: DataFrame, packs: DataFrame, special: DataFrame | None = None, *, key: str = "id") -> DataFrame:
     """With pack: the pack (name, low, high) whose inclusive range holds the id; ids in `special`
     (quest_id, name) go where that says. Ids in no range have null. Ranges must not overlap."""
-    dim = packs.select(F.col("name").alias("_pack"), "low", "high")
-    met = rows.join(dim, rows[key].between(F.col("low"), F.col("high")), "left").drop("low", "high")
+    dim = packs.select(F.col("name").alias("_pack"), F.col("low").alias("_low"), F.col("high").alias("_high"))
+    if dim.limit(BROADCAST_RANGES + 1).count() <= BROADCAST_RANGES:
+        met = rows.join(F.broadcast(dim), rows[key].between(F.col("_low"), F.col("_high")), "left").drop("_low", "_high")
+    else:
+        met = _met_in_order(rows, dim, key)
     if special is None:
         return met.withColumnRenamed("_pack", "pack")
     own = special.select(F.col("quest_id").alias("_q"), F.col("name").alias("_own"))
     return met.join(own, met[key] == own["_q"], "left").withColumn("pack", F.coalesce("_own", "_pack")).drop("_q", "_own", "_pack")
 
 
+def _met_in_order(rows: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """With _pack: each id meets the last range that begins at or before it."""
+    start = F.struct("_low", "_high", "_pack")
+    events = rows.select(F.struct(*rows.columns).alias("_row"), F.col(key).cast("long").alias("_v"), F.lit(1).alias("_kind"), F.lit(None).alias("_start"))
+    events = events.unionByName(dim.select(F.lit(None).alias("_row"), F.col("_low").cast("long").alias("_v"), F.lit(0).alias("_kind"), start.alias("_start")))
+    met = _carried(events, "_start", "_start").where("_kind = 1")
+    inside = F.col("_v") <= F.col("_last._high")
+    return met.select("_row.*", F.when(inside, F.col("_last._pack")).alias("_pack"))
+
+
+def _carried(events: DataFrame, kept: str, previous: str) -> DataFrame:
+    """With _last, the last `kept` that isn't null up to a row, and _before, the `previous` of the row before it.
+
+    Events are ordered by (_v, _kind). They are range-partitioned by _v; what a partition hands on is
+    one row, and only these rows meet in one task.
+    """
+    dealt = events.repartitionByRange("_v").withColumn("_part", F.spark_partition_id())
+    within = W.partitionBy("_part").orderBy("_v", "_kind")
+    up_to = within.rowsBetween(W.unboundedPreceding, W.currentRow)
+    own = dealt.withColumn("_own", F.last(kept, ignorenulls=True).over(up_to)).withColumn("_own_before", F.lag(previous).over(within)).withColumn("_first", F.row_number().over(within) == 1)
+    at = F.struct("_v", "_kind")
+    handed = dealt.groupBy("_part").agg(F.min("_v").alias("_least"), F.max_by(kept, F.when(F.col(kept).isNotNull(), at)).alias("_k"), F.max_by(previous, at).alias("_p"))
+    order = W.orderBy(F.asc_nulls_first("_least"))
+    before = order.rowsBetween(W.unboundedPreceding, -1)
+    handed = handed.select("_part", F.last("_k", ignorenulls=True).over(before).alias("_k"), F.lag("_p").over(order).alias("_p"))
+    met = own.join(F.broadcast(handed), "_part")  # one row per partition
+    return met.withColumn("_last", F.coalesce("_own", "_k")).withColumn("_before", F.when(F.col("_first"), F.col("_p")).otherwise(F.col("_own_before"))).drop("_part", "_own", "_own_before", "_first", "_k", "_p")
+
+
 def overlapping(packs: DataFrame) -> DataFrame:
     """Pairs of packs whose ranges overlap: empty where `assign` is well defined."""
     a, b = packs.alias("a"), packs.alias("b")
@@ -102,12 +138,16 @@ def islands(rows: DataFrame, key: str = "id", *by: str, buckets: int = 1 << 16)
 
 
 def without_points(ranges: DataFrame, points: DataFrame) -> DataFrame:
-    """low, high: ranges less single ids; what is left on each side of an id stays."""
-    hit = ranges.join(points.select("id").distinct(), F.col("id").between(F.col("low"), F.col("high")), "left")
-    cut = hit.groupBy("low", "high").agg(F.array_sort(F.array_compact(F.collect_set("id"))).alias("cuts"))
-    left = F.concat(F.array(F.col("low")), F.transform("cuts", lambda c: c + 1))
-    right = F.concat(F.transform("cuts", lambda c: c - 1), F.array(F.col("high")))
-    return cut.select(F.inline(F.arrays_zip(left.alias("low"), right.alias("high")))).where("low <= high")
+    """low, high: ranges less single ids; what is left on each side of an id stays. Ranges must not overlap.
+
+    A range's begin, the ids, and its end are events in one order; what lies between an event and the
+    one before it, within a range, is left.
+    """
+    event = lambda v, kind, mark, high: (v.cast("long").alias("_v"), F.lit(kind).alias("_kind"), mark.cast("long").alias("_mark"), high.cast("long").alias("_high"))
+    low, high, id_, none = F.col("low"), F.col("high"), F.col("id"), F.lit(None)
+    events = ranges.select(*event(low, 1, low - 1, high)).union(ranges.select(*event(high + 1, 0, high + 1, none))).union(points.where("id is not null").select(*event(id_, 2, id_, none)))
+    left = _carried(events, "_high", "_mark").where("_kind <> 1").select((F.col("_before") + 1).alias("low"), (F.col("_v") - 1).alias("high"), "_last")
+    return left.where("low <= high and high <= _last").select("low", "high")
 
 
 def merged(ranges: DataFrame) -> DataFrame:

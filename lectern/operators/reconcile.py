@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectern.functions import text
+
 
 def reconcile(expected: DataFrame, written: DataFrame, *, key: str = "path", size: str = "size") -> DataFrame:
     """key, expected_size, written_size, status: missing, extra, size differs or same."""
@@ -73,6 +75,13 @@ def copy_needed(source: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def not_ignored(files: DataFrame, ignored: DataFrame) -> DataFrame:
-    """Files that are no ignored path and stand below none. Files and lists are those of one release."""
-    under = files["path"].eqNullSafe(ignored["prefix"]) | F.startswith(files["path"], F.concat(ignored["prefix"], F.lit("/")))
-    return files.join(ignored, under, "left_anti")
+    """Files that are no ignored path and stand below none: a path's folders and itself are looked up by equality."""
+    parts = F.split("path", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "/"))
+    each = files.where("path is not null").select("path", F.explode(above).alias("prefix")).distinct()
+    return files.join(each.join(ignored.select("prefix").distinct(), "prefix", "left_semi").select("path"), "path", "left_anti").select(*files.columns)
+
+
+def without_numerals(heard: DataFrame, *, keep: bool = False) -> DataFrame:
+    """Reports (heard) but those whose transcript is nothing but digits; all of them where asked."""
+    return heard if keep else heard.where(~text.normalise(F.col("heard")).rlike(r"^\p{Nd}+$"))

@@ -73,6 +73,24 @@ def inserted_triples(rows: DataFrame, table: str, names: tuple[str, str, str]) -
     return all_numbers(own, r"\((\d+),\s*(\d+),\s*(\d+)", *names)
 
 
+#: Rows of the quest and creature tables, the people of a quest, and a map with a place on it.
+QUEST_ROW, CREATURE_ROW = r"^G\[(\d+)\]\s*=\s*'([^']*)'", r"^G\[(\d+)\]\s*=\s*\{'([^']*)'"
+PEOPLE, PLACE = r"\b[AT]:([\d,]+)", r"(\d+):\d+\.?\d*,\d+\.?\d*"
+
+
+def places(rows: DataFrame) -> DataFrame:
+    """npc, map: the maps that lines (value) of the creature table name."""
+    found = rows.where(F.col("value").rlike(CREATURE_ROW)).select(F.regexp_extract("value", CREATURE_ROW, 1).cast("bigint").alias("npc"), F.regexp_extract("value", CREATURE_ROW, 2).alias("b"))
+    return found.select("npc", F.explode(F.regexp_extract_all("b", F.lit(PLACE), F.lit(1))).alias("m")).select("npc", F.col("m").cast("bigint").alias("map")).distinct()
+
+
+def people(rows: DataFrame) -> DataFrame:
+    """quest_id, npc: who gives or takes the quests of lines (value) of the quest table."""
+    found = rows.where(F.col("value").rlike(QUEST_ROW)).select(F.regexp_extract("value", QUEST_ROW, 1).cast("bigint").alias("quest_id"), F.regexp_extract("value", QUEST_ROW, 2).alias("b"))
+    runs = F.array_join(F.regexp_extract_all("b", F.lit(PEOPLE), F.lit(1)), ",")
+    return found.select("quest_id", F.explode(F.split(runs, ",")).alias("n")).where("n <> ''").select("quest_id", F.col("n").cast("bigint").alias("npc")).distinct()
+
+
 def id_list(texts: DataFrame) -> DataFrame:
     """pos, quest_id of a JSON array of ids in whole texts (value)."""
     return texts.select(F.posexplode(F.from_json("value", "array<bigint>")).alias("pos", "quest_id"))

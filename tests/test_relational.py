@@ -1,11 +1,13 @@
 """Relational operators on small tables, streams against their batch twins, sources on files."""
 
 import json
+import random
 import struct
 
 import pytest
 from pyspark.sql import functions as F
 
+from lectern.functions import ident
 from lectern.operators import packs, planner, reconcile
 from lectern.sources import binary, text as sources
 from lectern.streaming import monitor
@@ -33,6 +35,45 @@ def test_ranges(spark):
     assert packs.overlapping(dim).count() == 0
 
 
+def test_ranges_in_order_are_those_by_hand(spark, monkeypatch):
+    r = random.Random(3)
+    cuts = sorted(r.sample(range(2000), 40))
+    ranges = [(f"p{i}", cuts[i], cuts[i + 1] - 1 - r.choice([0, 3])) for i in range(0, 39, 2)]
+    ranges = [x for x in ranges if x[1] <= x[2]]
+    points = [r.randrange(-10, 2100) for _ in range(600)]
+    left = set()
+    for _, low, high in ranges:
+        for p in sorted(set(points)):
+            if low <= p <= high:
+                left |= {(low, p - 1)} if low < p else set()
+                low = p + 1
+        left |= {(low, high)} if low <= high else set()
+    dim = spark.createDataFrame(ranges, "name string, low long, high long")
+    ids = spark.createDataFrame([(p,) for p in points] + [(None,)], "id long")
+    assert rows(packs.without_points(dim.select("low", "high"), ids)) == sorted(left)
+    by_broadcast = sorted(map(str, packs.assign(ids, dim).collect()))
+    monkeypatch.setattr(packs, "BROADCAST_RANGES", 3)
+    assert sorted(map(str, packs.assign(ids, dim).collect())) == by_broadcast
+
+
+def test_side_car_files(spark, tmp_path):
+    for k, stamp in ((1, "aa low\n"), (2, " bb high")):
+        (tmp_path / f"w{k}").mkdir()
+        (tmp_path / f"w{k}" / f"{k}.ogg").write_bytes(b"x" * k)
+        (tmp_path / f"w{k}" / f"{k}.ogg.hash").write_text(stamp)
+    name = F.regexp_extract("path", r"([^/]*)$", 1)
+    assert rows(sources.stamps(spark, str(tmp_path)).select(name, "stamp")) == [("1.ogg", "aa low"), ("2.ogg", "bb high")]
+    assert rows(binary.listing(spark, str(tmp_path)).select(name, "size")) == [("1.ogg", 1), ("2.ogg", 2)]
+
+
+def test_stems_and_ignored_paths(spark):
+    stems = spark.createDataFrame([(s,) for s in ("25152_o1", "7_12", "a_o1", "7_o", "7o1", "1_2_o3", "")], "s string")
+    assert [r[0] and tuple(r[0]) for r in stems.select(ident.stem_parts(F.col("s"))).collect()] == [(25152, "o", 1), (7, "1", 2), None, None, None, None, None]
+    files = spark.createDataFrame([(p,) for p in ("a", "ab", "a/b", "a/b/c", "x/a", None)], "path string")
+    ignored = spark.createDataFrame([("a",), ("x/a/b",)], "prefix string")
+    assert sorted(map(str, (r[0] for r in reconcile.not_ignored(files, ignored).collect()))) == ["None", "ab", "x/a"]
+
+
 def test_spans_overrun(spark):
     starts = spark.createDataFrame([(1, "o", [1, 3], 2)], "quest_id long, letter string, firsts array<int>, n_sentences int")
     assert rows(packs.spans(starts).select("first", "last")) == [(1, 2), (3, 3)]
