@@ -14,23 +14,24 @@ Work = Callable[[pd.DataFrame], pd.Series]
 def attempted(rows: DataFrame, work: Work) -> DataFrame:
     """With result and error: `work` gives a text for each row of an Arrow batch.
 
-    A batch that raises is tried again one row at a time, so that a bad row names itself and costs no
-    other row its result. A task that is lost is run again whole; what it gave before is not counted.
+    A batch that raises is halved and tried again, down to single rows, so that a bad row names itself
+    and costs no other row its result. A task that is lost is run again whole; what it gave before is
+    not counted.
     """
 
+    def tried(batch: pd.DataFrame) -> tuple[list, list]:
+        try:
+            return list(work(batch)), [None] * len(batch)
+        except Exception as e:
+            if len(batch) == 1:
+                return [None], [f"{type(e).__name__}: {e}"[:120]]
+        half = len(batch) // 2
+        (one, faults), (two, more) = tried(batch.iloc[:half]), tried(batch.iloc[half:])
+        return one + two, faults + more
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            try:
-                done, errors = list(work(batch)), [None] * len(batch)
-            except Exception:
-                done, errors = [], []
-                for i in range(len(batch)):
-                    try:
-                        done.append(work(batch.iloc[i : i + 1]).iloc[0])
-                        errors.append(None)
-                    except Exception as e:
-                        done.append(None)
-                        errors.append(f"{type(e).__name__}: {e}"[:120])
+            done, errors = tried(batch) if len(batch) else ([], [])
             yield batch.assign(result=done, error=errors)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)

@@ -10,7 +10,7 @@ from lectern.functions import ident, small
 from lectern.operators import attempts, durations, ordering, packs, planner, reconcile
 from lectern.sources import binary, staging, text
 
-from .registry import query, table
+from .registry import query, spread, table
 
 
 def _s(c: Column | str) -> Column:
@@ -271,7 +271,7 @@ def guarded_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select o_orderkey as path, case when o_orderkey % 50 = 0 then 'ValueError: bad clip ' || o_orderkey else substr(sha1(o_orderstatus), 1, 16) || ' low' end as said from orders")
 def attempts_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One clip in fifty fails its batch; tried again singly it is named, and all others are stamped."""
+    """One clip in fifty fails its batch; tried again it is named, and all others are stamped."""
 
     def work(batch: pd.DataFrame) -> pd.Series:
         bad = batch["path"][batch["path"] % 50 == 0]
@@ -280,5 +280,5 @@ def attempts_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:
         return batch["hash"]
 
     plan = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("path"), ident.text_hash(F.col("o_orderstatus")).alias("hash"), F.lit("low").alias("voice"))
-    done = attempts.attempted(plan, work)
+    done = attempts.attempted(spread(plan), work)
     return attempts.stamped(done).select("path", F.col("stamp").alias("said")).union(done.where("error is not null").select("path", "error"))
