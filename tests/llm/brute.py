@@ -7,6 +7,8 @@ import struct
 import zlib
 from collections import Counter, defaultdict
 
+import regex
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
@@ -183,3 +185,65 @@ class KneserNey:
         t = "    " + letters_of(text)
         known = {}
         return -sum(math.log(known[g] if g in known else known.setdefault(g, self.p(g, letters))) for g in (t[i : i + 5] for i in range(len(t) - 4)))
+
+
+def template(text, units, number, unit, name):
+    """(template words, words with values) of a text, by the same marks."""
+    t = regex.sub(r"(?<=[\p{Ll},;] )(\p{Lu}\p{L}*)", lambda m: name + m[1], text)
+    if regex.search(r"\p{Nd}", text):
+        t = regex.sub(r"(?<![\p{L}\p{N}])(\p{Nd}+(?:[.,:]\p{Nd}+)*)", lambda m: number + m[1], t)
+        t = regex.sub(rf"({number}[\p{{Nd}}.,:]+)\s*((?i:{'|'.join(units)}))(?!\p{{L}})", lambda m: f"{m[1]} {unit}{m[2]}", t)
+    marks = f"{number}-{name}"
+    words = lambda x: [w for w in regex.split(rf"(?:[^\p{{L}}\p{{N}}{marks}.,:]|[.,:](?!\p{{N}}))+", x) if w]
+    return words(regex.sub(rf"([{marks}])[\p{{L}}\p{{N}}]+(?:[.,:]\p{{N}}+)*", lambda m: m[1], t).lower()), words(t)
+
+
+def decontamination(docs, items, units, marks, width=8, share=0.5, consistency=0.7, gap=3):
+    """{(doc_id, item_id): (matched, total, agreement)} by comparing the windows themselves, one document and item at a time."""
+    slot = lambda w: w[0] in marks
+
+    def windows(text, w):
+        words, raw = template(text, units, *marks)
+        need = min(4, max(w - 1, 3))
+        for at in range(len(words) - w + 1):
+            own, values = words[at : at + w], raw[at : at + w]
+            plain = sum(not slot(x) for x in own)
+            yield at, (True, tuple(own)) if plain >= need else (False, tuple(v.lower() for v in values)), plain, [v for v in values if slot(v)]
+
+    found = {}
+    for item_id, item in items:
+        w = min(width, len(template(item or "", units, *marks)[0]))
+        theirs = [x for x in windows(item, w) if x[1][0] or w == width or x[2] >= 3] if w else []
+        if not theirs:
+            continue
+        kinds = {key for _, key, _, _ in theirs}
+        total, total_all = sum(k[0] for k in kinds), len(kinds)
+        places, places_all = sum(key[0] for _, key, _, _ in theirs), len(theirs)
+        enough = lambda told, n, every, n_all: (n > 0 and told >= share * n) or every >= share * n_all
+        for doc_id, text in docs:
+            ours = defaultdict(list)
+            for pos, key, _, slots in windows(text or "", w):
+                ours[key].append((pos, slots))
+            met = [(at, pos, key[0], mine, own) for at, key, _, mine in theirs for pos, own in ours.get(key, ())]
+            held = {key for _, key, _, _ in theirs if key in ours}
+            told, every = sum(k[0] for k in held), len(held)
+            if not met or not enough(told, total, every, total_all):
+                continue
+            met.sort(key=lambda m: m[1] - m[0])
+            groups, chain, before = defaultdict(list), 0, None
+            for m in met:
+                d = m[1] - m[0]
+                chain += before is not None and d - before > min(gap, w - 1)
+                before = d
+                groups["at", d].append(m)
+                groups["chain", chain].append(m)
+            best = []
+            for ms in [*(ms for ms in groups.values() if enough(len({m[0] for m in ms if m[2]}), places, len({m[0] for m in ms}), places_all)), met]:
+                pairs = Counter((a, b) for m in ms for a, b in zip(m[3], m[4]))
+                top = Counter()
+                for (a, _), n in pairs.items():
+                    top[a] = max(top[a], n)
+                best.append(sum(top.values()) / sum(pairs.values()) if pairs else 1.0)
+            if max(best) >= consistency:
+                found[doc_id, item_id] = (told, total, max(best)) if total and told >= share * total else (every, total_all, max(best))
+    return found

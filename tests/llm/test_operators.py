@@ -1,5 +1,6 @@
 """Operators on small tables: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
+import os
 import random
 import struct
 import zlib
@@ -536,3 +537,27 @@ def test_odd_tables(spark, odd, empty):
     assert language_id.identify(odd, odd).count() == n and language_id.identify(empty, odd).count() == 0
     lab = spark.createDataFrame([(5, 1, None), (6, 1, 1)], "doc_id long, quality int, toxic int")
     assert toxicity.score_documents(odd, odd, lab).count() == n and toxicity.score_documents(empty, empty, lab).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no tables")
+def test_decontamination_is_that_of_plain_windows(spark):
+    read = lambda name: spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+    items = [(r["item_id"], r["text"]) for r in read("benchmark").collect()]
+    items += [(9001, "The train leaves Bern at 9:15 with 40 people and arrives after 3 hours in Rome with 12 of them"), (9002, "3 kg 4 kg 5 kg 6 kg 7 kg"), (9003, "so few words 7"), (9004, "")]
+    docs = [(r["doc_id"], r["text"]) for r in read("documents").collect()]
+    r, n = random.Random(5), 10_000
+    for _, text in items:
+        words = text.split()
+        shift = "".join(str((int(c) + 3) % 10) if c.isdigit() else c for c in text)
+        loose = "".join(str(r.randrange(10)) if c.isdigit() else c for c in text)
+        put = words[: len(words) // 2] + ["indeed"] + words[len(words) // 2 :]
+        for made in (text, shift, loose, f"Well, {text} and again {shift}", " ".join(put), " ".join(words[: len(words) // 2]), text.upper(), " ".join(reversed(words))):
+            docs.append((n, made))
+            n += 1
+    docs.append((n, None))
+    marks = (decontamination.NUMBER, decontamination.UNIT, decontamination.NAME)
+    want = brute.decontamination(docs, items, decontamination.UNITS, marks)
+    hits = decontamination.hits(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(x["doc_id"], x["item_id"]): (x["matched"], x["total"], x["agreement"]) for x in hits.collect()}
+    assert set(got) == set(want) and len(want) > len(items)
+    assert all(got[k][:2] == want[k][:2] and abs(got[k][2] - want[k][2]) < 1e-9 for k in want)
