@@ -129,11 +129,7 @@ def remaining_by_pack(todo: DataFrame) -> DataFrame:
 
 
 def systematic_sample(rows: DataFrame, k: int, *, order: tuple[str, ...]) -> DataFrame:
-    """Every step-th row by `order`, the first k of them, with step = max(1, n div k).
-
-    Numbering is global without one sorted partition: rows are range-partitioned by `order`, counted
-    per partition, and numbered within.
-    """
+    """Every step-th row by `order`, the first k of them, with step = max(1, n div k)."""
     numbered = with_row_number(rows, order)
     step = max(1, rows.count() // k)
     return numbered.where((F.col("row_number") % step == 0) & (F.col("row_number") < step * k)).drop("row_number")
@@ -144,14 +140,65 @@ def shard(rows: DataFrame, i: int, of: int, *, order: tuple[str, ...]) -> DataFr
     return with_row_number(rows, order).where(F.col("row_number") % of == i).drop("row_number")
 
 
-def with_row_number(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
-    """With row_number from 0 by `order`, which must tell rows apart."""
-    dealt = rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    bounds = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*order)).alias("_least"))
-    # One row per partition.
-    before = bounds.withColumn("_before", F.coalesce(F.sum("_n").over(W.orderBy("_least").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("_part", "_before")
-    within = dealt.withColumn("_k", F.row_number().over(W.partitionBy("_part").orderBy(*order)) - 1)
-    return within.join(F.broadcast(before), "_part").withColumn("row_number", (F.col("_before") + F.col("_k")).cast("long")).drop("_part", "_before", "_k")
+def with_row_number(rows: DataFrame, order: tuple[str, ...], *, by: tuple[str, ...] = ()) -> DataFrame:
+    """With row_number from 0 by `order`, over all rows or within the groups of `by`; no task sorts all rows.
+
+    Split points are sampled once and are literals from then on, so a row's bucket is a function of
+    its own values: however often, and over whatever partitions, Spark evaluates the rows, the counts
+    and the numbering agree. Rows are numbered within their bucket, after all buckets before it.
+
+    `order` must tell the rows of a group apart, or rows that tie are numbered in any order; nulls come
+    first. The rows must be the same whenever they are read: stage random ones first.
+    """
+    keys = (*by, *order)
+    bucketed = rows.withColumn("_bucket", bucket_of(*split_points(rows, keys), keys))
+    counts = bucketed.groupBy("_bucket", *by).agg(F.count(F.lit(1)).alias("_n"))
+    # A row per bucket, and one more for each group that begins within one.
+    earlier = W.partitionBy(*by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    before = counts.select(F.col("_bucket").alias("_b"), *[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = bucketed.withColumn("_k", F.row_number().over(W.partitionBy("_bucket", *by).orderBy(*order)) - 1)
+    same = F.col("_bucket") == F.col("_b")
+    for i, c in enumerate(by):
+        same = same & within[c].eqNullSafe(F.col(f"_by{i}"))
+    met = within.join(before if by else F.broadcast(before), same)
+    return met.withColumn("row_number", (F.col("_before") + F.col("_k")).cast("long")).drop("_bucket", "_b", "_before", "_k", *[f"_by{i}" for i in range(len(by))])
+
+
+#: Rows of a bucket on average, sampled rows for each, and buckets at most (their bounds are a literal of the plan).
+BUCKET_ROWS, SAMPLED, MOST_BUCKETS = 20_000, 40, 4_096
+
+
+def split_points(rows: DataFrame, keys: tuple[str, ...]) -> tuple[Column, int]:
+    """Ascending structs of the keys that part the rows into buckets of about equally many, an array literal; how many at most.
+
+    At most MOST_BUCKETS x SAMPLED rows of keys come to the driver. The sample decides how even the
+    buckets are, never what a row's number is.
+    """
+    own = rows.select(*keys)
+    n = own.count()
+    buckets = min(MOST_BUCKETS, -(-n // BUCKET_ROWS))
+    most = buckets * SAMPLED
+    drawn = own.sample(min(1.0, 1.2 * most / n), seed=n).orderBy(*keys).limit(most).collect() if buckets > 1 else []
+    picked = drawn[SAMPLED::SAMPLED]
+    typed = [F.struct(*[F.lit(r[i]).cast(f.dataType).alias(f"k{i}") for i, f in enumerate(own.schema.fields)]) for r in picked]
+    return F.sort_array(F.array_distinct(F.array(*typed))), len(typed)
+
+
+def bucket_of(bounds: Column, most: int, keys: tuple[str, ...]) -> Column:
+    """How many of at most `most` bounds are at or below the keys, found by halving."""
+    if not most:
+        return F.lit(0)
+    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)])
+    steps = F.sequence(F.lit(1), F.lit(most.bit_length()))
+    start = F.struct(F.lit(0).alias("low"), F.size(bounds).alias("high"))
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.floor((at["low"] + at["high"]) / 2).cast("int")
+        above = F.get(bounds, middle) <= key
+        searched = F.when(above, F.struct((middle + 1).alias("low"), at["high"].alias("high"))).otherwise(F.struct(at["low"].alias("low"), middle.alias("high")))
+        return F.when(at["low"] < at["high"], searched).otherwise(at)
+
+    return F.aggregate(steps, start, halve)["low"]
 
 
 def new_words(passages: DataFrame, dictionary: DataFrame, *, order: str = "pos") -> DataFrame:
