@@ -151,7 +151,7 @@ def with_row_number(rows: DataFrame, order: tuple[str, ...], *, by: tuple[str, .
     first. The rows must be the same whenever they are read: stage random ones first.
     """
     keys = (*by, *order)
-    bucketed = rows.withColumn("_bucket", bucket_of(*split_points(rows, keys), keys))
+    bucketed = rows.withColumn("_bucket", bucket_of(split_points(rows, keys), keys))
     counts = bucketed.groupBy("_bucket", *by).agg(F.count(F.lit(1)).alias("_n"))
     # A row per bucket, and one more for each group that begins within one.
     earlier = W.partitionBy(*by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
@@ -164,12 +164,12 @@ def with_row_number(rows: DataFrame, order: tuple[str, ...], *, by: tuple[str, .
     return met.withColumn("row_number", (F.col("_before") + F.col("_k")).cast("long")).drop("_bucket", "_b", "_before", "_k", *[f"_by{i}" for i in range(len(by))])
 
 
-#: Rows of a bucket on average, sampled rows for each, and buckets at most (their bounds are a literal of the plan).
-BUCKET_ROWS, SAMPLED, MOST_BUCKETS = 20_000, 40, 4_096
+#: Rows of a bucket on average, sampled rows for each, and buckets at most (their bounds are literals of the plan).
+BUCKET_ROWS, SAMPLED, MOST_BUCKETS = 50_000, 40, 1_024
 
 
-def split_points(rows: DataFrame, keys: tuple[str, ...]) -> tuple[Column, int]:
-    """Ascending structs of the keys that part the rows into buckets of about equally many, an array literal; how many at most.
+def split_points(rows: DataFrame, keys: tuple[str, ...]) -> list[Column]:
+    """Ascending literals, structs of the keys, that part the rows into buckets of about equally many.
 
     At most MOST_BUCKETS x SAMPLED rows of keys come to the driver. The sample decides how even the
     buckets are, never what a row's number is.
@@ -177,28 +177,26 @@ def split_points(rows: DataFrame, keys: tuple[str, ...]) -> tuple[Column, int]:
     own = rows.select(*keys)
     n = own.count()
     buckets = min(MOST_BUCKETS, -(-n // BUCKET_ROWS))
+    if buckets < 2:
+        return []
+    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)])
     most = buckets * SAMPLED
-    drawn = own.sample(min(1.0, 1.2 * most / n), seed=n).orderBy(*keys).limit(most).collect() if buckets > 1 else []
-    picked = drawn[SAMPLED::SAMPLED]
-    typed = [F.struct(*[F.lit(r[i]).cast(f.dataType).alias(f"k{i}") for i, f in enumerate(own.schema.fields)]) for r in picked]
-    return F.sort_array(F.array_distinct(F.array(*typed))), len(typed)
+    drawn = own.sample(min(1.0, 1.2 * most / n), seed=n).select(key.alias("k")).orderBy("k").limit(most).collect()
+    picked = list(dict.fromkeys(r["k"] for r in drawn[SAMPLED::SAMPLED]))
+    return [F.struct(*[F.lit(v).cast(f.dataType).alias(f"k{i}") for i, (v, f) in enumerate(zip(r, own.schema.fields))]) for r in picked]
 
 
-def bucket_of(bounds: Column, most: int, keys: tuple[str, ...]) -> Column:
-    """How many of at most `most` bounds are at or below the keys, found by halving."""
-    if not most:
-        return F.lit(0)
+def bucket_of(bounds: list[Column], keys: tuple[str, ...]) -> Column:
+    """The number of bounds at or below the keys, by a tree of comparisons; not falling along the order, whatever the bounds."""
     key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)])
-    steps = F.sequence(F.lit(1), F.lit(most.bit_length()))
-    start = F.struct(F.lit(0).alias("low"), F.size(bounds).alias("high"))
 
-    def halve(at: Column, _: Column) -> Column:
-        middle = F.floor((at["low"] + at["high"]) / 2).cast("int")
-        above = F.get(bounds, middle) <= key
-        searched = F.when(above, F.struct((middle + 1).alias("low"), at["high"].alias("high"))).otherwise(F.struct(at["low"].alias("low"), middle.alias("high")))
-        return F.when(at["low"] < at["high"], searched).otherwise(at)
+    def among(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(key < bounds[middle], among(low, middle)).otherwise(among(middle + 1, high))
 
-    return F.aggregate(steps, start, halve)["low"]
+    return among(0, len(bounds))
 
 
 def new_words(passages: DataFrame, dictionary: DataFrame, *, order: str = "pos") -> DataFrame:
