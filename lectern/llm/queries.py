@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, line_dedup, merkle, near_dedup, packing, quality, secret_scan, sharding, suffix_dedup, toxicity
+from . import decontamination, language_id, line_dedup, merkle, near_dedup, packing, quality, secret_scan, sharding, spelling, suffix_dedup, toxicity
 from ._store import held_out, in_training
 
 
@@ -61,6 +61,10 @@ def op10_log_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_rare_first_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.pmod(F.crc32(F.col("own_id").cast("string").cast("binary")), F.lit(7)) == 0
     done = merkle.manifest(table(spark, sf_dir, "documents"), tampered=tampered)
@@ -68,7 +72,7 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_kneser_ney_language_id, op3_rendezvous_sharding, op4_secret_ownership, op5_line_first_quality, op6_cuckoo_line_dedup, op7_template_decontamination, op8_toxic_segments, op9_setsketch_near_dedup, op10_log_suffix_dedup, op12_merkle_manifest)
+    f.__name__: f for f in (op1_best_fit_packing, op2_kneser_ney_language_id, op3_rendezvous_sharding, op4_secret_ownership, op5_line_first_quality, op6_cuckoo_line_dedup, op7_template_decontamination, op8_toxic_segments, op9_setsketch_near_dedup, op10_log_suffix_dedup, op11_rare_first_spelling, op12_merkle_manifest)
 }
 
 SQL: dict[str, str] = {
