@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, line_dedup, merkle, near_dedup, packing, quality, secret_scan, sharding, spelling, suffix_dedup, toxicity
+from . import byte_bpe, decontamination, language_id, line_dedup, merkle, near_dedup, packing, quality, secret_scan, sharding, spelling, suffix_dedup, toxicity
 from ._store import held_out, in_training
 
 
@@ -71,8 +71,12 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "leaf", "subroot", "root", F.sha2(F.col("proof").cast("binary"), 256).alias("proof_sha256"), "folded_root", "verified")
 
 
+def op13_merge_replay_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.encode(table(spark, sf_dir, "documents"), digests=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_kneser_ney_language_id, op3_rendezvous_sharding, op4_secret_ownership, op5_line_first_quality, op6_cuckoo_line_dedup, op7_template_decontamination, op8_toxic_segments, op9_setsketch_near_dedup, op10_log_suffix_dedup, op11_rare_first_spelling, op12_merkle_manifest)
+    f.__name__: f for f in (op1_best_fit_packing, op2_kneser_ney_language_id, op3_rendezvous_sharding, op4_secret_ownership, op5_line_first_quality, op6_cuckoo_line_dedup, op7_template_decontamination, op8_toxic_segments, op9_setsketch_near_dedup, op10_log_suffix_dedup, op11_rare_first_spelling, op12_merkle_manifest, op13_merge_replay_bpe)
 }
 
 SQL: dict[str, str] = {
