@@ -1,22 +1,22 @@
-"""Byte-level BPE by merge replay over the words of the whole corpus, and its decoding.
+"""Byte-level BPE by merge replay over all the words of a block of texts at once, and its decoding.
 
 A text is cut by the tokenizer's pattern; its pieces ("words") are encoded each by itself, so a word
-needs to be encoded once, wherever it stands. Three steps:
+needs to be encoded once, however often and wherever it stands. A task takes its share of the corpus
+block by block (an Arrow batch, some 8 MB of text): the words of the block that it doesn't know yet
+replay the merges together. An inverted index leads from each token, that is from the pairs of tokens
+that make it, to the places in all these words where such a pair stands; places are taken by rank,
+leftmost first, and a merge touches its two neighbours only. Texts are their words' ids in order.
+Nothing is shuffled, and a lost task is one share done again.
 
-* Texts are coded as numbers into the words of their block (some `BLOCK_BYTES` of neighbouring texts);
-  a block's own words stand beside it once. The pattern runs only here.
-* The different words of all blocks are the corpus's vocabulary. Chunks of it replay the merges: an
-  inverted index leads from each token, that is from the pairs of tokens that make it, to the places
-  where such a pair stands; places are taken by rank, leftmost first, and a merge touches its two
-  neighbours only.
-* Each block meets the ids of its words, and its texts' numbers become ids. Words that are tokens
-  themselves, as most occurrences are, need no meeting.
+The words aren't brought together over the whole corpus: most different words of a block stand in few
+others, and tables of blocks' words, shuffled to be told apart and back to their texts, took 3.4 times
+the input's size of disk.
 
 Decoding concatenates the tokens' bytes.
 
-Edge cases: a null or empty text has no ids; texts and words of any length are worked on whole, a
-text longer than `BLOCK_BYTES` being a block of its own; repeated rows are coded each; ids of any type
-pass through Arrow as they are; an empty table gives no rows; other columns are ignored.
+Edge cases: a null or empty text has no ids; texts and words of any length are worked on whole, a long
+text in parts of `PART` words; repeated rows are encoded each; ids of any type stay in the JVM; an
+empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,22 +24,19 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
-from pyspark.sql import types as T
 
 from ._store import free, picked, staged, tidied
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-#: Bytes of text in a block, and words that replay the merges together.
-BLOCK_BYTES, CHUNK_WORDS = 24 << 20, 50_000
+#: Words in each of the two halves of a worker's memory, and words of a long text that are looked at together.
+REMEMBERED, PART = 200_000, 1_000_000
 
 
 class Vocabulary:
@@ -52,7 +49,7 @@ class Vocabulary:
         with open(public_tokenizers.path(name), "rb") as lines:
             pairs = (line.split() for line in lines)
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
-        self.cut = regex.compile(public_tokenizers.PATTERN).findall
+        self.cut = regex.compile(public_tokenizers.PATTERN)
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.single = [self.ranks[bytes([b])] for b in range(256)]
         self.rank_of: dict[tuple[int, int], int] = {}
@@ -152,122 +149,66 @@ def encode_words(words: list[bytes], voc: Vocabulary) -> list[np.ndarray]:
     return [next(rest) if rank is None else np.array([rank], "<u4") for rank in whole]
 
 
-def coded_blocks(docs: DataFrame, *, id_col: str, text_col: str, ranks: str = RANKS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """own_id, block, coded, words: each text as numbers into its block's words, which stand in the block's first row.
+class Encoder:
+    """Ids of texts, by way of their words' ids, of which the latest are remembered."""
 
-    A word that is a token has that token's id as its number; others have numbers behind all tokens.
-    """
+    def __init__(self, name: str):
+        self.voc = vocabulary(name)
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def learn(self, parts: list[list[str]]) -> None:
+        """The ids of all words in lists of words; new ones replay the merges together."""
+        if len(self.known) > REMEMBERED:
+            # Words that are met again come over from the older half; those that aren't go with it.
+            self.older, self.known = self.known, {}
+        fresh = []
+        for word in set().union(*parts) - self.known.keys():
+            if word in self.older:
+                self.known[word] = self.older[word]
+            else:
+                fresh.append(word)
+        self.known.update(zip(fresh, (ids.tobytes() for ids in encode_words([w.encode() for w in fresh], self.voc))))
+
+    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Little-endian 32-bit ids of each text of a block."""
+        cut = self.voc.cut.findall
+        words = [[] if not t or len(t) > PART else cut(t) for t in texts]
+        self.learn(words)
+        ids = self.known.__getitem__
+        for text, own in zip(texts, words):
+            if text and len(text) > PART:
+                yield b"".join(self._parts(text))
+            else:
+                yield b"".join(map(ids, own))
+
+    def _parts(self, text: str) -> Iterator[bytes]:
+        found = (m.group() for m in self.voc.cut.finditer(text))
+        while own := list(itertools.islice(found, PART)):
+            short = [w for w in own if len(w) <= PART]
+            self.learn([short])
+            yield b"".join(self.known[w] if len(w) <= PART else encode_words([w.encode()], self.voc)[0].tobytes() for w in own)
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ranks: str = RANKS, digests: bool = False) -> DataFrame:
+    """id, n_tokens, and ids (little-endian 32-bit numbers) and decoded (bytes) of every text, or only the sha256 of these two; a staged table."""
     rows = picked(docs, own_id=id_col, text=text_col)
-    own_type = rows.schema["own_id"].dataType
-
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        voc = vocabulary(ranks)
-        get, base = voc.ranks.get, len(voc.sizes)
-        context = TaskContext.get()
-        block = (context.partitionId() if context else 0) << 32
-        known: dict[str, int] = {}
-        fresh: list[bytes] = []
-        ids, coded, held = [], [], 0
-        pack = zstandard.ZstdCompressor(level=1).compress
-
-        def number(word: str) -> int:
-            raw = word.encode("utf-8")
-            rank = get(raw)
-            if rank is None:
-                rank = base + len(fresh)
-                fresh.append(raw)
-            known[word] = rank
-            return rank
-
-        def closed() -> pa.RecordBatch:
-            own = pa.concat_arrays(ids)
-            n = len(own)
-            words = pa.array([fresh] + [None] * (n - 1), pa.list_(pa.binary()))
-            return pa.RecordBatch.from_arrays([own, pa.array([block] * n, pa.int64()), pa.array(coded, pa.binary()), words], ["own_id", "block", "coded", "words"])
-
-        for batch in tidied(batches):
-            texts, at = batch.column(1).to_pylist(), 0
-            for k, text in enumerate(texts):
-                words = voc.cut(text or "")
-                try:
-                    numbers = [known[w] for w in words]
-                except KeyError:
-                    numbers = [known[w] if w in known else number(w) for w in words]
-                coded.append(pack(np.asarray(numbers, "<u4").tobytes()))
-                held += len(text or "")
-                if held >= block_bytes:
-                    ids.append(batch.column(0).slice(at, k + 1 - at))
-                    yield closed()
-                    block, at, held = block + 1, k + 1, 0
-                    ids, coded, fresh, known = [], [], [], {}
-            if at < len(texts):
-                ids.append(batch.column(0).slice(at))
-        if coded:
-            yield closed()
-
-    schema = StructType([StructField("own_id", own_type), StructField("block", T.LongType()), StructField("coded", T.BinaryType()), StructField("words", T.ArrayType(T.BinaryType()))])
-    return rows.mapInArrow(code, schema)
-
-
-def encoded_words(words: DataFrame, *, ranks: str = RANKS, chunk: int = CHUNK_WORDS) -> DataFrame:
-    """word, ids (little-endian 32-bit numbers) of different words (word binary)."""
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voc = vocabulary(ranks)
-        for part in _chunks(tidied(batches), chunk):
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array([i.tobytes() for i in encode_words(part, voc)], pa.binary())], ["word", "ids"])
-
-    return words.select("word").mapInArrow(encode, "word binary, ids binary")
-
-
-def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[bytes]]:
-    """Words in lists of `size` or somewhat more."""
-    have: list[bytes] = []
-    for batch in batches:
-        have += batch.column(0).to_pylist()
-        if len(have) >= size:
-            yield have
-            have = []
-    if have:
-        yield have
-
-
-def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ranks: str = RANKS, block_bytes: int = BLOCK_BYTES, chunk: int = CHUNK_WORDS, digests: bool = False) -> DataFrame:
-    """id, n_tokens and ids (little-endian 32-bit numbers) and decoded (bytes) of every text, or only the sha256 of these two."""
-    blocks = staged(coded_blocks(docs, id_col=id_col, text_col=text_col, ranks=ranks, block_bytes=block_bytes), "coded_texts")
-    own = blocks.where("words is not null").select("block", F.posexplode("words").alias("i", "word"))
-    ids = encoded_words(own.select("word").distinct(), ranks=ranks, chunk=chunk)
-    met = own.join(ids, "word").select(F.col("block").alias("of"), "i", "ids")
-    own_type = blocks.schema["own_id"].dataType
-    kinds = ("ids_sha256", "decoded_sha256") if digests else ("ids", "decoded")
-    kind = T.StringType() if digests else T.BinaryType()
-
-    def finish(key: tuple, texts: pa.Table, words: pa.Table) -> pa.Table:
-        voc = vocabulary(ranks)
-        base, n = len(voc.sizes), len(words)
-        spelled = [b""] * n
-        for i, raw in zip(words.column("i").to_pylist(), words.column("ids").to_pylist()):
-            spelled[i] = raw
-        sizes = np.r_[np.ones(base, np.int64), np.fromiter(map(len, spelled), np.int64, n) >> 2]
-        flat = np.r_[np.arange(base, dtype="<u4"), np.frombuffer(b"".join(spelled), "<u4")]
-        starts = np.cumsum(sizes) - sizes
-        unpack = zstandard.ZstdDecompressor().decompress
-        counts, first, second = [], [], []
-        for coded in texts.column("coded").to_pylist():
-            numbers = np.frombuffer(unpack(coded), "<u4").astype(np.int64)
-            made = gathered(flat, starts[numbers], sizes[numbers])
-            raw, back = made.tobytes(), voc.decode(made)
-            counts.append(len(made))
-            first.append(hashlib.sha256(raw).hexdigest() if digests else raw)
-            second.append(hashlib.sha256(back).hexdigest() if digests else back)
-        made_of = pa.string() if digests else pa.binary()
-        return pa.table([texts.column("own_id"), pa.array(counts, pa.int64()), pa.array(first, made_of), pa.array(second, made_of)], ["own_id", "n_tokens", *kinds])
-
-    schema = StructType([StructField("own_id", own_type), StructField("n_tokens", T.LongType()), StructField(kinds[0], kind), StructField(kinds[1], kind)])
-    done = blocks.drop("words").groupBy("block").cogroup(met.groupBy("of")).applyInArrow(finish, schema)
-    return done.withColumnRenamed("own_id", id_col)
+    first, second = ("ids_sha256", "decoded_sha256") if digests else ("ids", "decoded")
+    kind = "string" if digests else "binary"
+    shown = (lambda raw: hashlib.sha256(raw).hexdigest()) if digests else (lambda raw: raw)
+
+    def code(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own = _encoders.setdefault(ranks, Encoder(ranks))
+        for texts in tidied(batches):
+            out = [(len(raw) >> 2, shown(raw), shown(own.voc.decode(np.frombuffer(raw, "<u4")))) for raw in own.encode(texts.tolist())]
+            yield pd.DataFrame(out, columns=["n_tokens", first, second])
+
+    made = F.pandas_udf(code, f"n_tokens long, {first} {kind}, {second} {kind}").asNondeterministic()("text")
+    done = rows.select("own_id", made.alias("made")).select(F.col("own_id").alias(id_col), "made.*")
+    return staged(done, "encoded_texts")
 
 
 def decode(rows: DataFrame, *, ids_col: str = "ids", out_col: str = "decoded", ranks: str = RANKS) -> DataFrame:

@@ -35,7 +35,7 @@ def scraps(seed, n):
 
 
 def test_words_are_encoded_as_by_the_library(voc, library):
-    words = sorted({w for t in scraps(1, 3_000) for w in voc.cut(t)}) + ["a" * 5_000, " " * 3_000, "ab" * 999, "=" * 77]
+    words = sorted({w for t in scraps(1, 3_000) for w in voc.cut.findall(t)}) + ["a" * 5_000, " " * 3_000, "ab" * 999, "=" * 77]
     got = byte_bpe.encode_words([w.encode() for w in words], voc)
     assert [g.tolist() for g in got] == [library.encode_ordinary(w) for w in words]
 
@@ -44,7 +44,7 @@ def test_every_code_point_is_cut_as_by_the_library(voc, library):
     points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
     for at in range(0, len(points), 4_096):
         text = "x".join(points[at : at + 4_096]) + " " + " ".join(points[at : at + 4_096])
-        words = voc.cut(text)
+        words = voc.cut.findall(text)
         assert "".join(words) == text
         ids = np.concatenate(byte_bpe.encode_words([w.encode() for w in words], voc))
         assert ids.tolist() == library.encode_ordinary(text), hex(ord(points[at]))
@@ -74,12 +74,22 @@ def want(library, rows):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("how", [{}, {"block_bytes": 200, "chunk": 7}, {"block_bytes": 1}])
-def test_documents(spark, library, how):
+@pytest.mark.parametrize("how", [{}, {"REMEMBERED": 20}, {"PART": 9}])
+def test_blocks(library, monkeypatch, how):
+    """Whatever is remembered, and in whatever parts a text is looked at."""
+    for name, value in how.items():
+        monkeypatch.setattr(byte_bpe, name, value)
+    own = byte_bpe.Encoder(byte_bpe.RANKS)
+    for seed in range(5):
+        texts = scraps(seed, 150)
+        assert list(own.encode(texts)) == [np.asarray(library.encode_ordinary(t), "<u4").tobytes() for t in texts]
+
+
+def test_documents(spark, library):
     texts = scraps(2, 300) + [None, "", " ", "same text", "same text"]
     rows = list(enumerate(texts))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    assert sorted((tuple(r) for r in byte_bpe.encode(df, digests=True, **how).collect()), key=str) == want(library, rows)
+    assert sorted((tuple(r) for r in byte_bpe.encode(df, digests=True).collect()), key=str) == want(library, rows)
 
 
 def test_ids_and_their_decoding(spark, library):
