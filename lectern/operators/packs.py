@@ -8,58 +8,72 @@ from pyspark.sql import functions as F
 
 from lectern.functions import small
 
+from .planner import running, with_row_number
 
-#: Ranges that are broadcast at most (some 100 bytes each); more of them are met in sorted order.
-BROADCAST_RANGES = 10_000
+
+#: Ranges that are broadcast at most (some 100 bytes each, and every row is compared with each); more of them are met in bins.
+BROADCAST_RANGES = 1_000
+
+#: A bin is this much wider than the bins of the level below it.
+BASE = 16
+#: Bins of the widest level over the span of the ids.
+WIDEST = 1 << 16
 
 
 def assign(rows: DataFrame, packs: DataFrame, special: DataFrame | None = None, *, key: str = "id") -> DataFrame:
     """With pack: the pack (name, low, high) whose inclusive range holds the id; ids in `special`
     (quest_id, name) go where that says. Ids in no range have null. Ranges must not overlap."""
-    dim = packs.select(F.col("name").alias("_pack"), F.col("low").alias("_low"), F.col("high").alias("_high"))
+    dim = packs.select(F.col("name").alias("_pack"), F.col("low").cast("long").alias("_low"), F.col("high").cast("long").alias("_high"))
     if dim.limit(BROADCAST_RANGES + 1).count() <= BROADCAST_RANGES:
         met = rows.join(F.broadcast(dim), rows[key].between(F.col("_low"), F.col("_high")), "left").drop("_low", "_high")
     else:
-        met = _met_in_order(rows, dim, key)
+        # Ids are looked up once each; rows meet what was found by equality.
+        found = holding(rows.select(F.col(key).cast("long").alias("_v")), dim).select(F.col("_v").alias("_id"), "_pack")
+        met = rows.join(found, rows[key].cast("long") == found["_id"], "left").drop("_id")
     if special is None:
         return met.withColumnRenamed("_pack", "pack")
     own = special.select(F.col("quest_id").alias("_q"), F.col("name").alias("_own"))
     return met.join(own, met[key] == own["_q"], "left").withColumn("pack", F.coalesce("_own", "_pack")).drop("_q", "_own", "_pack")
 
 
-def _met_in_order(rows: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """With _pack: each id meets the last range that begins at or before it."""
-    start = F.struct("_low", "_high", "_pack")
-    events = rows.select(F.struct(*rows.columns).alias("_row"), F.col(key).cast("long").alias("_v"), F.lit(1).alias("_kind"), F.lit(None).alias("_start"))
-    events = events.unionByName(dim.select(F.lit(None).alias("_row"), F.col("_low").cast("long").alias("_v"), F.lit(0).alias("_kind"), start.alias("_start")))
-    met = _carried(events, "_start", "_start").where("_kind = 1")
-    inside = F.col("_v") <= F.col("_last._high")
-    return met.select("_row.*", F.when(inside, F.col("_last._pack")).alias("_pack"))
-
-
-def _carried(events: DataFrame, kept: str, previous: str) -> DataFrame:
-    """With _last, the last `kept` that isn't null up to a row, and _before, the `previous` of the row before it.
+def holding(ids: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Each different id (_v) with each range (_low, _high and more) that holds it, by equality of bins and then the bounds.
 
-    Events are ordered by (_v, _kind). They are range-partitioned by _v; what a partition hands on is
-    one row, and only these rows meet in one task.
+    A range belongs to the level whose bins are as wide as it, or up to BASE times wider, so it lies in
+    two bins at most; of ranges that don't overlap a bin has BASE + 1 at most. An id asks one bin of
+    each level in use, sixteen at most. Where a level's bins would hold more than a share of
+    1 / WIDEST of the ids' span, ranges are laid over several bins of that width instead: as they
+    don't overlap, over WIDEST more than there are ranges in all. Ranges that do overlap give right
+    results too, in fuller bins.
     """
-    dealt = events.repartitionByRange("_v").withColumn("_part", F.spark_partition_id())
-    within = W.partitionBy("_part").orderBy("_v", "_kind")
-    up_to = within.rowsBetween(W.unboundedPreceding, W.currentRow)
-    own = dealt.withColumn("_own", F.last(kept, ignorenulls=True).over(up_to)).withColumn("_own_before", F.lag(previous).over(within)).withColumn("_first", F.row_number().over(within) == 1)
-    at = F.struct("_v", "_kind")
-    handed = dealt.groupBy("_part").agg(F.min("_v").alias("_least"), F.max_by(kept, F.when(F.col(kept).isNotNull(), at)).alias("_k"), F.max_by(previous, at).alias("_p"))
-    order = W.orderBy(F.asc_nulls_first("_least"))
-    before = order.rowsBetween(W.unboundedPreceding, -1)
-    handed = handed.select("_part", F.last("_k", ignorenulls=True).over(before).alias("_k"), F.lag("_p").over(order).alias("_p"))
-    met = own.join(F.broadcast(handed), "_part")  # one row per partition
-    return met.withColumn("_last", F.coalesce("_own", "_k")).withColumn("_before", F.when(F.col("_first"), F.col("_p")).otherwise(F.col("_own_before"))).drop("_part", "_own", "_own_before", "_first", "_k", "_p")
+    asked = ids.where("_v is not null").distinct()
+    least, greatest = asked.agg(F.min("_v"), F.max("_v")).first()
+    kept = ranges.where(F.lit(least is not None) & (F.col("_low") <= F.col("_high")) & (F.col("_high") >= F.lit(least)) & (F.col("_low") <= F.lit(greatest)))
+    # Within the ids' span nothing overflows.
+    low, high = (bound.cast("decimal(20,0)") - F.lit(least) for bound in (F.greatest(F.col("_low"), F.lit(least)), F.least(F.col("_high"), F.lit(greatest))))
+    top = 0
+    while least is not None and BASE ** (top + 1) * WIDEST <= greatest - least:
+        top += 1
+    level = F.lit(top)
+    for l in range(top - 1, -1, -1):
+        level = F.when(high - low < BASE**l, F.lit(l)).otherwise(level)
+    levelled = kept.select("*", low.alias("_from"), high.alias("_to"), level.alias("_level"))
+    used = sorted(r[0] for r in levelled.select("_level").distinct().collect())
+    bins = lambda v, l: F.floor(v / BASE**l).cast("long")
+    first, last = (F.coalesce(*[F.when(F.col("_level") == l, bins(F.col(c), l)) for l in used or [0]]) for c in ("_from", "_to"))
+    laid = levelled.withColumn("_bin", F.explode(F.sequence(first, last))).drop("_from", "_to")
+    places = [F.struct(F.lit(l).alias("_level"), bins(F.col("_v").cast("decimal(20,0)") - F.lit(least), l).alias("_bin")) for l in used or [0]]
+    asking = asked.select("_v", F.inline(F.array(*places)))
+    return asking.join(laid, ["_level", "_bin"]).where("_v between _low and _high").drop("_level", "_bin")
 
 
 def overlapping(packs: DataFrame) -> DataFrame:
-    """Pairs of packs whose ranges overlap: empty where `assign` is well defined."""
-    a, b = packs.alias("a"), packs.alias("b")
-    return a.join(b, (F.col("a.name") < F.col("b.name")) & (F.col("a.low") <= F.col("b.high")) & (F.col("b.low") <= F.col("a.high"))).select(F.col("a.name").alias("one"), F.col("b.name").alias("other"))
+    """Pairs of packs whose ranges overlap, by name: empty where `assign` is well defined. Of two that do, the later begin lies in the other."""
+    other = packs.select(F.col("name").alias("_other"), F.col("low").cast("long").alias("_low"), F.col("high").cast("long").alias("_high"))
+    begins = packs.where("low <= high").select(F.col("name").alias("_name"), F.col("low").cast("long").alias("_begin"))
+    met = begins.join(holding(begins.select(F.col("_begin").alias("_v")), other), F.col("_begin") == F.col("_v"))
+    pairs = met.where("_name <> _other").select(F.least("_name", "_other").alias("one"), F.greatest("_name", "_other").alias("other"))
+    return pairs.distinct()
 
 
 def passage_lengths(durations: DataFrame) -> DataFrame:
@@ -140,22 +154,31 @@ def islands(rows: DataFrame, key: str = "id", *by: str, buckets: int = 1 << 16)
 def without_points(ranges: DataFrame, points: DataFrame) -> DataFrame:
     """low, high: ranges less single ids; what is left on each side of an id stays. Ranges must not overlap.
 
-    A range's begin, the ids, and its end are events in one order; what lies between an event and the
-    one before it, within a range, is left.
+    Each id knows the ids before and after it by its number, so what is left of a range is told by its
+    ids one by one, however many a range has.
     """
-    event = lambda v, kind, mark, high: (v.cast("long").alias("_v"), F.lit(kind).alias("_kind"), mark.cast("long").alias("_mark"), high.cast("long").alias("_high"))
-    low, high, id_, none = F.col("low"), F.col("high"), F.col("id"), F.lit(None)
-    events = ranges.select(*event(low, 1, low - 1, high)).union(ranges.select(*event(high + 1, 0, high + 1, none))).union(points.where("id is not null").select(*event(id_, 2, id_, none)))
-    left = _carried(events, "_high", "_mark").where("_kind <> 1").select((F.col("_before") + 1).alias("low"), (F.col("_v") - 1).alias("high"), "_last")
-    return left.where("low <= high and high <= _last").select("low", "high")
+    ids = points.where("id is not null").select(F.col("id").cast("long").alias("_v")).distinct()
+    numbered = with_row_number(ids, ("_v",))
+    beside = lambda name, step: numbered.select((F.col("row_number") + step).alias("row_number"), F.col("_v").alias(name))
+    known = numbered.join(beside("_before", 1), "row_number", "left").join(beside("_after", -1), "row_number", "left").drop("row_number")
+    whole = ranges.where("low <= high").select(F.col("low").cast("long").alias("_low"), F.col("high").cast("long").alias("_high"))
+    met = holding(ids, whole).join(known, "_v")
+    # Null beside the first and the last id; greatest and least skip it.
+    left = F.struct(F.greatest(F.col("_low"), F.col("_before") + 1).alias("low"), (F.col("_v") - 1).alias("high"))
+    right = F.struct((F.col("_v") + 1).alias("low"), F.col("_high").alias("high"))
+    cut = met.select(F.inline(F.array_compact(F.array(left, F.when(F.col("_after").isNull() | (F.col("_after") > F.col("_high")), right))))).where("low <= high")
+    untouched = whole.join(met.select("_low", "_high").distinct(), ["_low", "_high"], "left_anti")
+    return cut.union(untouched)
 
 
 def merged(ranges: DataFrame) -> DataFrame:
-    """low, high: ranges that overlap or touch joined to one. For dimensions, which are small."""
-    w = W.orderBy("low", "high")
-    seen = ranges.select("low", "high").withColumn("_top", F.max("high").over(w.rowsBetween(W.unboundedPreceding, -1)))
-    run = seen.withColumn("_run", F.sum(F.when(F.col("low") <= F.col("_top") + 1, 0).otherwise(1)).over(w.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    return run.groupBy("_run").agg(F.min("low").alias("low"), F.max("high").alias("high")).drop("_run")
+    """low, high: ranges that overlap or touch joined to one; empty ranges go. Runs of any length, over any number of tasks."""
+    order = ("low", "high")
+    own = ranges.where("low <= high").select(F.col("low").cast("long").alias("low"), F.col("high").cast("long").alias("high")).distinct()
+    reached = running(own, order, "_top", F.max, F.col("high"), before=True)
+    begins = F.when(F.col("low") <= F.col("_top") + 1, 0).otherwise(1)
+    runs = running(reached.withColumn("_new", begins), order, "_run", F.sum, F.col("_new"))
+    return runs.groupBy("_run").agg(F.min("low").alias("low"), F.max("high").alias("high")).drop("_run")
 
 
 def coverage(expansions: DataFrame, layout: DataFrame, counts: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ are left to Catalyst's own size check.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -164,6 +166,23 @@ def with_row_number(rows: DataFrame, order: tuple[str, ...], *, by: tuple[str, .
     return met.withColumn("row_number", (F.col("_before") + F.col("_k")).cast("long")).drop("_bucket", "_b", "_before", "_k", *[f"_by{i}" for i in range(len(by))])
 
 
+def running(rows: DataFrame, order: tuple[str, ...], name: str, total: Callable[[Column], Column], value: Column, *, before: bool = False) -> DataFrame:
+    """With `name`: F.sum or F.max of the value over all rows up to this one by `order`, or only those before it.
+
+    As for row numbers, buckets are summed up first, and what stands before a bucket is one row.
+    """
+    bucketed = rows.withColumn("_bucket", bucket_of(split_points(rows, order), order)).withColumn("_value", value)
+    sums = bucketed.groupBy(F.col("_bucket").alias("_b")).agg(total(F.col("_value")).alias("_sum"))
+    earlier = W.orderBy("_b").rowsBetween(W.unboundedPreceding, -1)  # a row per bucket
+    carried = sums.select("_b", total(F.col("_sum")).over(earlier).alias("_carried"))
+    own = W.partitionBy("_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, -1 if before else W.currentRow)
+    met = bucketed.withColumn("_own", total(F.col("_value")).over(own)).join(F.broadcast(carried), F.col("_bucket") == F.col("_b"))
+    # The total of two totals; null where there is no row yet.
+    both = F.array_compact(F.array("_carried", "_own"))
+    joined = F.array_max(both) if total is F.max else F.when(F.size(both) > 0, F.coalesce("_carried", F.lit(0)) + F.coalesce("_own", F.lit(0)))
+    return met.withColumn(name, joined).drop("_bucket", "_value", "_b", "_carried", "_own")
+
+
 #: Rows of a bucket on average, sampled rows for each, and buckets at most (their bounds are literals of the plan).
 BUCKET_ROWS, SAMPLED, MOST_BUCKETS = 50_000, 40, 1_024
 

@@ -120,10 +120,56 @@ def range_subtract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packs.without_points(_packs(spark).select("low", "high"), points)
 
 
-@query("with m as (select min(low) as low, max(high) as high from (values (1, 5), (6, 9), (3, 4)) t(low, high)) select low::bigint as low, high::bigint as high from m union all select 20, 30 union all select 32, 40")
+_SQL_STRETCHES = """r as (select distinct l_orderkey * 9 + l_linenumber as low, l_orderkey * 9 + l_linenumber + (case when l_partkey % 50 = 0 then l_quantity * 3 else l_quantity % 3 end)::bigint as high from lineitem)"""
+
+
+def _stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stand-in id ranges, one per line item: most of one to three ids, some far longer."""
+    li = table(spark, sf_dir, "lineitem")
+    low = F.col("l_orderkey") * 9 + F.col("l_linenumber")
+    return li.select(low.alias("low"), (low + F.when(F.col("l_partkey") % 50 == 0, F.col("l_quantity") * 3).otherwise(F.col("l_quantity") % 3).cast("long")).alias("high"))
+
+
+@query(
+    f"""with {_SQL_STRETCHES}, t as (select *, max(high) over (order by low, high rows between unbounded preceding and 1 preceding) as top from r),
+g as (select *, sum(case when low <= top + 1 then 0 else 1 end) over (order by low, high rows between unbounded preceding and current row) as g from t) select min(low) as low, max(high) as high from g group by g"""
+)
 def range_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Touching ranges join."""
-    return packs.merged(spark.createDataFrame([(1, 5), (6, 9), (3, 4), (20, 30), (32, 40), (33, 35)], "low long, high long"))
+    """Ranges that touch or overlap join."""
+    return packs.merged(_stretches(spark, sf_dir))
+
+
+#: Ranges of parts that don't overlap, of lengths from 1 to 60 in steps of 60 ids; every ninetieth covers 240.
+_SQL_SHELVES = "s as (select p_partkey as name, p_partkey * 60 as low, p_partkey * 60 + case when p_partkey % 90 = 0 then 239 else p_size end as high from part where p_partkey % 90 not in (1, 2, 3))"
+
+
+def _shelves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = F.col("p_partkey")
+    long = table(spark, sf_dir, "part").where("p_partkey % 90 not in (1, 2, 3)")
+    return long.select(p.alias("name"), (p * 60).alias("low"), (p * 60 + F.when(p % 90 == 0, 239).otherwise(F.col("p_size"))).alias("high"))
+
+
+@query(f"with {_SQL_SHELVES} select l_orderkey, l_linenumber, name as shelf from lineitem left join s on l_orderkey * 2 + l_linenumber between low and high")
+def shelf_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6 with as many ranges as there are parts."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_orderkey") * 2 + F.col("l_linenumber")).alias("id"))
+    return packs.assign(rows, _shelves(spark, sf_dir)).select("l_orderkey", "l_linenumber", F.col("pack").alias("shelf"))
+
+
+@query(
+    f"""with {_SQL_SHELVES}, pts as (select distinct o_orderkey as id from orders), b as (select s.low, s.high, list_sort(array_agg(id) filter (id is not null)) as cs from s left join pts on id between low and high group by s.low, s.high)
+select low, high from (select unnest(list_concat([low], list_transform(coalesce(cs, []::bigint[]), lambda c: c + 1))) as low, unnest(list_concat(list_transform(coalesce(cs, []::bigint[]), lambda c: c - 1), [high])) as high from b) where low <= high"""
+)
+def shelves_without(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A16 with many ranges and many ids."""
+    return packs.without_points(_shelves(spark, sf_dir), _orders(spark, sf_dir).select("id"))
+
+
+@query(f"with {_SQL_STRETCHES}, n as (select low, max(high) as high from r group by low) select a.low as one, b.low as other from n a join n b on a.low < b.low and b.low <= a.high")
+def overlapping_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6's condition: which ranges overlap."""
+    named = _stretches(spark, sf_dir).groupBy("low").agg(F.max("high").alias("high"))
+    return packs.overlapping(named.select(F.col("low").alias("name"), "low", "high"))
 
 
 @query()
@@ -391,10 +437,10 @@ def systematic_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planner.systematic_sample(_orders(spark, sf_dir).select("o_orderkey"), 88, order=("o_orderkey",))
 
 
-@query("select o_orderkey from (select o_orderkey, row_number() over (order by o_orderkey) - 1 as i from orders) where i % 4 = 1")
+@query("select o_orderkey, o_custkey, o_orderstatus, o_totalprice from (select *, row_number() over (order by o_orderkey) - 1 as i from orders) where i % 4 = 1")
 def ordered_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One of four shards by place in the plan's order."""
-    return planner.shard(_orders(spark, sf_dir).select("o_orderkey"), 1, 4, order=("o_orderkey",))
+    """One of four shards by place in the plan's order, whole rows."""
+    return planner.shard(_orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"), 1, 4, order=("o_orderkey",))
 
 
 @query(
@@ -450,13 +496,6 @@ def release_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.not_ignored(files, ignored)
 
 
-@query("select s_nationkey::bigint as nation, count(*) filter (s_suppkey % 2 = 0)::bigint as ranged, bool_or(s_suppkey % 5 = 0) as has_words from supplier group by 1")
-def installed_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A27, J21's input shape."""
-    s = table(spark, sf_dir, "supplier")
-    return s.groupBy(F.col("s_nationkey").cast("bigint").alias("nation")).agg(F.count_if(F.col("s_suppkey") % 2 == 0).alias("ranged"), F.bool_or(F.col("s_suppkey") % 5 == 0).alias("has_words"))
-
-
 @query("select doc_id, coalesce(try_cast(case doc_id % 3 when 0 then doc_id::varchar when 1 then '-' || doc_id else 'x-' || doc_id end as bigint), -1) as id from documents where doc_id % 3 = 0")
 def id_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Named and negative ids go."""

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.operators import planner
+from lectern.operators import packs, planner
 
 N = 3_000_000
 
@@ -58,3 +58,58 @@ def test_bounds_of_many_types(spark):
 
         steps = got.repartition(1).withColumn("before", F.lag("k").over(W.orderBy("row_number")))
         assert steps.agg(F.count(F.lit(1)), F.count_if(F.col("before") > F.col("k")), F.max("row_number")).first()[:] == (60_000, 0, 59_999), order
+
+
+def ranges(spark, n, step=40):
+    """n ranges that don't overlap, of 1 to 30 ids each; every thousandth fills all ids up to the next."""
+    width = F.when(F.col("id") % 1_000 == 0, step - 1).otherwise((F.col("id") * 31) % 30)
+    return spark.range(n).select(F.col("id").alias("name"), (F.col("id") * step - 5_000).alias("low"), (F.col("id") * step - 5_000 + width).alias("high"))
+
+
+def held_by(v, n, step=40):
+    """The range of an id, by arithmetic."""
+    k = F.floor((v + 5_000) / step)
+    width = F.when(k % 1_000 == 0, step - 1).otherwise((k * 31) % 30)
+    return F.when((v >= -5_000) & (k < n) & ((v + 5_000) % step <= width), k)
+
+
+def test_ids_in_200000_ranges(spark):
+    n = 200_000
+    ids = spark.range(0, N, 1, 8).select(((F.col("id") * 7_919) % N * 3 - 10_000).alias("id"), F.repeat(F.lit("x"), 20).alias("payload"))
+    met = packs.assign(ids, ranges(spark, n))
+    assert met.agg(F.count(F.lit(1)), F.count_if(~F.col("pack").eqNullSafe(held_by(F.col("id"), n))), F.count("pack") > N // 3).first()[:] == (N, 0, True)
+
+
+def test_ranges_of_all_lengths_and_ids_far_apart(spark, monkeypatch):
+    monkeypatch.setattr(packs, "BROADCAST_RANGES", 0)
+    bounds = [(-(1 << 40), -7), (-6, -6), (0, 9), (10, 10), (11, 1_000_000), (1 << 33, (1 << 50) - 1), (1 << 50, 1 << 50)]
+    dim = spark.createDataFrame([(f"p{k}", a, b) for k, (a, b) in enumerate(bounds)], "name string, low long, high long")
+    ids = sorted({v + d for pair in bounds for v in pair for d in (-1, 0, 1)} | {5, 999, 1 << 60, -(1 << 60), 3 << 40})
+    rows = spark.createDataFrame([(v,) for v in ids + [None, 5, 5]], "id long")
+    for part in (rows, rows.where("id between -100 and 2000000")):
+        for r in packs.assign(part, dim).collect():
+            assert r["pack"] == next((f"p{k}" for k, (a, b) in enumerate(bounds) if r["id"] is not None and a <= r["id"] <= b), None)
+    assert packs.assign(rows.limit(0), dim).collect() == []
+    assert {r["pack"] for r in packs.assign(rows, dim.limit(0)).collect()} == {None}
+
+
+def test_points_cut_from_one_range_of_all(spark):
+    n = 400_000
+    whole = spark.createDataFrame([(0, 3 * n), (3 * n + 1, 3 * n + 5)], "low long, high long")
+    left = packs.without_points(whole, spark.range(n).select((F.col("id") * 3).alias("id")))
+    # Between two ids two are left; behind the last one three; the other range stays.
+    assert left.groupBy((F.col("high") - F.col("low") + 1).alias("k")).count().orderBy("k").collect() == [(2, n - 1), (3, 1), (5, 1)]
+
+
+def test_ranges_join_over_all_tasks(spark):
+    n = 400_000
+    touching = spark.range(n).select((F.col("id") * 2).alias("low"), (F.col("id") * 2 + 1).alias("high"))
+    assert packs.merged(touching.union(spark.createDataFrame([(2 * n + 5, 2 * n + 9), (-9, -8), (3, 2)], "low long, high long"))).orderBy("low").collect() == [(-9, -8), (0, 2 * n - 1), (2 * n + 5, 2 * n + 9)]
+    # A long range early on reaches over many short ones.
+    apart = spark.range(n).select((F.col("id") * 5).alias("low"), (F.col("id") * 5 + 1).alias("high"))
+    assert packs.merged(apart.union(spark.createDataFrame([(0, 5 * (n - 1))], "low long, high long"))).collect() == [(0, 5 * (n - 1) + 1)]
+
+
+def test_overlaps(spark):
+    rows = spark.createDataFrame([("a", 1, 9), ("b", 9, 9), ("c", 10, 12), ("d", 1, 9), ("e", 11, 10), ("f", -5, 100)], "name string, low long, high long")
+    assert sorted(tuple(r) for r in packs.overlapping(rows).collect()) == [("a", "b"), ("a", "d"), ("a", "f"), ("b", "d"), ("b", "f"), ("c", "f"), ("d", "f")]
