@@ -70,6 +70,30 @@ def dictionary_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.dictionary(lines).select("key", "word")
 
 
+def _in_files(rows: DataFrame, *order: str) -> DataFrame:
+    """The rows' lines (value) written in order over several files, whose names follow it, and read back with their places."""
+    path = staging.fresh(rows.sparkSession, "ordered")
+    rows.repartitionByRange(5, *order).sortWithinPartitions(*order).select("value").write.text(path)
+    return text.lines(rows.sparkSession, path)
+
+
+@query("select p_brand as key, arg_min(p_name, p_partkey) as text from part group by 1")
+def dictionary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first word of a key in several files, in their order."""
+    part = table(spark, sf_dir, "part").select("p_partkey", _line('["', F.col("p_brand"), '"] = { word = "', F.col("p_name"), '" },'))
+    return planner.word_plan(text.dictionary(_in_files(part, "p_partkey"))).select("key", "text")
+
+
+@query("with l as (select o_custkey as path, row_number() over (order by o_orderkey) - 1 as n from orders) select c_custkey, min(n) as list_pos from customer join l on path = c_custkey group by 1")
+def listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths in the order of lists that name some more than once, numbered over all files."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", _line(" q/", _s("o_custkey"), " "))
+    listed = text.path_list(_in_files(orders, "o_orderkey")).select("path", "pos.*")
+    numbered = planner.with_row_number(listed, text.LINE_PLACE).select("path", F.col("row_number").alias("pos"))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", _line("q/", _s("c_custkey")).alias("path"))
+    return planner.restricted(rows, numbered, in_list_order=True).select("c_custkey", "list_pos")
+
+
 @query("""select 'quest' as kind, c_custkey as id, 'He said "' || c_name || '"' || chr(10) || '{x}' as text, c_mktsegment as flavor from customer""")
 def brace_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two blocks in each text, of which one has no id; quotes, braces and line ends in strings."""

@@ -7,7 +7,7 @@ per file: such files (saved variables, small tables) are far below a task's memo
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,14 +32,28 @@ def word_rows(plan: DataFrame) -> DataFrame:
     return plan.where("kind = 'word'")
 
 
+#: The columns that order lines as their files do: file, begin of the part of it that a task reads, number in that task.
+LINE_PLACE = ("file", "block", "nth")
+
+
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path)
+    """value, file, block, nth: lines of text files with their place.
+
+    Spark deals parts of files to tasks by size, not by name, so that numbers given while reading don't
+    follow the files. A line belongs to the part in which it begins, and parts are read from their begin.
+    """
+    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("nth"))
+
+
+def _pos(rows: DataFrame) -> Column:
+    """The place of a line of `lines`, comparable; of other rows a number in the order in which they are read."""
+    return F.struct(*LINE_PLACE).alias("pos") if set(LINE_PLACE) <= set(rows.columns) else F.monotonically_increasing_id().alias("pos")
 
 
 def dictionary(rows: DataFrame) -> DataFrame:
-    """pos, key, word of lines like `["key"] = { word = "Word"`; other lines are skipped. Numbered by read order."""
+    """pos, key, word of lines like `["key"] = { word = "Word"`; other lines are skipped."""
     pattern = r'^\s*\["((?:[^"\\]|\\.)*)"\]\s*=\s*\{.*?\bword\s*=\s*"((?:[^"\\]|\\.)*)"'
-    parsed = rows.where(F.col("value").rlike(pattern)).select(F.monotonically_increasing_id().alias("pos"), F.regexp_extract("value", pattern, 1).alias("k"), F.regexp_extract("value", pattern, 2).alias("w"))
+    parsed = rows.where(F.col("value").rlike(pattern)).select(_pos(rows), F.regexp_extract("value", pattern, 1).alias("k"), F.regexp_extract("value", pattern, 2).alias("w"))
     return parsed.select("pos", unescape(F.col("k")).alias("key"), unescape(F.col("w")).alias("word"))
 
 
@@ -113,7 +127,7 @@ def stamps(spark: SparkSession, path: str) -> DataFrame:
 
 def path_list(rows: DataFrame) -> DataFrame:
     """pos, path of a list of paths, blank lines skipped."""
-    return rows.select(F.monotonically_increasing_id().alias("pos"), strip(F.col("value")).alias("path")).where("path <> ''")
+    return rows.select(_pos(rows), strip(F.col("value")).alias("path")).where("path <> ''")
 
 
 def manifest(rows: DataFrame) -> DataFrame:

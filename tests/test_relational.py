@@ -214,3 +214,27 @@ def test_packed_table(spark, tmp_path):
     assert rows(binary.packed_rows(files).select("id", "vals")) == [(i, v) for i, v in found]
     spark.dataSource.register(binary.PackedTableSource)
     assert rows(spark.read.format("packed_table").load(str(tmp_path / "t.db2"))) == [(i, v) for i, v in found]
+
+
+def test_first_word_of_files_of_other_sizes_and_in_parts(spark, tmp_path):
+    """Spark reads the largest parts first; a later file's word must not win for that."""
+    from lectern.sources import text as sources
+
+    n = {"a.lua": 300, "b.lua": 20_000, "c.lua": 3_000}
+    for name, count in n.items():
+        (tmp_path / name).write_text("".join(f'["k{i}"] = {{ word = "{name}-{i}-{again}" }},\n' for again in range(2) for i in range(count)))
+    own = {"spark.sql.files.maxPartitionBytes": "40000", "spark.sql.files.openCostInBytes": "0"}
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        read = sources.lines(spark, str(tmp_path))
+        assert read.rdd.getNumPartitions() > 8
+        first = planner.word_plan(sources.dictionary(read))
+        got = {r["key"]: r["text"] for r in first.collect()}
+        listed = sources.path_list(read).select("path", "pos.*")
+        numbered = planner.with_row_number(listed, sources.LINE_PLACE).orderBy("row_number").collect()
+    finally:
+        for k in own:
+            spark.conf.unset(k)
+    assert got == {f"k{i}": f"{next(f for f, c in n.items() if i < c)}-{i}-0" for i in range(20_000)}
+    assert [r["path"] for r in numbered] == [line.strip() for name in sorted(n) for line in (tmp_path / name).read_text().splitlines()]
