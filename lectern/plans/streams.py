@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.streaming import monitor
+from lectern.sources import staging
+from lectern.streaming import monitor, player
 
 from .registry import query, table
 
@@ -93,32 +92,90 @@ def open_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitor.open_passages(e, delay_seconds=3600).select(F.col("seq").alias("event_id"), "starts")
 
 
-@query()
+_KINDS = ("open", "open", "clip_end", "clip_end", "clip_end", "clip_end", "pause", "resume", "missing", "close")
+_SQL_PLAYS = f"""p as (select user_id, event_id as seq, ts, ({list(_KINDS)})[(event_id * 7 + user_id) % 10 + 1] as kind, [(100 + event_id % 50)::int, (200 + event_id % 30)::int, (50 + event_id % 70)::int, 120::int][1:(1 + event_id % 4)] as lengths from events)"""
+_SQL_PLAYBACK = f"""with recursive {_SQL_PLAYS}, e as (select *, row_number() over (partition by user_id order by ts, seq) as rn from p),
+f as (select user_id, seq, rn, kind, case when kind = 'open' then 1 else 0 end as clip, case when kind = 'open' then 'playing' else 'idle' end as state, case when kind = 'open' then lengths else [] end as own from e where rn = 1
+union all select e.user_id, e.seq, e.rn, e.kind,
+ case when e.kind = 'open' then 1 when e.kind = 'close' then 0 when e.kind = 'clip_end' and state = 'playing' and clip < len(own) then clip + 1 when e.kind = 'resume' and state in ('playing', 'finished') then 1 else clip end,
+ case when e.kind = 'open' then 'playing' when e.kind = 'close' then 'idle' when e.kind = 'clip_end' and state = 'playing' and clip = len(own) then 'finished' when e.kind in ('pause', 'missing') and state = 'playing' then 'paused' when e.kind = 'resume' and state <> 'idle' then 'playing' else state end,
+ case when e.kind = 'open' then e.lengths when e.kind = 'close' then [] else own end
+from f join e on e.user_id = f.user_id and e.rn = f.rn + 1)
+select seq, kind, clip, state, case when state = 'idle' then null when state = 'finished' then list_sum(own) + 25 * (len(own) - 1) else coalesce(list_sum(own[1:clip - 1]), 0) + 25 * (clip - 1) end::bigint as at,
+ case when state <> 'idle' then list_sum(own) + 25 * (len(own) - 1) end::bigint as total from f"""
+
+
+def _plays(events: DataFrame) -> DataFrame:
+    """Stand-in player events."""
+    kind = F.element_at(F.array(*[F.lit(k) for k in _KINDS]), (F.pmod(F.col("event_id") * 7 + F.col("user_id"), F.lit(10)) + 1).cast("int"))
+    e = F.col("event_id")
+    lengths = F.slice(F.array((100 + e % 50).cast("int"), (200 + e % 30).cast("int"), (50 + e % 70).cast("int"), F.lit(120)), F.lit(1), (1 + e % 4).cast("int"))
+    return events.select("user_id", F.col("event_id").alias("seq"), "ts", kind.alias("kind"), lengths.alias("lengths"))
+
+
+@query(_SQL_PLAYBACK)
 def playback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows only; the state after each event."""
-    e = table(spark, sf_dir, "events")
-    kind = F.element_at(F.array(*[F.lit(k) for k in ("open", "clip_end", "pause", "resume", "close")]), (F.col("event_id") % 5 + 1).cast("int"))
-    return monitor.playback(e.select("user_id", F.col("event_id").alias("seq"), "ts", kind.alias("kind"), F.lit(3).alias("n"))).select("seq", "kind", "clip", "state")
+    """Where each player stands after each event, and its bar."""
+    return player.playback(_plays(table(spark, sf_dir, "events"))).drop("user_id")
+
+
+#: A user that no table has; its one row, a year after all others, lets the watermark pass them.
+_NOBODY = -1
+
 
+def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event table as a stream: three files that follow one another in time, then the row of nobody."""
+    e = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    path = staging.fresh(spark, "arriving")
+    a, b, last = e.agg(F.percentile_approx(F.col("ts").cast("double"), [0.3, 0.7]).alias("q"), F.max("ts").alias("last")).select(F.col("q")[0], F.col("q")[1], "last").first() or (None, None, None)
+    at = F.coalesce(F.col("ts").cast("double"), F.lit(0.0))
+    for part in (at <= a, (at > a) & (at <= b), at > b):
+        e.where(part).write.mode("append").parquet(path)
+    later = F.lit(last) + F.expr("interval 365 days")
+    spark.range(1).select(F.lit(0).cast(e.schema["event_id"].dataType).alias("event_id"), later.alias("ts"), F.lit(_NOBODY).cast(e.schema["user_id"].dataType).alias("user_id"), F.lit("none").alias("event_type")).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", max(1, e.rdd.getNumPartitions())).parquet(path)
 
-def _streamed(spark: SparkSession, sf_dir: str, make) -> DataFrame:
-    """Run a stream over the event table once, to its end, and return what it holds."""
-    source = spark.readStream.schema(table(spark, sf_dir, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    name = "s" + uuid.uuid4().hex
-    run = make(source.withColumn("ts", F.col("ts").cast("timestamp"))).writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start()
-    run.awaitTermination()
-    return spark.table(name)
+
+def _landed(made: DataFrame, spark: SparkSession) -> DataFrame:
+    """Run a stream in append mode to its end, into files, and read them."""
+    path, own = staging.fresh(spark, "landed"), "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(own, None)
+    spark.conf.set(own, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        run = made.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", path + "-log").trigger(availableNow=True).start()
+        run.awaitTermination()
+    finally:
+        spark.conf.unset(own) if before is None else spark.conf.set(own, before)
+    return spark.read.schema(made.schema).parquet(path)
 
 
 @query("select date_trunc('day', ts)::timestamp as opened, event_type, count(*)::bigint as events from events group by 1, 2")
 def stream_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T1 as a stream: events per day and type; a bounded result (days by types)."""
-    held = _streamed(spark, sf_dir, monitor.windowed_rate)
-    return held.select(F.col("opened").cast("timestamp_ntz").alias("opened"), "event_type", "events")
+    """T1 as a stream: events per day and type, each day written once the watermark has passed it."""
+    held = _landed(monitor.windowed_rate(_arriving(spark, sf_dir).withWatermark("ts", "1 hour")), spark)
+    return held.where("event_type <> 'none'").select(F.col("opened").cast("timestamp_ntz").alias("opened"), "event_type", "events")
 
 
 @query("with " + _SQL_SESSIONS)
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T6 as a stream, in complete mode, which equals the batch."""
-    held = _streamed(spark, sf_dir, lambda e: monitor.sessions(e, gap="6 hours"))
-    return held.select("user_id", F.col("opened").cast("timestamp_ntz").alias("opened"), F.col("closed").cast("timestamp_ntz").alias("closed"), "events")
+    """T6 as a stream: a session is written when it can't grow any more."""
+    held = _landed(monitor.sessions(_arriving(spark, sf_dir).withWatermark("ts", "1 hour"), gap="6 hours"), spark)
+    return held.where(F.col("user_id") != _NOBODY).select("user_id", F.col("opened").cast("timestamp_ntz").alias("opened"), F.col("closed").cast("timestamp_ntz").alias("closed"), "events")
+
+
+@query(_SQL_PLAYBACK)
+def stream_playback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T7, T8, T11 as a stream: a user's events in order, once the watermark has passed them."""
+    return _landed(player.playback_stream(_plays(_arriving(spark, sf_dir))), spark).where(F.col("user_id") != _NOBODY).drop("user_id")
+
+
+@query(
+    """with e as (select user_id, event_id, ts, event_type, lead(ts) over (partition by user_id order by ts, event_id) as nxt from events)
+select event_id, nxt is null or epoch(nxt) >= epoch(ts) + 3600 as starts from e where event_type in ('view', 'click')"""
+)
+def stream_open_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T6 as a stream: opens whose delay ends, by timers, or that another event cancels."""
+    kind = F.when(F.col("event_type").isin("view", "click"), "open").otherwise("close")
+    opens = _arriving(spark, sf_dir).select("user_id", F.col("event_id").alias("seq"), "ts", kind.alias("kind"))
+    held = _landed(player.open_passages_stream(opens, delay_seconds=3600), spark)
+    return held.where(F.col("user_id") != _NOBODY).select(F.col("seq").alias("event_id"), "starts")

@@ -132,22 +132,3 @@ def open_passages(events: DataFrame, *, user: str = "user_id", delay_seconds: fl
 def newest_settings(saved: DataFrame, *, key: str = "folder") -> DataFrame:
     """The settings saved last for each key: the greatest `saved` (missing is 0), of equal ones the later `seq`; rows without settings don't count."""
     return saved.where("settings is not null").groupBy(key).agg(F.max_by(F.struct("saved", "seq", "settings"), F.struct(F.coalesce("saved", F.lit(0)), "seq")).alias("_s")).select(key, "_s.*")
-
-
-def playback(events: DataFrame, *, user: str = "user_id") -> DataFrame:
-    """With clip and state after each event (kind: open, clip_end, pause, resume, close; n clips).
-
-    Pausing keeps the place at the clip's start; resuming a finished passage begins at 1.
-    """
-    w = W.partitionBy(user).orderBy("ts", "seq").rowsBetween(W.unboundedPreceding, W.currentRow)
-    since = F.sum((F.col("kind").isin("open", "close")).cast("int")).over(w)
-    own = events.withColumn("_s", since)
-    ws = W.partitionBy(user, "_s").orderBy("ts", "seq").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ended = F.sum((F.col("kind") == "clip_end").cast("int")).over(ws)
-    n = F.first("n", ignorenulls=True).over(ws)
-    opened = F.first("kind").over(ws) == "open"
-    last = F.last(F.when(F.col("kind").isin("pause", "resume", "open"), F.col("kind")), ignorenulls=True).over(ws)
-    finished = ended >= n
-    state = F.when(~opened, "idle").when(finished & (last == "resume") & (F.col("kind") == "resume"), "playing").when(finished, "finished").when(last == "pause", "paused").otherwise("playing")
-    clip = F.when(opened, F.when(finished & (F.col("kind") == "resume"), 1).otherwise(F.least(ended + 1, n)))
-    return own.withColumn("clip", clip).withColumn("state", state).drop("_s")

@@ -143,12 +143,6 @@ def test_supervisor_stream_equals_batch(spark, tmp_path):
     assert {r[5] for r in batch if r[0] == "r"} >= {"restart", "settle", "end"} and {r[5] for r in batch if r[0] == "s"} == {"watch"}
 
 
-def test_playback(spark):
-    e = spark.createDataFrame([(1, k, f"2024-01-01 00:00:0{k}", kind, 2) for k, kind in enumerate(["open", "clip_end", "pause", "resume", "clip_end", "resume", "close"])], "user_id int, seq int, ts string, kind string, n int")
-    got = [(r["clip"], r["state"]) for r in monitor.playback(e.withColumn("ts", F.col("ts").cast("timestamp"))).orderBy("seq").collect()]
-    assert got == [(1, "playing"), (2, "playing"), (2, "paused"), (2, "playing"), (2, "finished"), (1, "playing"), (None, "idle")]
-
-
 def test_json_lines(spark, tmp_path):
     path = tmp_path / "a.jsonl"
     path.write_text('{"word": "a"}\n\n{broken\n{"word": "ö"}\n')
