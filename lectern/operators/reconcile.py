@@ -8,12 +8,18 @@ from pyspark.sql import functions as F
 from lectern.functions import text
 
 
-def reconcile(expected: DataFrame, written: DataFrame, *, key: str = "path", size: str = "size") -> DataFrame:
-    """key, expected_size, written_size, status: missing, extra, size differs or same."""
-    e = expected.select(key, F.col(size).alias("expected_size"), F.lit(True).alias("_e"))
-    w = written.select(key, F.col(size).alias("written_size"), F.lit(True).alias("_w"))
-    status = F.when(F.isnull("_w"), "missing").when(F.isnull("_e"), "extra").when(~F.col("expected_size").eqNullSafe(F.col("written_size")), "size differs").otherwise("same")
-    return e.join(w, key, "full_outer").select(key, "expected_size", "written_size", status.alias("status"))
+def reconcile(expected: DataFrame, written: DataFrame, *, key: str = "path", size: str = "size", content: str | None = None) -> DataFrame:
+    """key, expected_size, written_size, status: missing, extra, size differs, content differs or same.
+
+    content: a column of checksums, compared where the sizes are equal.
+    """
+    own = [content] if content else []
+    e = expected.select(key, F.col(size).alias("expected_size"), *[F.col(c).alias("_sum") for c in own], F.lit(True).alias("_e"))
+    w = written.select(key, F.col(size).alias("written_size"), *[F.col(c).alias("_found") for c in own], F.lit(True).alias("_w"))
+    status = F.when(F.isnull("_w"), "missing").when(F.isnull("_e"), "extra").when(~F.col("expected_size").eqNullSafe(F.col("written_size")), "size differs")
+    if content:
+        status = status.when(~F.col("_sum").eqNullSafe(F.col("_found")), "content differs")
+    return e.join(w, key, "full_outer").select(key, "expected_size", "written_size", status.otherwise("same").alias("status"))
 
 
 def last_wins(rows: DataFrame, key: str, order: tuple[str, ...]) -> DataFrame:
