@@ -5,14 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .planner import running
+
 SUSPECT, LONG = 3.0, 1.8
 MIN_GROUP = 20
 
 
 def medians(clips: DataFrame, *, least: int = MIN_GROUP) -> DataFrame:
-    """len, median of (word, seconds): the exact median per word length, of lengths with enough clips."""
-    per = clips.groupBy(F.length("word").alias("len")).agg(F.median("seconds").alias("median"), F.count(F.lit(1)).alias("n"))
-    return per.where(F.col("n") >= least).select("len", "median")
+    """len, median of (word, seconds): the exact median per word length, of lengths with enough clips.
+
+    Selected from counted values: equal ones are one row, running counts over (length, value) tell
+    which value stands in the middle, and no task gathers a length's clips. Clips without seconds
+    count for `least` only; a length that has no others has no median.
+    """
+    counted = clips.groupBy(F.length("word").alias("len"), "seconds").agg(F.count(F.lit(1)).alias("n"))
+    known = running(counted.where("len is not null and seconds is not null"), ("len", "seconds"), "_upto", F.sum, F.col("n"))
+    # The least running count of a length is that of its first value.
+    whole = known.groupBy("len").agg(F.sum("n").alias("_all"), F.min(F.col("_upto") - F.col("n")).alias("_before"))
+    placed = known.join(whole, "len").withColumn("_to", F.col("_upto") - F.col("_before")).withColumn("_from", F.col("_to") - F.col("n"))
+    holds = lambda place: F.max(F.when((F.col("_from") <= place) & (place < F.col("_to")), F.col("seconds")))
+    middle = placed.groupBy("len").agg((holds(F.expr("(_all - 1) div 2")) * 0.5 + holds(F.expr("_all div 2")) * 0.5).alias("median"))
+    enough = counted.groupBy("len").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return middle.join(enough, "len").select("len", "median")
 
 
 def suspicious(clips: DataFrame, table: DataFrame, factor: float = SUSPECT) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -187,29 +187,39 @@ def coverage(expansions: DataFrame, layout: DataFrame, counts: DataFrame) -> Dat
     return met.select("name", "low", "high", F.coalesce("pack", F.lit("not recorded")).alias("pack"), F.coalesce("clips", F.lit(0)).alias("clips"))
 
 
-def bin_layout(spark: SparkSession, sizes: list[tuple[str, float]], cap: float) -> DataFrame:
-    """name, pos, part: ordered packs in the fewest runs within the cap, and of these the largest run least.
+def bin_layout(sizes: DataFrame, cap: Column | float) -> DataFrame:
+    """name, pos, part: ordered packs (name, pos, size) in the fewest runs within the cap, and of these the largest run least.
 
-    For a dimension of some tens of rows that is already on the driver. Built from the right: the best
-    plan of a suffix is a cut and the best plan of the rest; on ties the earliest cut stays.
+    For a dimension, of tens to some thousands of rows: it becomes one row of lists, over which the
+    plan of every suffix is built from the right. The best plan of a suffix is a cut and the best plan
+    of the rest; of equal ones the earliest cut stays. A pack beyond the cap is a run of its own. The
+    cap is a number or an aggregate over the sizes' rows.
     """
-    cap, n = cap / small.OVERHEAD, len(sizes)
-    best: list[tuple[int, float, int]] = [(0, 0.0, n)] * (n + 1)
-    for i in range(n - 1, -1, -1):
-        total, own = 0.0, None
-        for j in range(i + 1, n + 1):
-            total += sizes[j - 1][1]
-            if total > cap and j > i + 1:
-                break
-            here = (1 + best[j][0], max(total, best[j][1]), j)
-            if own is None or here[:2] < own[:2]:
-                own = here
-        best[i] = own
-    rows, i, part = [], 0, 0
-    while i < n:
-        rows += [(sizes[k][0], k, part) for k in range(i, best[i][2])]
-        i, part = best[i][2], part + 1
-    return spark.createDataFrame(rows, "name string, pos int, part int")
+    cap = cap if isinstance(cap, Column) else F.lit(float(cap))
+    gathered = sizes.agg(F.array_sort(F.collect_list(F.struct("pos", F.col("size").cast("double").alias("size"), "name"))).alias("rows"), small.capped(cap).alias("cap"))
+    capped = gathered.select("rows", F.size("rows").alias("n"), "cap")
+    # upto[k]: the size of the first k; a plan: runs, largest run, first cut.
+    upto = F.aggregate("rows", F.array(F.lit(0.0)), lambda a, r: F.concat(a, F.array(F.element_at(a, -1) + r["size"])))
+    made = capped.select("rows", "n", "cap", upto.alias("upto"))
+    plan = lambda n, big, cut: F.struct(n.cast("int").alias("n"), big.cast("double").alias("big"), cut.cast("int").alias("cut"))
+
+    def longer(best: Column, i: Column) -> Column:
+        """With the plan of the suffix that begins one pack sooner, at i, before those of the suffixes behind it."""
+        total = lambda j: F.get("upto", j) - F.get("upto", i)
+        cuts = F.filter(F.sequence(i + 1, F.col("n")), lambda j: (j == i + 1) | (total(j) <= F.col("cap")))
+        rest = lambda j: F.get(best, j - i - 1)
+        return F.concat(F.array(F.array_min(F.transform(cuts, lambda j: plan(rest(j)["n"] + 1, F.greatest(total(j), rest(j)["big"]), j)))), best)
+
+    backward = F.when(F.col("n") > 0, F.sequence(F.col("n") - 1, F.lit(0), F.lit(-1))).otherwise(F.array().cast("array<int>"))
+    planned = made.select("rows", F.aggregate(backward, F.array(plan(F.lit(0), F.lit(0.0), F.col("n"))), longer).alias("best"))
+
+    def walk(cuts: Column, _: Column) -> Column:
+        at = F.element_at(cuts, -1)
+        return F.when(at < F.size("rows"), F.concat(cuts, F.array(F.get("best", at)["cut"]))).otherwise(cuts)
+
+    cut = planned.select("rows", F.aggregate("rows", F.array(F.lit(0)), walk).alias("cuts"))
+    each = cut.select(F.posexplode("rows").alias("k", "row"), "cuts")
+    return each.select("row.name", "row.pos", (F.size(F.filter("cuts", lambda c: c <= F.col("k"))) - 1).alias("part"))
 
 
 def installed(packs: DataFrame) -> DataFrame:

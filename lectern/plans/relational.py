@@ -172,12 +172,23 @@ def overlapping_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packs.overlapping(named.select(F.col("low").alias("name"), "low", "high"))
 
 
-@query()
+@query(
+    """with recursive m as (select strftime(o_orderdate, '%Y-%m') as name, count(*)::double as size from orders group by 1),
+a as (select list(name order by name) as names, list(size order by name) as ns, 12 * max(size) / 1.009 as cap from m),
+d(i, best) as (select len(ns)::int, [{'n': 0, 'big': 0.0::double, 'cut': len(ns)::int}] from a
+  union all select i - 1, list_concat([list_min(list_transform(list_filter(range(i, len(ns) + 1), lambda j: j = i or list_sum(ns[i:j]) <= cap),
+    lambda j: {'n': best[j - i + 1].n + 1, 'big': greatest(list_sum(ns[i:j]), best[j - i + 1].big), 'cut': j::int}))], best) from d, a where i > 0),
+w(part, k0) as (select 0, 0 union all select part + 1, best[k0 + 1].cut from w, d where d.i = 0 and k0 < len(best) - 1),
+cuts as (select part, k0, lead(k0) over (order by part) as upto from w)
+select names[k] as name, k::int as pos, part::int as part from (select names, unnest(range(1, len(names) + 1)) as k from a) join cuts on k > k0 and k <= upto"""
+)
 def bin_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Months of orders packed in order; the sizes are one small aggregate. Rows only."""
-    months = _orders(spark, sf_dir).groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("m")).agg(F.count(F.lit(1)).alias("n")).orderBy("m").collect()
-    sizes = [(r["m"], float(r["n"])) for r in months]
-    return packs.bin_layout(spark, sizes, 12 * max((s for _, s in sizes), default=1.0))
+    """Months of orders packed in order."""
+    months = _orders(spark, sf_dir).groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("name")).agg(F.count(F.lit(1)).cast("double").alias("size"))
+    # A row per month.
+    whole = W.partitionBy()
+    sized = months.select("name", "size", F.row_number().over(W.orderBy("name")).alias("pos"), (12 * F.max("size").over(whole)).alias("cap"))
+    return packs.bin_layout(sized, F.max("cap"))
 
 
 _SQL_CLIPS_OF_PARTS = "c as (select p_partkey, p_name as word, p_size::double / (1 + p_partkey % 3) as seconds from part)"
@@ -195,6 +206,14 @@ def median_by_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     return durations.suspicious(clips, durations.medians(clips)).select("p_partkey", "word", "seconds", "median", F.round("ratio", 9).alias("ratio"))
 
 
+@query("""with c as (select case when l_orderkey % 2 = 0 then 5 else 1 + l_partkey % 12 end::int as len, l_extendedprice / 100 as seconds from lineitem) select len, median(seconds)::double as median from c group by 1 having count(*) >= 20""")
+def hot_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 where one length has more than half of all clips."""
+    letters = F.when(F.col("l_orderkey") % 2 == 0, 5).otherwise(1 + F.col("l_partkey") % 12).cast("int")
+    clips = table(spark, sf_dir, "lineitem").select(F.repeat(F.lit("x"), letters).alias("word"), (F.col("l_extendedprice") / 100).alias("seconds"))
+    return durations.medians(clips)
+
+
 @query(
     f"""with {_SQL_CLIPS_OF_PARTS}, w as (select p_partkey, replace(word, ' ', '') as word, seconds from c), t as (select length(word)::int as len, median(seconds)::double as median from w where length(word) <= 10 group by 1 having count(*) >= 20),
 x as (select max(len) as longest, arg_max(median, len) as top, max(median) filter (len = 10) as ten from t),

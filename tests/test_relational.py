@@ -105,7 +105,7 @@ def brute_layout(sizes, cap):
 @pytest.mark.parametrize("cap", [10, 12, 20])
 def test_bin_layout(spark, cap):
     sizes = [4, 7, 3, 2, 8, 5, 1]
-    got = packs.bin_layout(spark, [(str(i), float(s)) for i, s in enumerate(sizes)], cap * 1.009).collect()
+    got = packs.bin_layout(spark.createDataFrame([(str(i), i, float(s)) for i, s in enumerate(sizes)], "name string, pos int, size double"), cap * 1.009).collect()
     parts = {}
     for r in got:
         parts[r["part"]] = parts.get(r["part"], 0) + sizes[r["pos"]]
@@ -232,3 +232,18 @@ def test_first_word_of_files_of_other_sizes_and_in_parts(spark, tmp_path):
             spark.conf.unset(k)
     assert got == {f"k{i}": f"{next(f for f, c in n.items() if i < c)}-{i}-0" for i in range(20_000)}
     assert [r["path"] for r in numbered] == [line.strip() for name in sorted(n) for line in (tmp_path / name).read_text().splitlines()]
+
+
+def test_layout_of_nothing_and_of_what_is_too_large(spark):
+    none = spark.createDataFrame([], "name string, pos int, size double")
+    assert packs.bin_layout(none, 10.0).collect() == []
+    large = spark.createDataFrame([("a", 1, 99.0), ("b", 2, 1.0), ("c", 3, 1.0), ("d", 4, 99.0)], "name string, pos int, size double")
+    assert [(r["name"], r["part"]) for r in packs.bin_layout(large, 10.0).collect()] == [("a", 0), ("b", 1), ("c", 1), ("d", 2)]
+
+
+def test_medians_of_few_null_and_equal_values(spark):
+    from lectern.operators import durations
+
+    clips = [("aa", None)] * 19 + [("aa", 3.0)] + [("bbb", float(k)) for k in range(20)] + [("cccc", 7.5)] * 30 + [("d", 1.0)] * 19 + [(None, 1.0)] * 40 + [("eeeee", None)] * 25
+    got = {r["len"]: r["median"] for r in durations.medians(spark.createDataFrame(clips, "word string, seconds double")).collect()}
+    assert got == {2: 3.0, 3: 9.5, 4: 7.5}
