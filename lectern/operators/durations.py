@@ -9,6 +9,8 @@ from .planner import running
 
 SUSPECT, LONG = 3.0, 1.8
 MIN_GROUP = 20
+#: Word lengths that are broadcast at most, with two counts each.
+BROADCAST_LENGTHS = 100_000
 
 
 def medians(clips: DataFrame, *, least: int = MIN_GROUP) -> DataFrame:
@@ -22,6 +24,9 @@ def medians(clips: DataFrame, *, least: int = MIN_GROUP) -> DataFrame:
     known = running(counted.where("len is not null and seconds is not null"), ("len", "seconds"), "_upto", F.sum, F.col("n"))
     # The least running count of a length is that of its first value.
     whole = known.groupBy("len").agg(F.sum("n").alias("_all"), F.min(F.col("_upto") - F.col("n")).alias("_before"))
+    if clips.select(F.length("word")).distinct().count() <= BROADCAST_LENGTHS:
+        # Counted values needn't be dealt by length, of which one may have most.
+        whole = F.broadcast(whole)
     placed = known.join(whole, "len").withColumn("_to", F.col("_upto") - F.col("_before")).withColumn("_from", F.col("_to") - F.col("n"))
     holds = lambda place: F.max(F.when((F.col("_from") <= place) & (place < F.col("_to")), F.col("seconds")))
     middle = placed.groupBy("len").agg((holds(F.expr("(_all - 1) div 2")) * 0.5 + holds(F.expr("_all div 2")) * 0.5).alias("median"))
