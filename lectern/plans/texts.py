@@ -241,7 +241,7 @@ def classify_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     w, h = F.col("want"), F.col("heard")
     pairs = spread(_heard(spark, sf_dir))
     # What the UDFs read is made natively below the distinct; they take plain columns.
-    inputs = pairs.select("want", "heard", text.normalise(w).alias("a"), text.normalise(h).alias("b"), F.transform(text.pieces(h), text.normalise).alias("parts"), match.sound_code(w, ascii_only=True).alias("sa"), match.sound_code(h, ascii_only=True).alias("sb")).distinct()
+    inputs = pairs.select("want", "heard", text.normalise(w).alias("a"), text.normalise(h).alias("b"), F.transform(text.pieces(h), text.normalise).alias("parts"), match.sound_code(w).alias("sa"), match.sound_code(h).alias("sb")).distinct()
     scored = inputs.withColumn("similarity", match.block_ratio(F.col("a"), F.col("b"))).withColumn("best", match.best_ratio(F.col("a"), F.col("parts")))
     sounded = scored.withColumn("sound", match.sound_similarity(F.col("sa"), F.col("sb")))
     s, o = F.col("similarity"), F.col("sound")
