@@ -201,6 +201,61 @@ def clip_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("p_partkey", wav.alias("w"), page.alias("o")).select("p_partkey", binary.wav_seconds(F.col("w")).alias("wav"), binary.ogg_seconds(F.col("o")).alias("ogg"), binary.ogg_seconds(F.col("o"), signed=True).alias("signed"))
 
 
+#: Parts of one client table.
+TABLE_ROWS = 1000
+
+
+@query(
+    f"""with p as (select p_partkey as id, p_size as size, ((p_partkey * 7919) % 1024)::bigint - 512 as signed, (p_partkey % 25) * 7 as shared, case when p_partkey % 3 = 0 then -p_partkey else 5 end as common from part where p_partkey % 4 <> 3)
+select id // {TABLE_ROWS} as file, id, id as own, size, signed, shared, common from p
+union all select id // {TABLE_ROWS}, id + 1000000000, id, size, signed, shared, common from p where id % 10 = 0"""
+)
+def packed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts written as packed client tables, and read back from them by section and range of rows.
+
+    A file has a thousand keys: sections of the keys that leave 0, 1 or 2 by four (the second without a list of
+    ids) and an encrypted one; a plain, a packed, a signed, an indexed and a common field; every tenth key is copied.
+    """
+    key = F.col("p_partkey")
+    value = key.bitwiseOR(F.shiftleft(F.col("p_size").cast("long"), 32)).bitwiseOR(F.shiftleft(((key * 7919) % 1024 - 512).bitwiseAND(1023), 38)).bitwiseOR(F.shiftleft(key % 25, 48))
+    p = table(spark, sf_dir, "part").select(F.floor(key / TABLE_ROWS).alias("file"), key.alias("id"), (key % 4).cast("int").alias("section"), _bytes(value, 7).alias("record"))
+    told = lambda when, of: F.unhex(F.array_join(F.transform(F.sort_array(F.collect_list(F.when(when, F.struct("id", F.hex(of).alias("b"))))), lambda x: x["b"]), ""))
+    id4, of = _bytes(F.col("id"), 4), [F.col("section") == k for k in range(3)]
+    blocks = p.groupBy("file").agg(
+        told(F.col("id") % 3 == 0, F.concat(id4, _bytes(-F.col("id"), 4))).alias("common"),
+        *[told(of[k], F.col("record")).alias(f"r{k}") for k in range(3)], *[told(of[k], id4).alias(f"i{k}") for k in (0, 2)],
+        *[told(of[k] & (F.col("id") % 10 == 0), F.concat(_bytes(F.col("id") + 1_000_000_000, 4), id4)).alias(f"c{k}") for k in range(3)],
+    )
+    blocks = blocks.withColumn("i1", F.lit(b""))
+    u2, u4 = (lambda v: _bytes(F.lit(v) if isinstance(v, int) else v, 2)), (lambda v: _bytes(F.lit(v) if isinstance(v, int) else v, 4))
+    size = lambda name: F.octet_length(name)
+    fields = [(0, 32, 0, 0, 0, 0, 0), (32, 6, 0, 1, 0, 0, 0), (38, 10, 0, 5, 0, 0, 0), (48, 8, 100, 3, 0, 0, 0), (0, 0, 0, 2, 5, size("common"), 0)]
+    pallet = F.concat(*[u4(7 * k) for k in range(25)])
+    head = F.concat(F.rpad(F.lit(b"WDC5"), 136, F.lit(b"\0")), *[u4(v) for v in (0, 5, 7, 0, 0, 0, 0, 0, 0)], u2(0), u2(0), *[u4(v) for v in (5, 0, 0, 120)], u4(size("common")), u4(100), u4(4))
+    start, sections = 136 + 68 + 4 * 40 + 4 * 5 + 5 * 24 + 100 + size("common"), []
+    for k in range(3):
+        sections += [u4(0), u4(0), u4(start), u4((size(f"r{k}") / 7).cast("long")), u4(0), u4(0), u4(size(f"i{k}")), u4(0), u4(0), u4(size(f"c{k}"))]
+        start = start + size(f"r{k}") + size(f"i{k}") + size(f"c{k}")
+    sections += [u4(9), u4(9), u4(0), u4(999)] + [u4(0)] * 6
+    stored = [f(v) for field in fields for f, v in zip((u2, u2, u4, u4, u4, u4, u4), field)]
+    body = [F.col(f"{name}{k}") for k in range(3) for name in "ric"]
+    files = blocks.select(F.col("file").cast("string").alias("path"), F.concat(head, *sections, F.concat(*[u4(0)] * 5), *stored, pallet, F.col("common"), *body).alias("content"))
+    folder = staging.fresh(spark, "client_tables")
+    files.write.parquet(folder)
+    v = lambda k: F.get("vals", F.lit(k))
+    read = binary.packed_rows(spark.read.parquet(folder), rows=100)
+    return read.select(F.col("path").cast("long").alias("file"), "id", v(0).alias("own"), v(1).alias("size"), v(2).alias("signed"), v(3).alias("shared"), v(4).alias("common"))
+
+
+@query("select p_brand as path, sum(length(p_partkey || ' ' || p_name) + 1)::bigint as size from part group by p_brand")
+def listed_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every brand's parts written as files of a folder of their own, and listed with their sizes."""
+    clips, lines = staging.fresh(spark, "clips"), table(spark, sf_dir, "part").select(F.col("p_brand").alias("brand"), F.concat_ws(" ", "p_partkey", "p_name").alias("value"))
+    lines.repartition("brand").write.partitionBy("brand").text(clips)
+    listed = binary.listing(spark, clips, "*.txt").select(F.url_decode(F.regexp_extract("path", "brand=([^/]+)/", 1)).alias("path"), "size")
+    return listed.groupBy("path").agg(F.sum("size").alias("size"))
+
+
 @query(
     r"""with e as (select event_id, user_id, value, (event_id % 14)::bigint as n from events)
 select event_id, case when n > 0 then least(greatest(value - 20, 0.0), n) / n else 0.0 end::double as progress,

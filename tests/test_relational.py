@@ -168,11 +168,22 @@ def test_text_scans(spark):
     assert rows(sources.manifest(one("## T: x").union(one("a\\b.lua")))) == [("a/b.lua",)]
 
 
-def test_ogg_ends():
-    page = b"x" * 10 + b"OggS\0\0" + (48_000).to_bytes(8, "little") + b"rest"
-    assert binary.ogg_end(page) == 2.0 and binary.ogg_end(page, signed=True) == 2.0
-    assert binary.ogg_end(b"") == 0.0 and binary.ogg_end(b"", signed=True) is None
-    assert binary.ogg_end(b"OggS\0\0" + (-1).to_bytes(8, "little", signed=True), signed=True) is None
+def test_ogg_ends(spark):
+    mark = lambda n: b"OggS\0\0" + n.to_bytes(8, "little", signed=n < 0)
+    cases = [(b"x" * 10 + mark(48_000) + b"rest", 2.0, 2.0), (b"", 0.0, None), (None, 0.0, None), (mark(-1), (2**64 - 1) / 24_000, None), (mark(24_000) + mark(48_000)[:-1], 0.0, None),
+             (mark(24_000) + b"\xff" * 70_000, 0.0, None), (b"\xff" * 70_000 + mark(24_000) + b"\xc3\xa4" * 9, 1.0, 1.0), (mark(0), 0.0, None), (b"OggSOggS" + mark(72_000), 3.0, 3.0)]
+    df = spark.createDataFrame([(i, None if c is None else bytearray(c)) for i, (c, _, _) in enumerate(cases)], "i int, c binary")
+    assert rows(df.select("i", binary.ogg_seconds(F.col("c")), binary.ogg_seconds(F.col("c"), signed=True))) == [(i, u, s) for i, (_, u, s) in enumerate(cases)]
+
+
+def test_wav_with_much_before_its_samples(spark):
+    head = b"fmt " + struct.pack("<I2H2I2H", 16, 1, 1, 8_000, 16_000, 2, 16)
+    chunk = lambda name, size, n: name + struct.pack("<I", size) + b"x" * n
+    whole = lambda *parts: b"RIFF\0\0\0\0WAVE" + b"".join(parts)
+    cases = [(whole(head, chunk(b"data", 16_000, 9)), 1.0), (whole(chunk(b"LIST", 501, 502), head, chunk(b"data", 32_000, 0)), 2.0), (whole(head, chunk(b"LIST", 9_000, 9_000)), None), (whole(), None), (b"RIFX", None), (None, None)]
+    df = spark.createDataFrame([(i, None if c is None else bytearray(c)) for i, (c, _) in enumerate(cases)], "i int, c binary")
+    for head_bytes in (16, 40, 64, 1 << 16):
+        assert rows(df.select("i", binary.wav_seconds(F.col("c"), head=head_bytes))) == [(i, w) for i, (_, w) in enumerate(cases)]
 
 
 def packed_file():
@@ -201,13 +212,19 @@ def test_bit_fields():
 
 
 def test_packed_table(spark, tmp_path):
-    found = [(i, v) for ids, values in binary.packed_table(packed_file()) for i, v in zip(ids.tolist(), values.tolist())]
-    assert found == [(1, [1, -1, 600, 77]), (2, [2, 7, 500, 99]), (3, [1, -1, 600, 77])]
-    (tmp_path / "t.db2").write_bytes(packed_file())
-    files = spark.read.format("binaryFile").load(str(tmp_path / "t.db2"))
-    assert rows(binary.packed_rows(files).select("id", "vals")) == [(i, v) for i, v in found]
+    want = [(1, [1, -1, 600, 77]), (2, [2, 7, 500, 99]), (3, [1, -1, 600, 77])]
+    path = tmp_path / "t.db2"
+    path.write_bytes(packed_file())
+    files = spark.read.format("binaryFile").load(str(path))
     spark.dataSource.register(binary.PackedTableSource)
-    assert rows(spark.read.format("packed_table").load(str(tmp_path / "t.db2"))) == [(i, v) for i, v in found]
+    for n in (1, 2, 65_536):
+        assert rows(binary.packed_rows(files, rows=n).select("id", "vals")) == want
+        for place in (str(path), f"file://{path}"):
+            read = spark.read.format("packed_table").option("rows", n).load(place)
+            assert rows(read) == want and read.rdd.getNumPartitions() == max(1, 2 // n)
+    with pytest.raises(Exception, match="not a packed client table"):
+        binary.packed_rows(files.withColumn("content", F.lit(b"WDC4" + b"0" * 300))).collect()
+    assert binary.packed_rows(files.withColumn("content", F.lit(None).cast("binary"))).collect() == []
 
 
 def test_first_word_of_files_of_other_sizes_and_in_parts(spark, tmp_path):
