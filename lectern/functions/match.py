@@ -37,6 +37,25 @@ def similarity(want: Column, heard: Column) -> Column:
     return block_ratio(normalise(want), normalise(heard))
 
 
+def letter_counts(value: Column) -> Column:
+    """Map from each letter of a string to how often it stands there."""
+    letters = F.filter(F.split(value, ""), lambda c: c != "")
+    return F.map_from_entries(F.transform(F.array_distinct(letters), lambda c: F.struct(c, F.size(F.filter(letters, lambda d: d == c)))))
+
+
+def shared_letters(a: Column, b: Column) -> Column:
+    """How many letters two maps of counts share, each as often as both have it."""
+    return F.aggregate(F.map_entries(a), F.lit(0), lambda total, e: total + F.coalesce(F.least(e["value"], F.element_at(b, e["key"])), F.lit(0)) * F.when(F.map_contains_key(b, e["key"]), 1).otherwise(0))
+
+
+def ratio_bound(shared: Column, length: Column) -> Column:
+    """What the similarity by matching blocks can be at most: all shared letters in blocks; of two empty strings, 1.
+
+    `length` is that of both strings together.
+    """
+    return F.when(length == 0, 1.0).otherwise(2.0 * shared / F.greatest(length, F.lit(1)))
+
+
 def rambles(want: Column, heard: Column) -> Column:
     a, b = F.length(normalise(want)), F.length(normalise(heard))
     return (a > 0) & (b > F.greatest(a * 3, a + 12))

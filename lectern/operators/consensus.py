@@ -6,6 +6,7 @@ boolean column, so that callers choose the rule.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -97,3 +98,45 @@ def group_agreement(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
     return judged.select(
         "key.*", F.when(n < 2, 0.0).otherwise(F.col("pairs") / F.greatest(n * (n - 1) / 2, F.lit(1))).alias("agreement"), F.when(n < 2, 0).otherwise(-F.col("top.at")).cast("int").alias("medoid")
     )
+
+
+def close_pairs(rows: DataFrame, keys: list[str], value: str, bar: float) -> DataFrame:
+    """keys, a, b, similarity: the ordered pairs of different values of a group that are at least `bar` alike.
+
+    What two strings can share is bounded natively before Python sees a pair. Values lie in bins by the
+    logarithm of their length, so that a partner is in the same or a neighbouring bin; bins are dealt into
+    blocks of about `BLOCK` values that have about the same letters; a pair of blocks is dropped if the
+    greatest counts of their letters can't reach the bar, and of the others each pair of values that
+    can't. No two strings at the bar are lost. Null values count as empty; one row for each pair, however
+    often its values stand there.
+    """
+    if not 0 < bar <= 1:
+        raise ValueError("bar must lie above 0, and at most at 1")
+    # 2 * shorter / (shorter + longer) >= bar, so that longer / shorter <= widest.
+    widest = (2 - bar) / bar
+    step = math.log(max(widest, 1.01))
+    spark = rows.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    kept = rows.select(F.struct(*keys).alias("key"), F.coalesce(F.col(value), F.lit("")).alias("v")).distinct()
+    size = F.length("v")
+    # Empty strings are like no others.
+    kept = kept.where(size > 0).select("key", "v", size.alias("size"), match.letter_counts(F.col("v")).alias("letters"), F.floor(F.log(size.cast("double")) / step).cast("int").alias("bin"))
+    numbers = kept.groupBy("key", "bin").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    # Values of the same different letters come into the same block, while that isn't full by far.
+    alike = F.xxhash64(F.array_sort(F.map_keys("letters")))
+    dealt = kept.join(numbers, ["key", "bin"]).withColumn("block", F.pmod(F.when(F.col("blocks") > 1, alike + F.pmod(F.xxhash64("v"), F.lit(2))).otherwise(alike), F.col("blocks")).cast("int")).drop("blocks")
+    place = ["key", "bin", "block"]
+    most = dealt.select(*place, "size", F.explode("letters").alias("c", "k")).groupBy(*place, "c").agg(F.max("k").alias("k"), F.min("size").alias("least"))
+    blocks = most.groupBy(*place).agg(F.map_from_entries(F.collect_list(F.struct("c", "k"))).alias("letters"), F.min("least").alias("least"))
+    as_side = lambda df, side: df.select("key", *[F.col(c).alias(f"{c}_{side}") for c in df.columns if c != "key"])
+    near = blocks.withColumn("near", F.explode(F.array(*[F.col("bin") + d for d in (-1, 0, 1)])))
+    left, right = as_side(near, "a"), as_side(blocks, "b")
+    reach = lambda: match.ratio_bound(match.shared_letters(F.col("letters_a"), F.col("letters_b")).cast("double"), F.col("size_a") + F.col("size_b")) >= bar - 1e-9
+    met = left.join(right, (left["key"] == right["key"]) & (left["near_a"] == right["bin_b"])).drop(right["key"])
+    met = met.withColumnsRenamed({"least_a": "size_a", "least_b": "size_b"}).where(reach()).select("key", "bin_a", "block_a", "bin_b", "block_b")
+    mine, others = as_side(dealt, "a"), as_side(dealt, "b")
+    halves = mine.join(met, ["key", "bin_a", "block_a"]).repartition(tasks, "key", "bin_a", "block_a", "bin_b", "block_b")
+    theirs = others.join(met, ["key", "bin_b", "block_b"]).repartition(tasks, "key", "bin_a", "block_a", "bin_b", "block_b")
+    pairs = halves.join(theirs, ["key", "bin_a", "block_a", "bin_b", "block_b"]).where("v_a <> v_b").where(reach())
+    told = pairs.select("key", F.col("v_a").alias("a"), F.col("v_b").alias("b"), match.block_ratio(F.col("v_a"), F.col("v_b")).alias("similarity"))
+    return told.where(F.col("similarity") >= bar).select("key.*", "a", "b", "similarity")

@@ -318,6 +318,17 @@ def sound_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.groupBy("p_brand", "p_type").agg(of("l", "agreement").alias("letters"), of("l", "medoid").alias("medoid"), of("s", "agreement").alias("sound"))
 
 
+@query()
+def close_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many other names of its brand and type each part name is like, and the one it is most like. Rows only."""
+    part = table(spark, sf_dir, "part").select("p_brand", "p_type", text.normalise(F.col("p_name")).alias("name")).distinct()
+    close = consensus.close_pairs(part, ["p_brand", "p_type"], "name", match.ACCEPT)
+    # Of equally close names the first by name.
+    best = F.min(F.struct((-F.col("similarity")).alias("s"), "b"))
+    found = close.groupBy("p_brand", "p_type", F.col("a").alias("name")).agg(F.count(F.lit(1)).alias("n_close"), best.alias("best"))
+    return part.join(found, ["p_brand", "p_type", "name"], "left").select("p_brand", "p_type", "name", F.coalesce("n_close", F.lit(0)).alias("n_close"), F.col("best.b").alias("closest"), (-F.col("best.s")).alias("similarity"))
+
+
 @query(
     """select p_partkey, case when length(s) >= 4 and upper(s) = s and lower(s) <> s and regexp_matches(s, '[AEIOUY]') and not regexp_matches(s, '^(\\w-)+\\w$') then substr(s, 1, 1) || lower(substr(s, 2)) else s end as spoken
 from (select p_partkey, case when p_partkey % 2 = 0 then upper(p_name) else p_name end as s from part)"""

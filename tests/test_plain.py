@@ -172,3 +172,37 @@ def test_groups_agree_as_all_their_pairs_do(spark):
         letters, medoid = agreement(sorted(norm(x) for x in names))
         by_sound, _ = agreement(sorted(sound(x) for x in names))
         assert (r["letters"], r["medoid"], r["sound"]) == (pytest.approx(letters), medoid, pytest.approx(by_sound)), names
+
+
+def test_close_names_are_those_of_all_pairs(spark):
+    """Every pair of a brand and type in plain Python."""
+    groups = defaultdict(set)
+    for r in spark.read.parquet(f"{DATA}/part.parquet").select("p_brand", "p_type", "p_name").collect():
+        groups[r["p_brand"], r["p_type"]].add(norm(r["p_name"]))
+    want = {}
+    for key, names in groups.items():
+        for a in names:
+            close = sorted((-ratio(a, b), b) for b in names if a != b and ratio(a, b) >= 0.8)
+            want[(*key, a)] = (len(close), close[0][1] if close else None, -close[0][0] if close else None)
+    got = {(r["p_brand"], r["p_type"], r["name"]): (r["n_close"], r["closest"], r["similarity"]) for r in QUERIES["close_names"](spark, DATA).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("bar", [0.3, 0.6, 0.8, 1.0])
+def test_no_close_pair_is_lost_to_bounds_and_blocks(spark, monkeypatch, bar):
+    """One large group, small blocks, strings of all lengths with changes; all pairs in plain Python."""
+    import random
+
+    from lectern.operators import consensus
+
+    monkeypatch.setattr(consensus, "BLOCK", 5)
+    r = random.Random(3)
+    made = ["".join(r.choices("abcdäöß ", k=r.choice((0, 1, 2, 5, 9, 14, 30)))) for _ in range(60)]
+    made += ["".join(c for c in v if r.random() > 0.15) + r.choice(("", "x", "ab")) for v in made] + [None, "", "a"]
+    df = spark.createDataFrame([(k, v) for k in (1, None) for v in made], "k int, v string")
+    got = consensus.close_pairs(df, ["k"], "v", bar).collect()
+    names = {v or "" for v in made}
+    want = {(a, b): ratio(a, b) for a in names for b in names if a != b and ratio(a, b) >= bar}
+    for k in (1, None):
+        own = [x for x in got if x["k"] == k]
+        assert len(own) == len(want) and {(x["a"], x["b"]): x["similarity"] for x in own} == want
