@@ -3,7 +3,7 @@
 A *configuration* is a multiset of piece lengths whose sum is at most the sequence length. The
 covering program "use configurations so that every length is covered as often as it occurs, with as
 few as possible" is solved over the whole length histogram by multiplicative weights. Lengths stand
-in `CLASSES` classes of about equally many tokens, a class counting as its greatest length. Each
+in `CLASSES` classes of about equally many tokens, a class counting as the mean of its pieces. Each
 round prices the classes, an unbounded-knapsack dynamic program finds the best configuration under
 the prices, and the prices of what it covers decay. Any prices bound the program from below (what
 all pieces are worth, over what the best configuration is worth); the rounds end when the cover is
@@ -195,8 +195,8 @@ def best_configuration(prices: np.ndarray, lengths: np.ndarray, limit: int) -> d
 def classes_of(lengths: np.ndarray, counts: np.ndarray, most: int = CLASSES) -> np.ndarray:
     """Class number of each length: runs of neighbouring lengths that hold about equally many tokens.
 
-    A class stands for its greatest length, so that a configuration of classes holds whatever lengths
-    of those classes are put into it.
+    A class counts as the mean of its pieces, so that a configuration of classes may lack room for its
+    longer ones, or have some left beside its shorter ones: what is put into it is measured piece by piece.
     """
     mass = np.cumsum(lengths * counts)
     cut = np.minimum((mass - 1) * most // mass[-1], most - 1)

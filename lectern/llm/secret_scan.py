@@ -15,7 +15,9 @@ columns other than those named are ignored.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import math
 import re
 from collections import Counter
@@ -37,6 +39,8 @@ MIN_ENTROPY = 3.5
 #: From so many repositories or owners on, a value is a copied example.
 EXAMPLE_REPOS = 3
 EXAMPLE_OWNERS = 20
+#: Values that are more than this part of all spans meet their spans by broadcast; there are at most so many.
+HOT = 1000
 
 
 def entropy(value: str) -> float:
@@ -58,7 +62,14 @@ def spans_of(text: str) -> list[tuple[int, int, int, str]]:
         found += [(1, m.start(), m.end(), m[0]) for m in ACCESS.finditer(text)]
     found += [(2, m.start(), m.end(), m[0]) for m in HEX.finditer(text)]
     base = sorted((s, e) for _, s, e, _ in found)
-    found += [(3, m.start(), m.end(), m[0]) for m in MIXED.finditer(text) if live_looking(m[0]) and not any(s < m.end() and m.start() < e for s, e in base)]
+    starts, furthest = [s for s, _ in base], list(itertools.accumulate((e for _, e in base), max))
+
+    def free(m: re.Match) -> bool:
+        """Of the base spans that begin before the match ends, none ends after it begins."""
+        before = bisect.bisect_left(starts, m.end())
+        return not before or furthest[before - 1] <= m.start()
+
+    found += [(3, m.start(), m.end(), m[0]) for m in MIXED.finditer(text) if free(m) and live_looking(m[0])]
     return sorted(found, key=lambda x: (x[1], x[0]))
 
 
@@ -90,17 +101,20 @@ def scan(docs: DataFrame, *, id_col: str, text_col: str, repo_col: str, owner_co
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """value, n_repos, n_owners: how widely each hashed value is spread."""
+    """value, n_repos, n_owners, n: how widely each hashed value is spread, and how often it stands anywhere."""
     each = found.select("repo", "owner", F.explode("spans").alias("span")).select("repo", "owner", F.col("span.value").alias("value"))
-    return each.groupBy("value").agg(F.count_distinct("repo").alias("n_repos"), F.count_distinct("owner").alias("n_owners"))
+    return each.groupBy("value").agg(F.count_distinct("repo").alias("n_repos"), F.count_distinct("owner").alias("n_owners"), F.count(F.lit(1)).alias("n"))
 
 
 def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "source", owner_col: str = "doc_id", example_repos: int = EXAMPLE_REPOS, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example: a row per document."""
     found = staged(scan(docs, id_col=id_col, text_col=text_col, repo_col=repo_col, owner_col=owner_col), "secret_spans")
-    spread = ownership(found).select("value", ((F.col("n_repos") >= example_repos) | (F.col("n_owners") >= example_owners)).alias("example"))
-    each = found.select("row", F.explode("spans").alias("span"))
-    told = each.join(spread, each["span.value"] == spread["value"]).where("span.kind < 3 or not example")
+    spread = staged(ownership(found).select("value", "n", ((F.col("n_repos") >= example_repos) | (F.col("n_owners") >= example_owners)).alias("example")), "secret_values")
+    each = found.select("row", F.explode("spans").alias("span")).select("row", "span", "span.value")
+    # At most a thousand values can each be a thousandth of all spans; those are broadcast, so that none is a hot key.
+    total = spread.agg(F.sum("n")).first()[0] or 0
+    hot, cold = F.broadcast(spread.where(F.col("n") * HOT >= total).drop("n")), spread.where(F.col("n") * HOT < total).drop("n")
+    told = each.join(hot, "value").union(each.join(hot, "value", "left_anti").join(cold, "value")).where("span.kind < 3 or not example")
     per_row = told.groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct("span.start", "span.kind", "span.end"))).alias("told"),
         F.count_if(~F.col("example")).alias("n_live"),

@@ -1,5 +1,6 @@
 """Operators on small tables: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
+import math
 import os
 import random
 import struct
@@ -149,6 +150,24 @@ def test_sharding(docs, corpus):
     assert all(again[d]["shard"] == r["grown_shard"] for d, r in got.items())
 
 
+@pytest.mark.parametrize("weights", [[1.0] * 40, [0.5, 2.0, 1.0, 7.0]])
+def test_shards_are_those_of_the_greatest_score(spark, docs, corpus, weights):
+    """Every record against every shard, one score at a time in plain Python; only the hash is Spark's."""
+    ids = [r[0] for r in corpus]
+    pairs = spark.createDataFrame([(i, "" if i is None else f"k{i}", s) for i in ids for s in range(len(weights) + 1)], "doc_id long, key string, shard int")
+    hashes = {(r[0], r[1]): r[2] for r in pairs.select("doc_id", "shard", F.xxhash64("key", "shard")).collect()}
+    got = by_id(sharding.shard(docs, weights=weights, new_weight=1.5))
+
+    def score(doc, shard, weight):
+        return -weight / math.log(((hashes[doc, shard] & (1 << 53) - 1) + 0.5) / float(1 << 53))
+
+    for doc in ids:
+        own = [score(doc, s, w) for s, w in enumerate(weights)]
+        best = max(range(len(weights)), key=lambda s: (own[s], s))
+        grown = len(weights) if score(doc, len(weights), 1.5) > own[best] else best
+        assert (got[doc]["shard"], got[doc]["grown_shard"]) == (best, grown)
+
+
 def test_weights(spark):
     many = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
     n = {r["shard"]: r["count"] for r in sharding.shard(many, shards=2, weights=[1.0, 3.0]).groupBy("shard").count().collect()}
@@ -172,6 +191,55 @@ def test_copied_examples_add_no_span(spark):
     assert got[0]["spans"] == "" and got[9]["spans"].startswith("entropy:5:")
 
 
+def secrets_brute(rows):
+    """spans, n_live, n_example of every (id, text, source): tokens cut and judged one by one, values counted in dictionaries."""
+    values, each = {}, {}
+    chars = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")
+    for doc, text, source in rows:
+        text = text or ""
+        _, _, _, _, base = brute.secrets(text)
+        spans = [(int(s), ("assign", "access", "hex").index(k), int(e)) for k, s, e in (x.split(":") for x in base.split(",") if x)]
+        found = [(s, k, e, brute.ASSIGN.match(text, s)[2] if k == 0 else text[s:e]) for s, k, e in spans]
+        at = 0
+        while at < len(text):
+            end = at
+            while end < len(text) and text[end] in chars:
+                end += 1
+            token = text[at:end]
+            shares = [token.count(c) / len(token) for c in set(token)]
+            if len(token) >= 20 and any(c.isdigit() for c in token) and token.lower() != token != token.upper() and -sum(p * math.log2(p) for p in shares) >= 3.5:
+                if not any(s < end and at < e for s, _, e in spans):
+                    found.append((at, 3, end, token))
+            at = max(end, at + 1)
+        each[doc] = sorted(found)
+        for *_, value in found:
+            repos, owners = values.setdefault(value, (set(), set()))
+            repos.add(source or ""), owners.add(doc)
+    out = {}
+    for doc, found in each.items():
+        example = {v: len(values[v][0]) >= 3 or len(values[v][1]) >= 20 for *_, v in found}
+        told = [x for x in found if x[1] < 3 or not example[x[3]]]
+        out[doc] = (",".join(f"{secret_scan.KINDS[k]}:{s}:{e}" for s, k, e, _ in told), sum(not example[x[3]] for x in told), sum(example[x[3]] for x in told))
+    return out
+
+
+@pytest.mark.parametrize("hot", [1, 3, 1000])
+def test_added_spans_are_those_of_a_plain_count(spark, monkeypatch, hot):
+    """Tokens that few or many hold, beside and inside base spans, one of them in a third of all rows; broadcast or shuffled."""
+    monkeypatch.setattr(secret_scan, "HOT", hot)
+    r = random.Random(5)
+    token = lambda: "".join(r.choices("abcdefXYZ0123456789+/_=-", k=r.randint(15, 40)))
+    shared, rows = [token() for _ in range(30)], []
+    for i in range(150):
+        parts = [r.choice(("x", "password=" + token(), "AKIA" + "Q7" * 10, "0a" * 14, token(), shared[int(30 * r.random() ** 3)])) for _ in range(r.randint(0, 12))]
+        rows.append((i, " ".join(parts + (["Zz9" * 8 + "abcdEFGH123"] if i % 3 == 0 else [])), f"s{r.randint(0, 6)}" if i % 9 else None))
+    rows += [(200, None, "s1"), (201, "", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {x["doc_id"]: (x["spans"], x["n_live"], x["n_example"]) for x in secret_scan.find_secrets(df).collect()}
+    assert got == secrets_brute(rows)
+    assert any("entropy" in v[0] for v in got.values()) and sum(v[2] for v in got.values()) > 0
+
+
 def test_quality(docs, corpus):
     got = by_id(quality.judge(docs))
     for doc, text, *_ in corpus:
