@@ -6,11 +6,16 @@ template words are hashed on both sides and joined; windows with fewer than `MIN
 are hashed with their values, so that only exact copies match. A document that holds at least `share`
 of an item's telling windows, or of all its windows, is a candidate. It is confirmed when its slots are
 consistent with the item's: each value that fills a placeholder of the item corresponds to one value in
-the document (a share of `consistency` of the slot pairs agrees with the most frequent counterpart).
+the document (a share of `consistency` of the slot pairs agrees with the most frequent counterpart), and
+different values don't become one (that share and the one seen from the document's values, on average).
 That is judged for each occurrence that holds the share of the item's places (windows at one distance
 from the item's, or at distances at most `GAP` apart), and for all places together; one is enough, and
 `agreement` is that of the best.
 
+Items that differ in nothing but the values of their slots, and whose slots are equal to each other in the
+same places, are one class; a document has one hit for a class, with all of its items whose own values stand in
+one occurrence (`verbatim`). Items whose windows are told by their values are in classes of their own.
+
 Items with fewer template words than `width` are one window of their own width; with fewer than
 three plain words they can't be told from chance and match nothing.
 
@@ -123,23 +128,49 @@ def item_windows(items: DataFrame, *, width: int = WIDTH) -> DataFrame:
     `total` and `places` are of telling windows, `total_all` and `places_all` of all.
     """
     words = items.where("text is not null").select("item", both_words(F.col("text")).alias("b")).select("item", "b.words", "b.raw")
+    slots = F.filter("raw", is_slot)
+    words = words.withColumn("shape", F.xxhash64("words", F.transform(slots, lambda v: F.array_position(slots, v))))
     sized = words.withColumn("width", F.least(F.lit(width), F.size("words"))).where("width > 0")
-    at = sized.select("item", "words", word_hashes(F.col("words")).alias("hashes"), "raw", "width", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("width"))).alias("at"))
+    at = sized.select("item", "shape", "words", word_hashes(F.col("words")).alias("hashes"), "raw", "width", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("width"))).alias("at"))
     own = F.slice("words", F.col("at") + 1, F.col("width"))
     n_plain = F.size(F.filter(own, lambda w: ~is_slot(w)))
     values = F.slice("raw", F.col("at") + 1, F.col("width"))
     told = at.withColumn("telling", n_plain >= least_plain(F.col("width"))).where(F.col("telling") | (F.col("width") == width) | (n_plain >= 3))
     window = F.when(F.col("telling"), F.xxhash64(F.slice("hashes", F.col("at") + 1, F.col("width")))).otherwise(F.xxhash64(F.transform(values, lambda w: F.xxhash64(F.lower(w)))))
-    found = told.select("item", "at", "width", window.alias("window"), "telling", F.filter(values, is_slot).alias("slots"))
+    found = told.select("item", "shape", "at", "width", window.alias("window"), "telling", F.filter(values, is_slot).alias("slots"), placed_slots(values, F.col("at")).alias("placed"))
     total = found.groupBy("item", "window", "telling").agg(F.count_distinct("at").alias("k")).groupBy("item").agg(
         F.count_if("telling").alias("total"), F.count(F.lit(1)).alias("total_all"), F.sum(F.when(F.col("telling"), F.col("k")).otherwise(0)).alias("places"), F.sum("k").alias("places_all")
     )
     return found.join(total, "item")
 
 
+def placed_slots(values: Column, at: Column) -> Column:
+    """struct(place, value) of each slot of a window that stands at `at` in the item."""
+    return F.filter(F.transform(values, lambda v, i: F.struct((at + i).alias("place"), F.lower(v).alias("value"))), lambda x: is_slot(x["value"]))
+
+
+def template_classes(windows: DataFrame) -> DataFrame:
+    """item, class_id, values of the items of `item_windows`: the least item of its template, and a hash of its own slots' values."""
+    # The slots as arrays, so that items without any stay.
+    each = windows.groupBy("item").agg(
+        F.sort_array(F.collect_set("shape")).alias("shapes"), F.sort_array(F.collect_set(F.when(~F.col("telling"), F.col("window")))).alias("by_value"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_set("placed")))).alias("placed"),
+    )
+    kind = each.select("item", F.xxhash64(F.col("shapes"), F.lit(0), F.col("by_value")).alias("kind"), F.xxhash64("placed").alias("values"))
+    least = kind.groupBy("kind").agg(F.min("item").alias("class_id"))
+    return kind.join(least, "kind").select("item", "class_id", "values")
+
+
 def hits(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, share: float = SHARE, consistency: float = CONSISTENCY) -> DataFrame:
-    """doc_id, item_id, matched, total, agreement: a row for each document and item that it holds."""
-    wanted = staged(item_windows(picked(items, item=item_col, text=item_text_col), width=width), "item_windows")
+    """doc_id, tie, item_id, class_id, verbatim, matched, total, agreement: a row for each document and template that it holds.
+
+    `verbatim` lists the items of the class whose own values the document has (empty where it has others only),
+    `item_id` is the least of them, or else that of the class. Items of a class: `template_classes`.
+    """
+    every = staged(item_windows(picked(items, item=item_col, text=item_text_col), width=width), "all_item_windows")
+    classes = staged(template_classes(every), "item_classes")
+    first = classes.where(F.col("item").eqNullSafe(F.col("class_id"))).select(F.col("item").alias("first"))
+    wanted = staged(every.join(first, F.col("item").eqNullSafe(F.col("first")), "left_semi").drop("shape", "placed"), "item_windows")
     widths = sorted(r[0] for r in wanted.select("width").distinct().collect())  # at most `width` numbers
     known = wanted.select("window").distinct()
     if known.count() <= BROADCAST_ROWS:
@@ -178,15 +209,27 @@ def hits(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col:
         rows = rows.alias("r").join(F.broadcast(ids).alias("i"), same("r", "i"), "left_semi")
     valued = rows.alias("r").join(slotted.alias("p"), same("r", "p")).select("r.doc_id", "r.tie", raw_words(F.col("r.text")).alias("raw"), "p.places")
     one = valued.select("doc_id", "tie", "raw", F.explode("places").alias("p")).select("doc_id", "tie", "raw", "p.*")
-    pairs = one.select(*own, "at", "pos", "chain", F.explode(F.arrays_zip(c("slots").alias("theirs"), F.filter(F.slice("raw", c("pos") + 1, c("width")), is_slot).alias("ours"))).alias("s"))
+    here = F.slice("raw", c("pos") + 1, c("width"))
+    pairs = one.select(*own, "at", "pos", "chain", F.explode(F.arrays_zip(c("slots").alias("theirs"), F.filter(here, is_slot).alias("ours"), placed_slots(here, c("at")).alias("placed"))).alias("s"))
+    pairs = staged(pairs, "slot_pairs")
     counted = pairs.select(*own, F.explode(F.array(*levels, level(2, F.lit(0)))).alias("o"), "s").groupBy(*own, "o.level", "o.key", c("s.theirs").alias("theirs"), c("s.ours").alias("ours")).agg(F.count(F.lit(1)).alias("n"))
-    top = counted.groupBy(*own, "level", "key", "theirs").agg(F.max("n").alias("best"), F.sum("n").alias("n"))
-    agreed = top.groupBy(*own, "level", "key").agg((F.sum("best") / F.sum("n")).alias("agreement"))
+    # From the item's values to the document's, and back.
+    sides = counted.select(*own, "level", "key", "n", F.explode(F.array(F.struct(F.lit(True).alias("forth"), c("theirs").alias("value")), F.struct(F.lit(False).alias("forth"), c("ours").alias("value")))).alias("side"))
+    top = sides.groupBy(*own, "level", "key", "side").agg(F.max("n").alias("best"), F.sum("n").alias("n"))
+    shared = lambda forth: F.sum(F.when(c("side.forth") == forth, c("best"))) / F.sum(F.when(c("side.forth") == forth, c("n")))
+    agreed = top.groupBy(*own, "level", "key").agg(F.least(shared(True), (shared(True) + shared(False)) / 2).alias("agreement"))
+    # Items of the class all of whose slots stand in one occurrence with their own values.
+    read = pairs.groupBy(*own, c("pos") - c("at")).agg(F.xxhash64(F.sort_array(F.collect_set("s.placed"))).alias("values")).select(*own, "values").distinct()
+    members = classes.select(c("item").alias("member"), "class_id", "values")
+    copied = read.alias("r").join(members.alias("m"), (c("r.values") == c("m.values")) & c("r.item").eqNullSafe(c("m.class_id")))
+    copied = copied.groupBy("r.doc_id", "r.tie", "r.item").agg(F.sort_array(F.collect_set("member")).alias("verbatim"))
     at_one = alike("j", "a") & (c("j.level") == c("a.level")) & (c("j.key") == c("a.key"))
     best = judged.alias("j").join(agreed.alias("a"), at_one, "left").groupBy("j.doc_id", "j.tie", "j.item").agg(F.max(F.coalesce("a.agreement", F.lit(1.0))).alias("agreement")).where(c("agreement") >= consistency)
     by_template = (c("h.total") > 0) & (c("h.told") >= share * c("h.total"))
     matched, total = F.when(by_template, c("h.told")).otherwise(c("h.every")), F.when(by_template, c("h.total")).otherwise(c("h.total_all"))
-    return held.alias("h").join(best.alias("b"), alike("h", "b")).select("h.doc_id", "h.tie", c("h.item").alias("item_id"), matched.alias("matched"), total.alias("total"), "b.agreement")
+    found = held.alias("h").join(best.alias("b"), alike("h", "b")).join(copied.alias("v"), alike("h", "v"), "left")
+    verbatim = F.coalesce("v.verbatim", F.array().cast(copied.schema["verbatim"].dataType))
+    return found.select("h.doc_id", "h.tie", F.coalesce(F.get(verbatim, F.lit(0)), "h.item").alias("item_id"), c("h.item").alias("class_id"), verbatim.alias("verbatim"), matched.alias("matched"), total.alias("total"), "b.agreement")
 
 
 def without_hits(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

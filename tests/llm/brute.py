@@ -199,7 +199,10 @@ def template(text, units, number, unit, name):
 
 
 def decontamination(docs, items, units, marks, width=8, share=0.5, consistency=0.7, gap=3):
-    """{(doc_id, item_id): (matched, total, agreement)} by comparing the windows themselves, one document and item at a time."""
+    """{(doc_id, class_id): (matched, total, agreement, verbatim)} by comparing the windows themselves, one document and item at a time.
+
+    Every item is compared; of those of a class the least is told, as they have the same windows and relations.
+    """
     slot = lambda w: w[0] in marks
 
     def windows(text, w):
@@ -210,12 +213,16 @@ def decontamination(docs, items, units, marks, width=8, share=0.5, consistency=0
             plain = sum(not slot(x) for x in own)
             yield at, (True, tuple(own)) if plain >= need else (False, tuple(v.lower() for v in values)), plain, [v for v in values if slot(v)]
 
-    found = {}
-    for item_id, item in items:
+    found, classes, copies = {}, {}, defaultdict(list)
+    for item_id, item in sorted(items):
         w = min(width, len(template(item or "", units, *marks)[0]))
         theirs = [x for x in windows(item, w) if x[1][0] or w == width or x[2] >= 3] if w else []
         if not theirs:
             continue
+        words, raw = template(item, units, *marks)
+        values = [v for v in raw if slot(v)]
+        shape = (tuple(words), tuple(values.index(v) for v in values), frozenset(key for _, key, _, _ in theirs if not key[0]))
+        class_id = classes.setdefault(shape, item_id)
         kinds = {key for _, key, _, _ in theirs}
         total, total_all = sum(k[0] for k in kinds), len(kinds)
         places, places_all = sum(key[0] for _, key, _, _ in theirs), len(theirs)
@@ -229,6 +236,12 @@ def decontamination(docs, items, units, marks, width=8, share=0.5, consistency=0
             told, every = sum(k[0] for k in held), len(held)
             if not met or not enough(told, total, every, total_all):
                 continue
+            covered = {(at + i, x.lower()) for at, *_ in theirs for i, x in enumerate(raw[at : at + w]) if slot(x)}
+            ours_raw = template(text, units, *marks)[1]
+            for d in {m[1] - m[0] for m in met}:
+                if covered and covered == {(m[0] + i, x.lower()) for m in met if m[1] - m[0] == d for i, x in enumerate(ours_raw[m[1] : m[1] + w]) if slot(x)}:
+                    copies[doc_id, class_id].append(item_id)
+                    break
             met.sort(key=lambda m: m[1] - m[0])
             groups, chain, before = defaultdict(list), 0, None
             for m in met:
@@ -240,10 +253,12 @@ def decontamination(docs, items, units, marks, width=8, share=0.5, consistency=0
             best = []
             for ms in [*(ms for ms in groups.values() if enough(len({m[0] for m in ms if m[2]}), places, len({m[0] for m in ms}), places_all)), met]:
                 pairs = Counter((a, b) for m in ms for a, b in zip(m[3], m[4]))
-                top = Counter()
-                for (a, _), n in pairs.items():
-                    top[a] = max(top[a], n)
-                best.append(sum(top.values()) / sum(pairs.values()) if pairs else 1.0)
-            if max(best) >= consistency:
+                forth, back = Counter(), Counter()
+                for (a, b), n in pairs.items():
+                    forth[a], back[b] = max(forth[a], n), max(back[b], n)
+                n = max(1, sum(pairs.values()))
+                there, again = sum(forth.values()) / n, sum(back.values()) / n
+                best.append(min(there, (there + again) / 2) if pairs else 1.0)
+            if max(best) >= consistency and item_id == class_id:
                 found[doc_id, item_id] = (told, total, max(best)) if total and told >= share * total else (every, total_all, max(best))
-    return found
+    return {k: (*v, copies[k]) for k, v in found.items()}

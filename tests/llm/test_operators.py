@@ -441,10 +441,22 @@ def test_several_occurrences_in_one_document(spark):
     third = item.replace("Anna", "Emil").replace("Boris", "Fred").replace("12 kg", "7 kg").replace("3 km", "8 km")
     docs = spark.createDataFrame([(1, ". ".join([item, other, third]), "", "", 0), (2, f"{item}. {other}", "", "", 0), (3, f"{other} {third}", "", "", 0)], SCHEMA)
     items = spark.createDataFrame([(10, item), (11, other)], "item_id long, text string")
-    assert sorted((x["doc_id"], x["item_id"]) for x in decontamination.hits(docs, items).collect()) == [(d, i) for d in (1, 2, 3) for i in (10, 11)]
+    got = sorted((x["doc_id"], x["item_id"], x["class_id"], x["verbatim"]) for x in decontamination.hits(docs, items).collect())
+    assert got == [(1, 10, 10, [10, 11]), (2, 10, 10, [10, 11]), (3, 11, 10, [11])]
     assert decontamination.without_hits(docs, items).count() == 0
 
 
+def test_three_hundred_items_of_one_template(spark):
+    """One hit for the template: a copy names its item, other numbers none; values that become one are no hit; other relations are another class."""
+    item = lambda a, b, c, d: f"a farmer who keeps {a} hens and {b} ducks and sells {c} eggs and {d} loaves every morning at the market"
+    items = [(k, item(1000 + k, 3000 + k, 5000 + k, 7000 + k)) for k in range(300)] + [(300, item(77, 77, 78, 79))]
+    rows = [(1, item(9, 8, 7, 6)), (2, item(1042, 3042, 5042, 7042)), (3, item(6, 6, 6, 6)), (4, item(5, 5, 4, 3)), (5, item(1042, 3043, 5042, 7042)), (6, item(77, 77, 78, 79))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((x["doc_id"], x["class_id"], x["item_id"], x["verbatim"]) for x in decontamination.hits(docs, spark.createDataFrame(items, "item_id long, text string")).collect())
+    assert [x for x in got if x[1] == 0] == [(1, 0, 0, []), (2, 0, 42, [42]), (4, 0, 0, []), (5, 0, 0, []), (6, 0, 0, [])]
+    assert [x for x in got if x[1] == 300 and x[0] in (4, 6)] == [(4, 300, 300, []), (6, 300, 300, [300])] and len(got) == 11
+
+
 def test_copies_of_items_full_of_slots(spark):
     table = "12 kg 15 kg 18 kg 21 kg 33 kg 36 kg 39 kg 41 kg total 215 kg"
     sums = "17 plus 25 is 42 and 18 plus 36 is 54 and 11 plus 19 is 30"
@@ -611,6 +623,7 @@ def test_odd_tables(spark, odd, empty):
 def test_decontamination_is_that_of_plain_windows(spark):
     read = lambda name: spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
     items = [(r["item_id"], r["text"]) for r in read("benchmark").collect()]
+    items += [(9000 + k, f"The coach leaves Bern at {k}:15 with {40 + k} people and arrives after {k + 2} hours in Rome with 12 of them") for k in range(10, 14)]
     items += [(9001, "The train leaves Bern at 9:15 with 40 people and arrives after 3 hours in Rome with 12 of them"), (9002, "3 kg 4 kg 5 kg 6 kg 7 kg"), (9003, "so few words 7"), (9004, "")]
     docs = [(r["doc_id"], r["text"]) for r in read("documents").collect()]
     r, n = random.Random(5), 10_000
@@ -626,6 +639,6 @@ def test_decontamination_is_that_of_plain_windows(spark):
     marks = (decontamination.NUMBER, decontamination.UNIT, decontamination.NAME)
     want = brute.decontamination(docs, items, decontamination.UNITS, marks)
     hits = decontamination.hits(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
-    got = {(x["doc_id"], x["item_id"]): (x["matched"], x["total"], x["agreement"]) for x in hits.collect()}
+    got = {(x["doc_id"], x["class_id"]): (x["matched"], x["total"], x["agreement"], x["verbatim"]) for x in hits.collect()}
     assert set(got) == set(want) and len(want) > len(items)
-    assert all(got[k][:2] == want[k][:2] and abs(got[k][2] - want[k][2]) < 1e-9 for k in want)
+    assert all(got[k][:2] == want[k][:2] and abs(got[k][2] - want[k][2]) < 1e-9 and got[k][3] == want[k][3] for k in want)
