@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import small
 
-from .planner import running, with_row_number
+from .planner import split_points, with_bucket, with_row_number
 
 
 #: Ranges that are broadcast at most (some 100 bytes each, and every row is compared with each); more of them are met in bins.
@@ -172,13 +172,28 @@ def without_points(ranges: DataFrame, points: DataFrame) -> DataFrame:
 
 
 def merged(ranges: DataFrame) -> DataFrame:
-    """low, high: ranges that overlap or touch joined to one; empty ranges go. Runs of any length, over any number of tasks."""
+    """low, high: ranges that overlap or touch joined to one; empty ranges go. Runs of any length, over any number of tasks.
+
+    Ranges join within buckets of neighbours first. Of these runs, a bucket's first ones may go on from
+    the buckets before it: they belong to the last run that began there. The rest begin one.
+    """
     order = ("low", "high")
-    own = ranges.where("low <= high").select(F.col("low").cast("long").alias("low"), F.col("high").cast("long").alias("high")).distinct()
-    reached = running(own, order, "_top", F.max, F.col("high"), before=True)
+    own = ranges.where("low <= high").select(F.col("low").cast("long").alias("low"), F.col("high").cast("long").alias("high"))
+    bucketed = with_bucket(own, split_points(own, order), order)
+    w = W.partitionBy("_bucket").orderBy(*order)
+    topped = bucketed.withColumn("_top", F.max("high").over(w.rowsBetween(W.unboundedPreceding, -1)))
     begins = F.when(F.col("low") <= F.col("_top") + 1, 0).otherwise(1)
-    runs = running(reached.withColumn("_new", begins), order, "_run", F.sum, F.col("_new"))
-    return runs.groupBy("_run").agg(F.min("low").alias("low"), F.max("high").alias("high")).drop("_run")
+    local = topped.withColumn("_run", F.sum(begins).over(w.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    runs = local.groupBy("_bucket", "_run").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    earlier = W.orderBy("_b").rowsBetween(W.unboundedPreceding, -1)  # a row per bucket
+    tops = bucketed.groupBy(F.col("_bucket").alias("_b")).agg(F.max("high").alias("_high"))
+    carried = tops.select("_b", F.max("_high").over(earlier).alias("_carried"))
+    met = runs.join(F.broadcast(carried), F.col("_bucket") == F.col("_b")).drop("_b")
+    placed = met.withColumn("_first", F.when(F.col("_carried").isNull() | (F.col("low") > F.col("_carried") + 1), F.col("low")))
+    lasts = placed.groupBy(F.col("_bucket").alias("_b")).agg(F.max("_first").alias("_own"))
+    before = lasts.select("_b", F.max("_own").over(earlier).alias("_before"))
+    whole = placed.join(F.broadcast(before), F.col("_bucket") == F.col("_b")).groupBy(F.coalesce("_first", "_before").alias("low"))
+    return whole.agg(F.max("high").alias("high"))
 
 
 def coverage(expansions: DataFrame, layout: DataFrame, counts: DataFrame) -> DataFrame:

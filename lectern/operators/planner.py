@@ -153,7 +153,7 @@ def with_row_number(rows: DataFrame, order: tuple[str, ...], *, by: tuple[str, .
     first. The rows must be the same whenever they are read: stage random ones first.
     """
     keys = (*by, *order)
-    bucketed = rows.withColumn("_bucket", bucket_of(split_points(rows, keys), keys))
+    bucketed = with_bucket(rows, split_points(rows, keys), keys)
     counts = bucketed.groupBy("_bucket", *by).agg(F.count(F.lit(1)).alias("_n"))
     # A row per bucket, and one more for each group that begins within one.
     earlier = W.partitionBy(*by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
@@ -171,7 +171,7 @@ def running(rows: DataFrame, order: tuple[str, ...], name: str, total: Callable[
 
     As for row numbers, buckets are summed up first, and what stands before a bucket is one row.
     """
-    bucketed = rows.withColumn("_bucket", bucket_of(split_points(rows, order), order)).withColumn("_value", value)
+    bucketed = with_bucket(rows, split_points(rows, order), order).withColumn("_value", value)
     sums = bucketed.groupBy(F.col("_bucket").alias("_b")).agg(total(F.col("_value")).alias("_sum"))
     earlier = W.orderBy("_b").rowsBetween(W.unboundedPreceding, -1)  # a row per bucket
     carried = sums.select("_b", total(F.col("_sum")).over(earlier).alias("_carried"))
@@ -205,17 +205,22 @@ def split_points(rows: DataFrame, keys: tuple[str, ...]) -> list[Column]:
     return [F.struct(*[F.lit(v).cast(f.dataType).alias(f"k{i}") for i, (v, f) in enumerate(zip(r, own.schema.fields))]) for r in picked]
 
 
-def bucket_of(bounds: list[Column], keys: tuple[str, ...]) -> Column:
-    """The number of bounds at or below the keys, by a tree of comparisons; not falling along the order, whatever the bounds."""
-    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)])
-
-    def among(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(key < bounds[middle], among(low, middle)).otherwise(among(middle + 1, high))
+def with_bucket(rows: DataFrame, bounds: list[Column], keys: tuple[str, ...]) -> DataFrame:
+    """With _bucket: the number of bounds at or below the keys; not falling along the order, whatever the bounds.
 
-    return among(0, len(bounds))
+    The bounds are one literal that is bisected, a projection a step: a comparison in the plan for each
+    of them makes code that no longer links from some hundreds on.
+    """
+    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)])
+    found = rows.withColumn("_bucket", F.lit(0))
+    if not bounds:
+        return found
+    found = found.withColumn("_bounds", F.array(*bounds))
+    at = F.col("_bucket")
+    for k in reversed(range(len(bounds).bit_length())):
+        # Null behind the last bound, where the step isn't taken.
+        found = found.withColumn("_bucket", F.when(F.get("_bounds", at + ((1 << k) - 1)) <= key, at + (1 << k)).otherwise(at))
+    return found.drop("_bounds")
 
 
 def new_words(passages: DataFrame, dictionary: DataFrame, *, order: str = "pos") -> DataFrame:

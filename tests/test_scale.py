@@ -110,6 +110,24 @@ def test_ranges_join_over_all_tasks(spark):
     assert packs.merged(apart.union(spark.createDataFrame([(0, 5 * (n - 1))], "low long, high long"))).collect() == [(0, 5 * (n - 1) + 1)]
 
 
+def test_many_buckets(spark, monkeypatch):
+    """As many split points as tables of 40,000,000 rows get."""
+    monkeypatch.setattr(planner, "BUCKET_ROWS", 250)
+    n = 200_000
+    place = (F.col("id") * 7_919) % n
+    placed = spark.range(0, n, 1, 4).select(place.alias("place"), F.format_string("%06d", place).alias("name"))
+    numbered = planner.with_row_number(placed, ("name",))
+    assert numbered.agg(F.count(F.lit(1)), F.count_if(F.col("row_number") != F.col("place"))).first()[:] == (n, 0)
+    totals = planner.running(placed, ("name", "place"), "upto", F.sum, F.lit(1))
+    assert totals.agg(F.count(F.lit(1)), F.count_if(F.col("upto") != F.col("place") + 1)).first()[:] == (n, 0)
+    # Runs of seven ranges, one of which reaches over many buckets; each range twice.
+    low = F.col("place") * 10 + F.floor(F.col("place") / 7) * 10
+    short = placed.select(low.alias("low"), (low + 9).alias("high"))
+    runs = packs.merged(short.union(short).union(spark.createDataFrame([(800_000, 1_199_999)], "low long, high long")))
+    # 28,572 runs, of 70 ids with a gap of 10 behind; those that begin from 800,000 to 1,200,000 are one.
+    assert runs.agg(F.count(F.lit(1)), F.sum(F.col("high") - F.col("low") + 1)).first()[:] == (28_572 - 5_001 + 1, 10 * n + 10 * 5_000)
+
+
 def test_overlaps(spark):
     rows = spark.createDataFrame([("a", 1, 9), ("b", 9, 9), ("c", 10, 12), ("d", 1, 9), ("e", 11, 10), ("f", -5, 100)], "name string, low long, high long")
     assert sorted(tuple(r) for r in packs.overlapping(rows).collect()) == [("a", "b"), ("a", "d"), ("a", "f"), ("b", "d"), ("b", "f"), ("c", "f"), ("d", "f")]
