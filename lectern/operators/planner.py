@@ -190,8 +190,9 @@ BUCKET_ROWS, SAMPLED, MOST_BUCKETS = 50_000, 40, 1_024
 def split_points(rows: DataFrame, keys: tuple[str, ...]) -> list[Column]:
     """Ascending literals, structs of the keys, that part the rows into buckets of about equally many.
 
-    At most MOST_BUCKETS x SAMPLED rows of keys come to the driver. The sample decides how even the
-    buckets are, never what a row's number is.
+    About MOST_BUCKETS x SAMPLED rows of keys come to the driver at most, and all of them count: split
+    points of only the first would leave the rest of the rows to the last bucket. The sample decides
+    how even the buckets are, never what a row's number is.
     """
     own = rows.select(*keys)
     n = own.count()
@@ -199,9 +200,8 @@ def split_points(rows: DataFrame, keys: tuple[str, ...]) -> list[Column]:
     if buckets < 2:
         return []
     key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)])
-    most = buckets * SAMPLED
-    drawn = own.sample(min(1.0, 1.2 * most / n), seed=n).select(key.alias("k")).orderBy("k").limit(most).collect()
-    picked = list(dict.fromkeys(r["k"] for r in drawn[SAMPLED::SAMPLED]))
+    drawn = own.sample(min(1.0, buckets * SAMPLED / n), seed=n).select(key.alias("k")).orderBy("k").collect()
+    picked = list(dict.fromkeys(drawn[len(drawn) * k // buckets]["k"] for k in range(1, buckets) if drawn))
     return [F.struct(*[F.lit(v).cast(f.dataType).alias(f"k{i}") for i, (v, f) in enumerate(zip(r, own.schema.fields))]) for r in picked]
 
 
