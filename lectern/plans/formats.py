@@ -359,5 +359,4 @@ def attempts_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:
         return batch["hash"]
 
     plan = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("path"), ident.text_hash(F.col("o_orderstatus")).alias("hash"), F.lit("low").alias("voice"))
-    done = attempts.attempted(spread(plan), work)
-    return attempts.stamped(done).select("path", F.col("stamp").alias("said")).union(done.where("error is not null").select("path", "error"))
+    return attempts.said(attempts.attempted(spread(plan), work))

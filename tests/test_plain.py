@@ -206,3 +206,25 @@ def test_no_close_pair_is_lost_to_bounds_and_blocks(spark, monkeypatch, bar):
     for k in (1, None):
         own = [x for x in got if x["k"] == k]
         assert len(own) == len(want) and {(x["a"], x["b"]): x["similarity"] for x in own} == want
+
+
+def test_the_half_to_blame_is_not_tried_whole(spark, capfd):
+    from lectern.operators import attempts
+    from lectern.plans import QUERIES
+
+    tries = spark.sparkContext.accumulator(0)
+
+    def work(batch):
+        tries.add(1)
+        if (batch["path"] == 7).any():
+            raise ValueError("bad")
+        return batch["hash"]
+
+    rows = spark.range(0, 8, 1, 1).selectExpr("id as path", "string(id) as hash", "'low' as voice")
+    got = {r["path"]: r["said"] for r in attempts.said(attempts.attempted(rows, work)).collect()}
+    assert got == {k: f"{k} low" for k in range(7)} | {7: "ValueError: bad"}
+    # All eight, the first four, two of the rest, the last two one by one.
+    assert tries.value == 5
+    capfd.readouterr()
+    QUERIES["attempts_by_row"](spark, "/root/testdata/sf0.001").explain()
+    assert capfd.readouterr().out.count("MapInPandas") == 1
