@@ -12,12 +12,13 @@ A model is made of parts of at most `LANGUAGES` languages and about `PART_GRAMS`
 one language that has more): that bounds the matrix, and what a worker holds at once. With several
 parts the texts are scored once for each, and the sums meet by row.
 
-Rejection is calibrated on a bounded sample of training rows that the counts leave out: for each
-length class, a text is rejected whose best cross-entropy lies further beyond the sample's median
-than `SPREAD` times its `QUANTILE` does.
+Rejection is calibrated on all training rows that the counts leave out: for each length class, a
+text is rejected whose best cross-entropy lies further beyond their median than `SPREAD` times their
+`QUANTILE` does. They meet as counts of cross-entropies in steps of 1 / `STEPS` nats.
 
-Bounds: `sample` rows for the calibration. The model grows with the kinds of five-grams in the
-training rows. The counts cover all training rows but the one in `CALIBRATION_FOLD` that calibrates,
+Bounds: none on rows; the counts that come to the driver are as many as classes and steps, not rows.
+The model grows with the kinds of five-grams in the training rows. The counts cover all training rows
+but the fold of one in `CALIBRATION_FOLD` that calibrates, as a model is surer of rows it has seen,
 and those too of a language that has no other.
 
 Edge cases: a null text, or one without a letter, is `und` with score 0 and rejected; a long text is
@@ -45,7 +46,8 @@ LANGUAGES = 8
 PART_GRAMS = 2_000_000
 #: Kinds of five-grams that a counting task holds at most.
 HELD_GRAMS = 400_000
-SAMPLE = 20_000
+#: Steps of a nat in which the cross-entropies that calibrate are counted.
+STEPS = 1_000
 QUANTILE = 0.9995
 SPREAD = 2.0
 #: One training row in so many, by the hash of its text, calibrates and isn't counted.
@@ -367,7 +369,15 @@ def gram_codes(grams: DataFrame) -> tuple[np.ndarray, pd.DataFrame]:
     return np.frombuffer(raw.decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, ORDER), rows
 
 
-def fit(rows: DataFrame, *, sample: int = SAMPLE, part_grams: int = PART_GRAMS, languages: int = LANGUAGES) -> Identifier:
+def counted_quantile(values: np.ndarray, n: np.ndarray, q: float) -> float:
+    """The quantile of ascending values that stand n times each, between two of them by proportion."""
+    upto = np.cumsum(n)
+    at = q * (upto[-1] - 1)
+    low, high = (values[np.searchsorted(upto, place, "right")] for place in (np.floor(at), np.ceil(at)))
+    return float(low + (high - low) * (at - np.floor(at)))
+
+
+def fit(rows: DataFrame, *, part_grams: int = PART_GRAMS, languages: int = LANGUAGES) -> Identifier:
     """An identifier from all rows of lang and text."""
     spark = rows.sparkSession
     rows = rows.where("lang is not null and text is not null").select(F.col("lang").cast("string").alias("lang"), "text")
@@ -395,25 +405,23 @@ def fit(rows: DataFrame, *, sample: int = SAMPLE, part_grams: int = PART_GRAMS,
         parts.append(spark.sparkContext.broadcast(Model.fit(group, number, codes, own["n"].to_numpy(), letters)))
         del codes, own
     made = Identifier([lang for group in groups for lang in group], parts)
-    rows, n = rows.where(in_fold), sum(r["fold"] for r in held)
-    if sample < n:
-        rows = rows.where(F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30)) < int(sample / n * (1 << 30)))
-    seen = made.told(rows.select("text"), "text", "x").select("x.cross_entropy", "x.n").where("cross_entropy is not null").toPandas()
+    told = made.told(rows.where(in_fold).select("text"), "text", "x").select("x.cross_entropy", length_class(F.col("x.n")).alias("class")).where("cross_entropy is not null")
+    seen = told.groupBy("class", F.round(F.col("cross_entropy") * STEPS).cast("long").alias("step")).agg(F.count(F.lit(1)).alias("n")).toPandas()
     limits = np.full(CLASSES, np.inf)
-    own_class = np.minimum(np.floor(np.log2(np.maximum(seen["n"], 1))), CLASSES - 1)
     for k in range(CLASSES):
-        own = seen["cross_entropy"][np.abs(own_class - k) <= 1]
-        if len(own) >= 20:
-            limits[k] = own.median() + SPREAD * (own.quantile(QUANTILE) - own.median())
+        own = seen[np.abs(seen["class"] - k) <= 1].groupby("step")["n"].sum().sort_index()
+        if own.sum() >= 20:
+            middle, far = (counted_quantile(own.index.to_numpy() / STEPS, own.to_numpy(), q) for q in (0.5, QUANTILE))
+            limits[k] = middle + SPREAD * (far - middle)
     # A shorter text may be as odd as a longer one.
     limits = np.maximum.accumulate(np.where(np.isinf(limits), -np.inf, limits)[::-1])[::-1]
     made.limits = np.where(np.isinf(limits), np.inf, limits).tolist()
     return made
 
 
-def identify(docs: DataFrame, training: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> DataFrame:
+def identify(docs: DataFrame, training: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, lang_pred, score, cross_entropy, rejected for each row of `docs`, learnt from `training`."""
-    made = fit(picked(training, text=text_col, lang=lang_col), sample=sample)
+    made = fit(picked(training, text=text_col, lang=lang_col))
     return made.told(picked(docs, doc_id=id_col, text=text_col), "text", "told").select("doc_id", "told.lang_pred", "told.score", "told.cross_entropy", "told.rejected")
 
 

@@ -526,6 +526,28 @@ def test_kneser_ney_by_hand(spark):
         assert row["x"]["lang_pred"] == min(nats, key=lambda k: (nats[k], k))
 
 
+def test_all_rows_of_the_fold_calibrate(spark):
+    """More rows than any sample: the limits are quantiles of all of them, however rare the odd ones are."""
+    values = np.array([1.0, 1.5, 2.0, 9.0])
+    n = np.array([30_000, 20_000, 10_000, 40])
+    for q in (0.0, 0.5, 0.9, 0.9995, 1.0):
+        assert language_id.counted_quantile(values, n, q) == pytest.approx(np.quantile(np.repeat(values, n), q))
+    r = random.Random(6)
+    rows = [(prose(r, r.randint(3, 30)), "aa") for _ in range(600)]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    made = language_id.fit(df)
+    fold = df.where(F.pmod(F.xxhash64("text", F.lit(8)), F.lit(language_id.CALIBRATION_FOLD)) == 0)
+    seen = made.told(fold, "text", "x").select("x.cross_entropy", "x.n").toPandas()
+    own_class = np.floor(np.log2(seen["n"]))
+    k = int(own_class.mode()[0])
+    own = seen["cross_entropy"][np.abs(own_class - k) <= 1]
+    limit = own.median() + language_id.SPREAD * (own.quantile(language_id.QUANTILE) - own.median())
+    assert len(own) >= 20 and made.limits[k] >= limit - 0.01
+    import inspect
+
+    assert "sample" not in inspect.signature(language_id.identify).parameters
+
+
 def test_language_models_sum_to_one():
     text = language_id.normal("the then there them than that " * 20)
     n, grams = language_id.counted_grams(*next(language_id.blocks([text])))
