@@ -24,8 +24,20 @@ CLOSERS = "\"'>)]“”’»"
 #: Stand-ins of seven, seven and six characters for a reader's name, trade and people.
 STAND_INS = ("Wandrer", "Gewerbe", "Mensch")
 
-#: White space as Python's text patterns see it, spelled out: Java's Unicode classes cost far more.
-SPACES = r"\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: White space beyond Latin-1; a letter leaves the class at its first, wide range.
+_FAR = r"[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
+#: White space of a line as Python's text patterns see it, spelled out: Java's Unicode classes cost far more. Characters of
+#: Latin-1 stand one by one, as those are looked up in one table; each range is a test of its own.
+_BLANKS = r" \t\x0b\f\r\x1c\x1d\x1e\x1f\x85\u00a0" + _FAR
+SPACES = r"\n" + _BLANKS
+#: The same characters, to be trimmed.
+_SPACE_CHARS = "\n \t\x0b\f\r\x1c\x1d\x1e\x1f\x85\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
+def _run(chars: str) -> str:
+    """A pattern for a whole run of characters of a class: it is tried at the run's first one only, so a long run isn't read again from each of its places."""
+    return rf"[{chars}](?<![{chars}][{chars}])[{chars}]*+"
+
 
 #: The rewriting steps of `clean`, in order; each is one pattern and what replaces it.
 CLEANING = (
@@ -44,10 +56,10 @@ CLEANING = (
     ("bare token", r"\$[A-Za-z]", ""),
     ("carriage returns", r"\r\n?", "\n"),
     ("runs of blanks", r"[ \t]+", " "),
-    ("doubled punctuation keeps the second", rf"[,;:][{SPACES}]*([,.;:!?])", "$1"),
-    ("no space before punctuation", rf"[{SPACES}]+([,.;:!?])", "$1"),
+    ("doubled punctuation keeps the second", rf"[,;:][{SPACES}]*+([,.;:!?])", "$1"),
+    ("no space before punctuation", rf"{_run(SPACES)}([,.;:!?])", "$1"),
     ("at most one empty line", r"\n{3,}", "\n\n"),
-    ("blanks at line ends", rf"[{SPACES}&&[^\n]]*\n[{SPACES}&&[^\n]]*", "\n"),
+    ("blanks at line ends", rf"(?:{_run(_BLANKS)})?\n[{_BLANKS}]*+", "\n"),
 )
 #: Beginnings of passages that are placeholders, not text.
 PLACEHOLDER = r"(?iU)^\s*(?:\[PH\]|\[DNT\]|\[DEPRECATED\]|PH\b|TEST\b)"
@@ -69,7 +81,7 @@ def nfc(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, rf"^[{SPACES}]+", ""), rf"[{SPACES}]+\z", "")
+    return F.btrim(text, F.lit(_SPACE_CHARS))
 
 
 def clean(text: Column, *, compose: bool = True) -> Column:
@@ -95,8 +107,10 @@ def tidy(text: Column) -> Column:
 
 #: A mark between sentences while a text is cut; texts that hold it go word by word.
 _CUT_HERE = "\ue00a"
-#: What `(?U)\s` means, spelled out.
-_WHITE = r"[\t-\r \x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: What `(?U)\s` means, spelled out: within a line, and to be trimmed.
+_WHITE_OF_LINE = r" \t\x0b\f\x85\u00a0" + _FAR
+_WHITE = r"[\r\n" + _WHITE_OF_LINE + "]"
+_WHITE_CHARS = "".join(c for c in _SPACE_CHARS if c not in "\x1c\x1d\x1e\x1f")
 
 
 def sentences(text: Column) -> Column:
@@ -108,28 +122,21 @@ def sentences(text: Column) -> Column:
     any_case = lambda word: "".join(f"[{c.upper()}{c}]" if c.isalpha() else "\\" + c for c in word)
     abbreviated = "|".join(rf"(?<={_WHITE}|^){any_case(a)}" for a in ABBREVIATIONS)
     closers = "".join("\\" + c for c in CLOSERS)
-    ended = rf"([.!?…])(?<!{abbreviated})([{closers}]*){_WHITE}+"
-
-    def broken(marked: Column) -> Column:
-        return F.when(marked.rlike(r"[\r\n]"), F.regexp_replace(marked, rf"{_WHITE}*[\r\n]{_WHITE}*", _CUT_HERE)).otherwise(marked)
+    ended = rf"([.!?…])(?<!{abbreviated})([{closers}]*+){_WHITE}++"
+    broken = rf"(?:{_run(_WHITE_OF_LINE)})?[\r\n]{_WHITE}*+"
 
     def at_once(trimmed: Column) -> Column:
-        cut = let(F.regexp_replace(trimmed, ended, "$1$2" + _CUT_HERE), lambda marked: F.transform(F.split(broken(marked), _CUT_HERE), _stripped))
-        return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(cut)
+        # White space is a run behind a sentence's end or one with a line break; of both, the end's pattern begins before it.
+        marked = F.regexp_replace(trimmed, f"{ended}|{broken}", "$1$2" + _CUT_HERE)
+        return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.transform(F.split(marked, _CUT_HERE), strip))
 
     def cut(own: Column) -> Column:
-        trimmed = F.regexp_replace(F.regexp_replace(own, rf"^{_WHITE}+", ""), rf"{_WHITE}+\z", "")
-        return F.when(F.contains(own, F.lit(_CUT_HERE)), sentences_by_word(own)).otherwise(let(trimmed, at_once))
+        return F.when(F.contains(own, F.lit(_CUT_HERE)), sentences_by_word(own)).otherwise(let(F.btrim(own, F.lit(_WHITE_CHARS)), at_once))
 
     # Bound once each: what stands in an expression twice is worked out twice.
     return let(_present(text), cut)
 
 
-def _stripped(s: Column) -> Column:
-    """`strip`, which is tried only where there is something to strip."""
-    return F.when(s.rlike(rf"^[{SPACES}]|[{SPACES}]\z"), strip(s)).otherwise(s)
-
-
 def sentences_by_word(text: Column) -> Column:
     """As `sentences`, word by word: the rule itself, at many times the cost."""
     tokens = F.regexp_extract_all(_present(text), F.lit(r"(?U)\s*\S+"), F.lit(0))
