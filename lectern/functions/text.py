@@ -55,7 +55,7 @@ CLEANING = (
     ("numbered token", r"\$\d+[A-Za-z]?", ""),
     ("bare token", r"\$[A-Za-z]", ""),
     ("carriage returns", r"\r\n?", "\n"),
-    ("runs of blanks", r"[ \t]+", " "),
+    ("runs of blanks", r"[ \t]{2,}|\t", " "),
     ("doubled punctuation keeps the second", rf"[,;:][{SPACES}]*+([,.;:!?])", "$1"),
     ("no space before punctuation", rf"{_run(SPACES)}([,.;:!?])", "$1"),
     ("at most one empty line", r"\n{3,}", "\n\n"),
