@@ -9,7 +9,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,15 +69,22 @@ def _present(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-@F.pandas_udf(T.StringType())
-def _nfc(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+#: Texts that are composed at once; a batch from Spark has 10,000 rows, however long.
+_COMPOSED = 100
+
+
+@F.arrow_udf(T.StringType())
+def _nfc(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in texts:
-        yield batch.map(lambda t: unicodedata.normalize("NFC", t))
+        for at in range(0, len(batch), _COMPOSED):
+            part = batch.slice(at, _COMPOSED).to_pylist()
+            yield pa.array([t if t is None else unicodedata.normalize("NFC", t) for t in part], pa.string())
 
 
 def nfc(text: Column) -> Column:
-    """Canonical composition. Spark has no such function; texts of Latin-1 alone are left as they are."""
-    return F.when(text.rlike(r"[^\u0000-˿]"), _nfc(text)).otherwise(text)
+    """Canonical composition. Spark has no such function; texts that have nothing to compose aren't sent to Python."""
+    # All rows go through the function, whatever stands around it: where it isn't needed, with null for the text.
+    return F.coalesce(_nfc(F.when(text.rlike(r"[^\u0000-˿]"), text)), text)
 
 
 def strip(text: Column) -> Column:
