@@ -411,6 +411,19 @@ def test_a_text_of_one_letter(spark):
     assert got == {1: (2_000_000, 2_000_000, 1, b""), 2: (402, 400, 1, b"bc"), 3: (399, 0, 0, b"a" * 399), 4: (900, 900, 1, b"")}
 
 
+@pytest.mark.parametrize("size", [399, 400, 460])
+def test_a_passage_of_over_50_words(spark, size):
+    """Of passages that repeat across documents those of 400 bytes go, however many words they have."""
+    r = random.Random(size)
+    passage = prose(r, 90)[: size - 1] + "z"
+    assert len(passage) == size and len(passage.split()) > 50
+    # Nothing beside the passage is alike, not even the letter before or behind it.
+    rows = [(i, f"{prose(r, 60)} {a}{passage}{b} {prose(r, 60)}", "", "", 0) for i, (a, b) in enumerate(zip("ABC", "DEF"))] + [(9, prose(r, 300), "", "", 0)]
+    got = {x["doc_id"]: (x["n_removed"], x["n_spans"], bytes(x["kept"]).decode()) for x in suffix_dedup.dedup_passages(spark.createDataFrame(rows, SCHEMA)).collect()}
+    cut = size >= 400
+    assert got == {i: (size * cut * (i != 9), int(cut and i != 9), t.replace(passage, "") if cut else t) for i, t, *_ in rows}
+
+
 def test_decontamination(spark):
     r = random.Random(4)
     item = "On friday the farmer Anna sold 12 kg of apples to her neighbour Boris and then walked 3 km home with Anna"
